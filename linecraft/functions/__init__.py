@@ -2,6 +2,7 @@
 
 from .access_log import (
     access_log_groups,
+    access_log_split,
     content_size,
     groups_matched,
     reject_reason,
@@ -14,6 +15,7 @@ from .text import pair_text, split_lines, split_words
 
 __all__ = [
     "access_log_groups",
+    "access_log_split",
     "app_event_message",
     "content_size",
     "groups_matched",

@@ -30,8 +30,9 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def access_log_groups(line: Column | str) -> Column:
-    """array<string> of the nine groups if the whole line matches, else null."""
+def access_log_split(line: Column | str) -> Column:
+    """array<string>: the nine groups if the whole line matches; otherwise an
+    array of another length, or null. Pass it to :func:`access_log_groups`."""
     v = _col(line)
     one_pass = F.split(F.regexp_replace(v, ACCESS_LOG_LINE_REGEX, _GROUPS_JOINED), _SEP, -1)
     per_group = F.array(*[F.regexp_extract(v, ACCESS_LOG_LINE_REGEX, i) for i in range(1, 10)])
@@ -41,9 +42,19 @@ def access_log_groups(line: Column | str) -> Column:
     )
 
 
+def access_log_groups(split: Column | str) -> Column:
+    """array<string> of the nine groups if the line matched, else null.
+
+    Takes the result of :func:`access_log_split`. Keep the two in separate
+    projections (``withColumn`` twice) so the regex runs once per line.
+    """
+    s = _col(split)
+    return F.when(F.size(s) == 9, s)
+
+
 def groups_matched(groups: Column | str) -> Column:
     """True if :func:`access_log_groups` found a whole-line match."""
-    return F.coalesce(F.size(_col(groups)) == 9, F.lit(False))
+    return _col(groups).isNotNull()
 
 
 def _time_parts(time_text: Column) -> tuple[Column, Column]:

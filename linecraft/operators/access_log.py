@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.access_log import (
     access_log_groups,
+    access_log_split,
     content_size,
     groups_matched,
     reject_reason,
@@ -52,7 +53,8 @@ def tag_access_log(lines: DataFrame, value_col: str = "value", on_error: str = "
     # Each step is its own projection so that the regex result is computed
     # once and then only referenced (Catalyst does not inline a costly
     # expression into several consumers).
-    step = lines.withColumn("__g", access_log_groups(v))
+    step = lines.withColumn("__s", access_log_split(v))
+    step = step.withColumn("__g", access_log_groups("__s"))
     g = F.col("__g")
     step = step.select(
         "*",
@@ -69,26 +71,32 @@ def tag_access_log(lines: DataFrame, value_col: str = "value", on_error: str = "
     )
     step = step.withColumn("request_time", request_instant("__time"))
     step = step.withColumn("reject_reason", reject_reason("__m", "request_time", "content_size"))
+    out_cols = [F.col(c) for c in lines.columns] + [
+        F.col("remote_host"),
+        F.col("remote_identity"),
+        F.col("local_identity"),
+        F.col("request_time"),
+        request_wall_clock("__time", "request_time").alias("request_time_local"),
+        F.col("method"),
+        F.col("endpoint"),
+        F.col("protocol"),
+        F.col("response_code"),
+        F.col("content_size"),
+        F.when(F.col("reject_reason").isNull(), F.lit(1)).otherwise(F.lit(0)).alias("parsed"),
+        F.col("reject_reason"),
+    ]
+    # Barrier: emit the finished row through a one-element `inline`. A later
+    # `where(parsed = 1)` cannot be pushed below a generator, so the
+    # optimizer does not copy the regex and time parse into the filter (it
+    # otherwise inlines them once per use, which runs the regex many times
+    # per line and outgrows the 64 KB codegen limit).
+    tagged = step.select(F.inline(F.array(F.struct(*out_cols))))
     if on_error == "fail":
         bad = F.col("reject_reason").isin(BAD_TIME, BAD_SIZE)
-        step = step.where(
+        tagged = tagged.where(
             F.when(bad, F.raise_error(F.concat(F.lit("unparsable access-log line: "), v))).otherwise(F.lit(True))
         )
-    out_cols = [c for c in lines.columns] + [
-        "remote_host",
-        "remote_identity",
-        "local_identity",
-        "request_time",
-        request_wall_clock("__time", "request_time").alias("request_time_local"),
-        "method",
-        "endpoint",
-        "protocol",
-        "response_code",
-        "content_size",
-        F.when(F.col("reject_reason").isNull(), F.lit(1)).otherwise(F.lit(0)).alias("parsed"),
-        "reject_reason",
-    ]
-    return step.select(*out_cols)
+    return tagged
 
 
 def parsed_records(tagged: DataFrame, keep: Iterable[str] = ()) -> DataFrame:

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.records import record_json
+from . import _report_worker
+
+# Ship the worker function by value: executors then need no copy of this
+# package on their Python path.
+cloudpickle.register_pickle_by_value(_report_worker)
 
 REPORT_SCHEMA = (
     "partition_id int, attempt_number int, row_count bigint, created_at timestamp, "
@@ -14,37 +20,6 @@ REPORT_SCHEMA = (
 )
 
 
-def _report_one_partition(batches):
-    # Runs in the Python worker of each task, once per partition (also for an
-    # empty one). Only a null flag column crosses from the JVM, so the cost is
-    # counting rows, not moving them.
-    import os
-    import socket
-
-    import pandas as pd
-    from pyspark import TaskContext
-
-    ctx = TaskContext.get()
-    created = pd.Timestamp.now(tz="UTC")
-    rows = 0
-    for batch in batches:
-        rows += len(batch)
-    env = os.environ
-    yield pd.DataFrame(
-        {
-            "partition_id": pd.Series([ctx.partitionId()], dtype="int32"),
-            "attempt_number": pd.Series([ctx.attemptNumber()], dtype="int32"),
-            "row_count": pd.Series([rows], dtype="int64"),
-            "created_at": pd.Series([created]),
-            "host": [socket.gethostname()],
-            "executor_dirs": [env.get("SPARK_EXECUTOR_DIRS")],
-            "user_dir": [os.getcwd()],
-            "log_url_stdout": [env.get("SPARK_LOG_URL_STDOUT")],
-            "log_url_stderr": [env.get("SPARK_LOG_URL_STDERR")],
-        }
-    )
-
-
 def partition_report(df: DataFrame) -> DataFrame:
     """One row per partition of ``df``: partition id, task attempt, row count,
     time, host, executor directories, working directory and log URLs.
@@ -56,7 +31,7 @@ def partition_report(df: DataFrame) -> DataFrame:
     none.
     """
     flag = F.lit(None).cast("boolean").alias("__row")
-    return df.select(flag).mapInPandas(_report_one_partition, REPORT_SCHEMA)
+    return df.select(flag).mapInPandas(_report_worker.report_one_partition, REPORT_SCHEMA)
 
 
 def report_json(report: DataFrame) -> DataFrame:
