@@ -17,9 +17,17 @@ def read_event_log_lines(
     """``path string, value string``: one JSON event per line, with the file
     it came from.
 
-    Point ``paths`` at event-log files or at a glob over the log directory,
-    e.g. ``.../eventlog_v2_*/events_*`` for rolling logs plus ``.../app-*``
-    for single-file logs. Compressed logs are read when Hadoop knows their
-    suffix.
+    ``paths`` are event-log directories (``spark.eventLog.dir``) or single
+    log files. Directories are searched recursively, so single-file logs
+    (``<app-id>[.<codec>][.inprogress]``) and rolling logs
+    (``eventlog_v2_<app-id>/events_<n>_<app-id>[.<codec>]``) are both read;
+    the empty status files of rolling logs add no line and hidden ``.crc``
+    files are skipped by the file listing. Uncompressed logs and ``.zstd``
+    logs (Spark's default codec) are read. Logs written with Spark's ``lz4``,
+    ``lzf`` or ``snappy`` codecs are not: Hadoop's codec of the same suffix
+    expects another framing (``.lz4`` even exhausts the heap), so leave such
+    files out of ``paths``.
     """
-    return read_lines(spark, paths, options=options, with_path=True)
+    opts = {"recursiveFileLookup": "true"}
+    opts.update(options or {})
+    return read_lines(spark, paths, options=opts, with_path=True)
