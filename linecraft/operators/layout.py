@@ -11,7 +11,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 
     A gzip file, or a parquet file with one row group, is read by a single
     task however large it is. When the scan has fewer partitions than
-    ``min_partitions`` (default: the cluster's default parallelism), rows are
+    ``min_partitions`` (default: twice the cluster's default parallelism, so
+    that uneven rows still balance across cores), rows are
     hash-spread on their position in the scan, which is stable across task
     retries and has no hot key, and needs no sort (round-robin repartition
     sorts every map partition first to stay deterministic). A scan that is
@@ -22,7 +23,7 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     is read from the plan without running a job.
     """
     spark = df.sparkSession
-    n = min_partitions or spark.sparkContext.defaultParallelism
+    n = min_partitions or 2 * spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= n:
         return df
     return df.repartition(n, F.monotonically_increasing_id())

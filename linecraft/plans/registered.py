@@ -22,12 +22,18 @@ from ..operators.words import tokenize, word_count, word_count_text
 from ..sources.text import lines_of, read_table
 
 
+# Declared columns of the driver tables that the queries read (no schema
+# inference pass before planning).
+DOCUMENTS_SCHEMA = "doc_id bigint, text string"
+EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string"
+
+
 def _documents(spark: SparkSession, d: str) -> DataFrame:
-    return spread(read_table(spark, d, "documents").select("doc_id", "text"))
+    return spread(read_table(spark, d, "documents", DOCUMENTS_SCHEMA).select("doc_id", "text"))
 
 
 def _events(spark: SparkSession, d: str, *cols: str) -> DataFrame:
-    return spread(read_table(spark, d, "events").select(*cols))
+    return spread(read_table(spark, d, "events", EVENTS_SCHEMA).select(*cols))
 
 
 def scan_lines(spark: SparkSession, d: str) -> DataFrame:

@@ -72,6 +72,12 @@ def lines_of(df: DataFrame, text_col: str = "text", keep: Iterable[str] = ()) ->
     return df.select(*keep, F.explode(split_lines(text_col)).alias("line"))
 
 
-def read_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
-    """A parquet table ``<data_dir>/<name>.parquet``."""
-    return spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, data_dir: str, name: str, schema: str | None = None) -> DataFrame:
+    """A parquet table ``<data_dir>/<name>.parquet``.
+
+    With ``schema`` (a DDL string, may list only the needed columns) the
+    reader skips schema inference, which otherwise reads file footers before
+    the query is even planned.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
