@@ -66,36 +66,49 @@ def tag_access_log(lines: DataFrame, value_col: str = "value", on_error: str = "
         g[4].alias("method"),
         g[5].alias("endpoint"),
         g[6].alias("protocol"),
-        status_code(g[7]).alias("response_code"),
+        g[7].alias("__code"),
         content_size(g[8]).alias("content_size"),
     )
     step = step.withColumn("request_time", request_instant("__time"))
     step = step.withColumn("reject_reason", reject_reason("__m", "request_time", "content_size"))
-    out_cols = [F.col(c) for c in lines.columns] + [
-        F.col("remote_host"),
-        F.col("remote_identity"),
-        F.col("local_identity"),
-        F.col("request_time"),
-        request_wall_clock("__time", "request_time").alias("request_time_local"),
-        F.col("method"),
-        F.col("endpoint"),
-        F.col("protocol"),
-        F.col("response_code"),
-        F.col("content_size"),
+    decided = [F.col(c) for c in lines.columns] + [
+        F.col(c)
+        for c in (
+            "remote_host", "remote_identity", "local_identity", "__time", "request_time",
+            "method", "endpoint", "protocol", "__code", "content_size",
+        )
+    ] + [
         F.when(F.col("reject_reason").isNull(), F.lit(1)).otherwise(F.lit(0)).alias("parsed"),
         F.col("reject_reason"),
     ]
-    # Barrier: emit the finished row through a one-element `inline`. A later
+    # Barrier: the row leaves through a one-element `inline`. A later
     # `where(parsed = 1)` cannot be pushed below a generator, so the
     # optimizer does not copy the regex and time parse into the filter (it
     # otherwise inlines them once per use, which runs the regex many times
     # per line and outgrows the 64 KB codegen limit).
-    tagged = step.select(F.inline(F.array(F.struct(*out_cols))))
+    tagged = step.select(F.inline(F.array(F.struct(*decided))))
     if on_error == "fail":
         bad = F.col("reject_reason").isin(BAD_TIME, BAD_SIZE)
         tagged = tagged.where(
             F.when(bad, F.raise_error(F.concat(F.lit("unparsable access-log line: "), v))).otherwise(F.lit(True))
         )
+    # Fields not needed to decide `parsed` are derived after the barrier:
+    # column pruning drops them when unused, and filters run before them.
+    tagged = tagged.select(
+        *[F.col(c) for c in lines.columns],
+        "remote_host",
+        "remote_identity",
+        "local_identity",
+        "request_time",
+        request_wall_clock("__time", "request_time").alias("request_time_local"),
+        "method",
+        "endpoint",
+        "protocol",
+        status_code("__code").alias("response_code"),
+        "content_size",
+        "parsed",
+        "reject_reason",
+    )
     return tagged
 
 

@@ -23,7 +23,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     is read from the plan without running a job.
     """
     spark = df.sparkSession
-    n = min_partitions or 2 * spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= n:
+    try:
+        n = min_partitions or 2 * spark.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
+        return df
+    if current >= n:
         return df
     return df.repartition(n, F.monotonically_increasing_id())

@@ -29,3 +29,15 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry(spark):
     df = entry_mod.entry(spark)
     assert df.columns == ["word", "cnt"] and df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["log_tagged", "log_parsed", "log_counts", "app_events", "word_count"])
+def test_query_independent_of_session_zone_and_ansi(spark, con, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        r = compare(QUERIES[name](spark, SF_SMALL), con, ORACLES[name])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    assert r["columns_match"] and r["values_match"], r
