@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import APP_END_EVENT, APP_START_EVENT
@@ -35,10 +35,9 @@ def application_events(log_lines: DataFrame, path_col: str = "path", value_col:
     the start event in the same log, or else the id in the log's file name.
     Lines that are not JSON, or are cut short, are skipped.
 
-    Only the few start/end rows take part in the id lookup: one id per log is
-    found by a partially aggregated ``groupBy`` and joined back, which AQE
-    turns into a broadcast when the measured id table is small, and splits
-    when one log holds many events.
+    The log lines are read once. Only the start/end rows (a few per log:
+    one start and one end per application attempt) are exchanged, keyed by
+    log, to share the id within each log; the raw lines never are.
     """
     v = F.col(value_col)
     candidates = log_lines.where((F.instr(v, _NAME_STEM) > 0) | (F.instr(v, _UNICODE_ESCAPE) > 0))
@@ -46,21 +45,13 @@ def application_events(log_lines: DataFrame, path_col: str = "path", value_col:
         _log_key(F.col(path_col)).alias("__log"),
         F.from_json(v, _EVENT_FIELDS).alias("__e"),
     ).where(F.col("__e.Event").isin(APP_START_EVENT, APP_END_EVENT))
-    events = events.select(
-        "__log",
-        F.col("__e.Event").alias("__event"),
-        F.col("__e.`App ID`").alias("__own_id"),
-        F.col("__e.Timestamp").alias("time_ms"),
-    )
-    log_ids = (
-        events.where(F.col("__own_id").isNotNull())
-        .groupBy("__log")
-        .agg(F.max("__own_id").alias("__log_id"))
-    )
-    kind = F.when(F.col("__event") == APP_START_EVENT, F.lit("start")).otherwise(F.lit("end"))
-    return events.join(log_ids, "__log", "left").select(
-        F.coalesce("__own_id", "__log_id", "__log").alias("app_id"),
+    own_id = F.col("__e.`App ID`")
+    log_id = F.max(own_id).over(Window.partitionBy("__log"))
+    kind = F.when(F.col("__e.Event") == APP_START_EVENT, F.lit("start")).otherwise(F.lit("end"))
+    time_ms = F.col("__e.Timestamp")
+    return events.select(
+        F.coalesce(own_id, log_id, F.col("__log")).alias("app_id"),
         kind.alias("event"),
-        F.col("time_ms"),
-        app_event_message(kind, F.col("time_ms")).alias("message"),
+        time_ms.alias("time_ms"),
+        app_event_message(kind, time_ms).alias("message"),
     )

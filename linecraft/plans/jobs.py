@@ -63,10 +63,11 @@ def log_analysis_job(
     logs are scanned and parsed once (plus once more if ``rejects_path`` is
     given, to save the rejected lines with their reason).
     """
-    lines = spread(read_lines(spark, input_path, options), min_partitions)
-    if lines.isEmpty():
+    raw = read_lines(spark, input_path, options)
+    # On the scan itself: stops at the first line, before any shuffle.
+    if raw.isEmpty():
         raise EmptyInputError(EMPTY_INPUT_MESSAGE)
-    tagged = tag_access_log(lines, on_error=on_error)
+    tagged = tag_access_log(spread(raw, min_partitions), on_error=on_error)
     obs = Observation("access_log_counts")
     observed = tagged.observe(
         obs,
