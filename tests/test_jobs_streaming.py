@@ -87,12 +87,18 @@ def test_object_store_options():
     assert "fs.s3a.session.token" not in object_store_options("AK", "SK")
 
 
-def test_per_read_options_reach_the_reader(spark, tmp_path):
+def test_per_read_options_reach_the_file_system(spark, tmp_path):
+    """A viewfs mount table given only as read options must be used by the
+    file system of that read (as object-store keys would be)."""
     from linecraft.sources import read_lines
 
-    (tmp_path / "a.txt").write_text("q\n")
-    df = read_lines(spark, str(tmp_path / "a.txt"), options={"fs.s3a.access.key": "AK"})
-    assert [r.value for r in df.collect()] == ["q"]
+    (tmp_path / "data").mkdir()
+    (tmp_path / "data" / "x.txt").write_text("v1\nv2\n")
+    opts = {"fs.viewfs.mounttable.lcmount.link./data": f"file://{tmp_path}/data"}
+    df = read_lines(spark, "viewfs://lcmount/data/x.txt", options=opts)
+    assert [r.value for r in df.collect()] == ["v1", "v2"]
+    with pytest.raises(Exception):
+        read_lines(spark, "viewfs://lcother/data/x.txt").collect()
 
 
 def test_checkpoint_root_from_session(spark):
