@@ -44,17 +44,22 @@ def object_store_options(
     secret_key: str,
     session_token: str | None = None,
     scheme: str = "s3a",
+    fresh_file_system: bool = False,
 ) -> dict[str, str]:
     """Per-read options for an object store with given (temporary) keys.
 
     Getting the keys is the caller's business; this only names them the way
     the Hadoop connector expects. With a session token the temporary-keys
-    provider is selected.
+    provider is selected. ``fresh_file_system`` turns off Hadoop's
+    file-system cache for the scheme, so keys that rotate while the
+    application runs are not shadowed by the first ones used.
     """
     opts = {
         f"fs.{scheme}.access.key": access_key,
         f"fs.{scheme}.secret.key": secret_key,
     }
+    if fresh_file_system:
+        opts[f"fs.{scheme}.impl.disable.cache"] = "true"
     if session_token is not None:
         opts[f"fs.{scheme}.session.token"] = session_token
         opts[f"fs.{scheme}.aws.credentials.provider"] = (

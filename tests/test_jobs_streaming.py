@@ -85,6 +85,7 @@ def test_object_store_options():
     assert o["fs.s3a.access.key"] == "AK" and o["fs.s3a.session.token"] == "TOKEN"
     assert o["fs.s3a.aws.credentials.provider"].endswith("TemporaryAWSCredentialsProvider")
     assert "fs.s3a.session.token" not in object_store_options("AK", "SK")
+    assert object_store_options("AK", "SK", fresh_file_system=True)["fs.s3a.impl.disable.cache"] == "true"
 
 
 def test_per_read_options_reach_the_file_system(spark, tmp_path):
