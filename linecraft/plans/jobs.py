@@ -2,7 +2,9 @@
 
 Each job returns what it learned (counts) and writes through Spark's commit
 protocol, so a lost executor only re-runs its tasks and a failed job leaves
-no half-written output.
+no half-written output. ``mode`` is the save mode of every output
+(``errorifexists`` by default, as a text-file save; ``overwrite`` to re-run a
+job into the same folder).
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ def word_count_job(
     output_path: str,
     options: Mapping[str, str] | None = None,
     min_partitions: int | None = None,
+    mode: str = "errorifexists",
 ) -> None:
     """Count the words of text files and save ``(word,count)`` lines.
 
@@ -41,7 +44,7 @@ def word_count_job(
     scan → split → partial count, shuffle on the word, final count → write.
     """
     lines = spread(read_lines(spark, input_path, options), min_partitions)
-    write_pairs_text(count_words(lines, "value"), output_path)
+    write_pairs_text(count_words(lines, "value"), output_path, mode=mode)
 
 
 def log_analysis_job(
@@ -53,6 +56,7 @@ def log_analysis_job(
     on_error: str = "reject",
     rejects_path: str | None = None,
     min_partitions: int | None = None,
+    mode: str = "errorifexists",
 ) -> dict[str, int]:
     """Parse access logs, save the parsed records, return
     ``{"total", "failed", "ok"}``.
@@ -75,10 +79,10 @@ def log_analysis_job(
         F.count_if(F.col("parsed") == 0).alias("failed"),
         F.count_if(F.col("parsed") == 1).alias("ok"),
     )
-    write_records(parsed_records(observed), output_path, fmt=fmt)
+    write_records(parsed_records(observed), output_path, fmt=fmt, mode=mode)
     if rejects_path is not None:
         rejects = tagged.where(F.col("parsed") == 0).select("value", F.col("reject_reason").alias("reason"))
-        write_records(rejects, rejects_path, fmt=fmt)
+        write_records(rejects, rejects_path, fmt=fmt, mode=mode)
     return {k: int(v) for k, v in obs.get.items()}
 
 
@@ -88,21 +92,23 @@ def word_count_with_report_job(
     output_path: str,
     report_path: str,
     options: Mapping[str, str] | None = None,
+    mode: str = "errorifexists",
 ) -> None:
     """Word count plus one JSON report per input partition (where it ran,
     how many lines). Two jobs over the same scan; the report job reads no
     column into Python."""
     lines = read_lines(spark, input_path, options)
-    write_text(report_json(partition_report(lines)), report_path, col="json")
-    write_pairs_text(count_words(spread(lines), "value"), output_path)
+    write_text(report_json(partition_report(lines)), report_path, col="json", mode=mode)
+    write_pairs_text(count_words(spread(lines), "value"), output_path, mode=mode)
 
 
 def application_events_job(
     spark: SparkSession,
     log_paths: str | list[str],
     output_path: str,
+    mode: str = "errorifexists",
 ) -> None:
     """Start and end messages of every application in event-log folders,
     saved as JSON lines ``app_id, event, time_ms, message``."""
     events = application_events(read_event_log_lines(spark, log_paths))
-    write_json_lines(events, output_path)
+    write_json_lines(events, output_path, mode=mode)
