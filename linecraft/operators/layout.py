@@ -5,19 +5,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Suffixes of compressed text that Hadoop cannot split: one file, one task.
+UNSPLITTABLE_SUFFIXES = (".gz", ".deflate", ".lz4", ".snappy", ".zst", ".zstd")
+DEFAULT_MAX_TASK_BYTES = 128 * 1024 * 1024
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a narrow scan over at least ``min_partitions`` tasks.
+
+def _largest_unsplittable_file(df: DataFrame) -> int:
+    """Bytes of the largest unsplittable input file of ``df`` (0 if none).
+
+    Lists only those files' lengths (the ``binaryFile`` source reads no
+    content when ``content`` is not selected); one small job, and none at
+    all when no input file is compressed that way.
+    """
+    files = [f for f in df.inputFiles() if f.lower().endswith(UNSPLITTABLE_SUFFIXES)]
+    if not files:
+        return 0
+    spark = df.sparkSession
+    largest = spark.read.format("binaryFile").load(files).agg(F.max("length")).first()[0]
+    return int(largest or 0)
+
+
+def spread(
+    df: DataFrame,
+    min_partitions: int | None = None,
+    max_task_bytes: int = DEFAULT_MAX_TASK_BYTES,
+) -> DataFrame:
+    """Spread a scan whose tasks would be too few or too uneven.
 
     A gzip file, or a parquet file with one row group, is read by a single
-    task however large it is. When the scan has fewer partitions than
-    ``min_partitions`` (default: twice the cluster's default parallelism, so
-    that uneven rows still balance across cores), rows are
-    hash-spread on their position in the scan, which is stable across task
-    retries and has no hot key, and needs no sort (round-robin repartition
-    sorts every map partition first to stay deterministic). A scan that is
-    already wide is returned untouched, so a large input never pays an extra
-    shuffle.
+    task however large it is. Rows are spread when the scan has fewer
+    partitions than ``min_partitions`` (default: twice the cluster's default
+    parallelism, so uneven rows still balance across cores), or when one
+    unsplittable compressed input file is larger than ``max_task_bytes``
+    (one file may hold a third of all lines while the scan looks wide).
+    Spreading hash-partitions rows on their position in the scan: stable
+    across task retries, no hot key, and no sort (round-robin repartition
+    sorts every map partition first to stay deterministic). A balanced scan
+    is returned untouched, so a large input never pays an extra shuffle.
 
     Call it on a source frame (a scan plus narrow steps): the partition count
     is read from the plan without running a job.
@@ -28,6 +52,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
         current = df.rdd.getNumPartitions()
     except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
         return df
-    if current >= n:
-        return df
-    return df.repartition(n, F.monotonically_increasing_id())
+    if current < n:
+        return df.repartition(n, F.monotonically_increasing_id())
+    if _largest_unsplittable_file(df) > max_task_bytes:
+        return df.repartition(max(n, current), F.monotonically_increasing_id())
+    return df
