@@ -131,3 +131,20 @@ def test_running_word_counts_stream(spark, tmp_path):
     df = spark.read.parquet(out)
     latest = df.groupBy("word").agg(F.max_by("cnt", "batch_id").alias("cnt"))
     assert {r.word: r.cnt for r in latest.collect()} == {"a": 3, "b": 1, "c": 1}
+
+
+def test_command_line_log_analysis(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    (tmp_path / "a.log").write_text("\n".join(_log_lines(4, 2)) + "\n")
+    out = subprocess.run(
+        [sys.executable, "-m", "linecraft", "--master", "local[2]", "log-analysis",
+         str(tmp_path / "a.log"), str(tmp_path / "out"), "--fmt", "json"],
+        cwd=root, capture_output=True, text=True, timeout=600,
+    )
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert json.loads(out.stdout.strip().splitlines()[-1]) == {"total": 6, "failed": 2, "ok": 4}
+    assert len(list((tmp_path / "out").glob("part-*"))) >= 1
