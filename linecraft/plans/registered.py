@@ -32,8 +32,11 @@ def _documents(spark: SparkSession, d: str) -> DataFrame:
     return spread(read_table(spark, d, "documents", DOCUMENTS_SCHEMA).select("doc_id", "text"))
 
 
-def _events(spark: SparkSession, d: str, *cols: str) -> DataFrame:
-    return spread(read_table(spark, d, "events", EVENTS_SCHEMA).select(*cols))
+def _events(spark: SparkSession, d: str, *cols: str, heavy: bool = True) -> DataFrame:
+    # Spread the (single-row-group) table only before heavy per-row work;
+    # for light work the extra exchange costs more than it saves.
+    events = read_table(spark, d, "events", EVENTS_SCHEMA).select(*cols)
+    return spread(events) if heavy else events
 
 
 def scan_lines(spark: SparkSession, d: str) -> DataFrame:
@@ -90,7 +93,7 @@ def log_content_size(spark: SparkSession, d: str) -> DataFrame:
 
 
 def log_json(spark: SparkSession, d: str) -> DataFrame:
-    events = _events(spark, d, "event_id", "event_type")
+    events = _events(spark, d, "event_id", "event_type", heavy=False)
     return events.select(
         "event_id",
         record_json("event_id", "event_type", F.lit(None).cast("string").alias("note")).alias("json"),
@@ -98,7 +101,7 @@ def log_json(spark: SparkSession, d: str) -> DataFrame:
 
 
 def partition_report_q(spark: SparkSession, d: str) -> DataFrame:
-    report = partition_report(_events(spark, d, "event_id"))
+    report = partition_report(_events(spark, d, "event_id", heavy=False))
     return report.agg(F.sum("row_count").alias("row_count"))
 
 
