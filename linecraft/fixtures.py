@@ -4,76 +4,63 @@ The test tables hold no access logs and no event logs, so these functions
 write lines of that shape from ``events`` rows. They only produce input rows;
 every parse, filter and count is done by the operators, which know nothing of
 how the lines were made. The same renderings, in DuckDB SQL, open the oracle
-queries in ``__spark_entry__.py``.
+queries in ``linecraft/plans/registered.py``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 # Fixed value: English month abbreviations as used in access-log times.
 _MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
+_MONTH_ARRAY = "array(" + ", ".join(f"'{m}'" for m in _MONTHS) + ")"
 
 
-def _clf_time(ts: str) -> F.Column:
-    # dd/MMM/yyyy:HH:mm:ss from field values, so the text does not depend on
-    # the session time zone (ts is timestamp_ntz).
-    t = F.col(ts)
+def _two(expr: str) -> str:
+    return f"lpad(CAST({expr} AS string), 2, '0')"
 
-    def two(c):
-        return F.lpad(c.cast("string"), 2, "0")
 
-    month = F.element_at(F.array(*[F.lit(m) for m in _MONTHS]), F.month(t))
-    return F.concat(
-        two(F.dayofmonth(t)), F.lit("/"), month, F.lit("/"), F.year(t).cast("string"), F.lit(":"),
-        two(F.hour(t)), F.lit(":"), two(F.minute(t)), F.lit(":"), two(F.second(t)),
-    )
+# dd/MMM/yyyy:HH:mm:ss from field values, so the text does not depend on the
+# session time zone (ts is timestamp_ntz).
+_CLF_TIME = (
+    f"concat({_two('dayofmonth(ts)')}, '/', element_at({_MONTH_ARRAY}, month(ts)), '/', "
+    f"CAST(year(ts) AS string), ':', {_two('hour(ts)')}, ':', {_two('minute(ts)')}, ':', "
+    f"{_two('second(ts)')})"
+)
+
+_ACCESS_LOG_LINE = f"""
+CASE WHEN event_id % 11 = 0 THEN concat('malformed line ', CAST(event_id AS string))
+ELSE concat(
+  'u', CAST(user_id AS string), '.example.net - - [', {_CLF_TIME}, ' -0400] "',
+  CASE WHEN event_type = 'purchase' THEN 'POST' ELSE 'GET' END,
+  ' /', event_type, '/', CAST(event_id AS string),
+  CASE WHEN event_id % 7 = 0 THEN '' ELSE ' HTTP/1.0' END, '" ',
+  CASE WHEN event_type = 'error' THEN '500' WHEN event_id % 10 = 3 THEN '404' ELSE '200' END, ' ',
+  CASE WHEN event_id % 5 = 0 THEN '-' WHEN event_id % 17 = 0 THEN '12x'
+       ELSE CAST((event_id * 37) % 5000 AS string) END,
+  CASE WHEN event_id % 13 = 0 THEN ' trailing' ELSE '' END)
+END"""
+
+_APP = "concat('app-', CAST(event_id div 4 AS string))"
+_TS = "CAST(1700000000000 + event_id * 1000 AS string)"
+_EVENT_LOG_LINE = f"""
+CASE event_id % 4
+  WHEN 0 THEN concat('{{"Event":"SparkListenerApplicationStart","App Name":"demo","App ID":"', {_APP},
+                     '","Timestamp":', {_TS}, ',"User":"u"}}')
+  WHEN 1 THEN concat('{{"Event":"SparkListenerJobStart","Job ID":', CAST(event_id AS string), '}}')
+  WHEN 2 THEN concat('{{"Event":"SparkListenerApplicationEnd","Timestamp":', {_TS}, '}}')
+  ELSE '{{"Event":"SparkListenerAppl'
+END"""
 
 
 def access_log_lines(events: DataFrame) -> DataFrame:
     """``event_id bigint, value string``: one access-log line per event; some
     are malformed, have trailing text, no protocol, a ``-`` size or a size
     that is not a number."""
-    e = F.col("event_id")
-    method = F.when(F.col("event_type") == "purchase", F.lit("POST")).otherwise(F.lit("GET"))
-    protocol = F.when(e % 7 == 0, F.lit("")).otherwise(F.lit(" HTTP/1.0"))
-    status = (
-        F.when(F.col("event_type") == "error", F.lit("500"))
-        .when(e % 10 == 3, F.lit("404"))
-        .otherwise(F.lit("200"))
-    )
-    size = (
-        F.when(e % 5 == 0, F.lit("-"))
-        .when(e % 17 == 0, F.lit("12x"))
-        .otherwise(((e * 37) % 5000).cast("string"))
-    )
-    tail = F.when(e % 13 == 0, F.lit(" trailing")).otherwise(F.lit(""))
-    good = F.concat(
-        F.lit("u"), F.col("user_id").cast("string"), F.lit(".example.net - - ["), _clf_time("ts"),
-        F.lit(' -0400] "'), method, F.lit(" /"), F.col("event_type"), F.lit("/"), e.cast("string"),
-        protocol, F.lit('" '), status, F.lit(" "), size, tail,
-    )
-    value = F.when(e % 11 == 0, F.concat(F.lit("malformed line "), e.cast("string"))).otherwise(good)
-    return events.select("event_id", value.alias("value"))
+    return events.selectExpr("event_id", f"{_ACCESS_LOG_LINE} AS value")
 
 
 def event_log_lines(events: DataFrame) -> DataFrame:
     """``path string, value string``: JSON event-log lines, four per
     application log: start, a job event, end, and a line cut short."""
-    e = F.col("event_id")
-    app = F.concat(F.lit("app-"), F.expr("event_id div 4").cast("string"))
-    ts = (F.lit(1700000000000) + e * 1000).cast("string")
-    value = (
-        F.when(
-            e % 4 == 0,
-            F.concat(
-                F.lit('{"Event":"SparkListenerApplicationStart","App Name":"demo","App ID":"'), app,
-                F.lit('","Timestamp":'), ts, F.lit(',"User":"u"}'),
-            ),
-        )
-        .when(e % 4 == 1, F.concat(F.lit('{"Event":"SparkListenerJobStart","Job ID":'), e.cast("string"), F.lit("}")))
-        .when(e % 4 == 2, F.concat(F.lit('{"Event":"SparkListenerApplicationEnd","Timestamp":'), ts, F.lit("}")))
-        .otherwise(F.lit('{"Event":"SparkListenerAppl'))
-    )
-    return events.select(F.concat(F.lit("/logs/"), app).alias("path"), value.alias("value"))
+    return events.selectExpr(f"concat('/logs/', {_APP}) AS path", f"{_EVENT_LOG_LINE} AS value")

@@ -1,10 +1,18 @@
-"""Column expressions that parse one web-server access-log line.
-
-The whole-line pattern is evaluated once per line: ``regexp_replace`` rewrites
-a matching line into its nine groups joined by U+0001 and ``split`` cuts them
-apart. A line that already holds U+0001 could fake a match that way, so such
-lines take the slower nine-``regexp_extract`` route instead. Both routes give
-the same groups as a whole-line match of the pattern.
+"""Expressions that parse one web-server access-log line.
+
+Most expressions are written once as Spark SQL text (``*_sql`` functions
+take column names or SQL expressions and return SQL); the Column forms wrap
+that text with ``F.expr``. One SQL string is one call into the JVM, where
+building the same tree from Column objects takes hundreds. The SQL text
+holds no backslash, so it means the same under any string-escape setting;
+the regex is passed to Spark as a plain string through the Column API
+(:func:`access_log_split`) and never parsed as SQL.
+
+The whole-line pattern is evaluated once per line: ``regexp_replace``
+rewrites a matching line into its nine groups joined by U+0001 and ``split``
+cuts them apart. A line that already holds U+0001 could fake a match that
+way, so such lines take the slower nine-``regexp_extract`` route instead.
+Both routes give the same groups as a whole-line match of the pattern.
 """
 
 from __future__ import annotations
@@ -22,89 +30,103 @@ from .constants import (
 
 _SEP = "\u0001"
 _GROUPS_JOINED = _SEP.join(f"${i}" for i in range(1, 10))
-# A size is a Java long: optional sign, ASCII digits, nothing else.
-_LONG_TEXT_REGEX = r"^[+-]?[0-9]+\z"
-
+_DIGITS = "0123456789"
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
 
-
-def access_log_split(line: Column | str) -> Column:
+def access_log_split(line: str) -> Column:
     """array<string>: the nine groups if the whole line matches; otherwise an
-    array of another length, or null. Pass it to :func:`access_log_groups`."""
-    v = _col(line)
+    array of another length, or null. Feed it to :func:`access_log_groups_sql`
+    in a later projection, so the regex runs once per line."""
+    v = F.expr(line)
     one_pass = F.split(F.regexp_replace(v, ACCESS_LOG_LINE_REGEX, _GROUPS_JOINED), _SEP, -1)
     per_group = F.array(*[F.regexp_extract(v, ACCESS_LOG_LINE_REGEX, i) for i in range(1, 10)])
-    return (
-        F.when(F.instr(v, _SEP) == 0, one_pass)
-        .when(v.rlike(ACCESS_LOG_LINE_REGEX), per_group)
-    )
-
+    return F.when(F.instr(v, _SEP) == 0, one_pass).when(v.rlike(ACCESS_LOG_LINE_REGEX), per_group)
 
-def access_log_groups(split: Column | str) -> Column:
-    """array<string> of the nine groups if the line matched, else null.
 
-    Takes the result of :func:`access_log_split`. Keep the two in separate
-    projections (``withColumn`` twice) so the regex runs once per line.
-    """
-    s = _col(split)
-    return F.when(F.size(s) == 9, s)
+def access_log_groups_sql(split: str) -> str:
+    """array<string> of the nine groups if the line matched, else null."""
+    return f"CASE WHEN size({split}) = 9 THEN {split} END"
 
 
-def groups_matched(groups: Column | str) -> Column:
-    """True if :func:`access_log_groups` found a whole-line match."""
-    return _col(groups).isNotNull()
-
-
-def _time_parts(time_text: Column) -> tuple[Column, Column]:
+def _wall_sql(time_text: str) -> str:
     # The group is `[\w:/]+\s[+-]\d{4}`: wall clock, one blank, offset.
-    wall = F.left(time_text, F.length(time_text) - F.lit(6))
-    offset = F.right(time_text, F.lit(5))
-    return wall, offset
+    return f"left({time_text}, length({time_text}) - 6)"
 
 
-def request_instant(time_text: Column | str) -> Column:
+def request_instant_sql(time_text: str) -> str:
     """timestamp: the request time with its UTC offset applied; null if the
     text is not a real date (no roll-over of day 32 or hour 25)."""
-    t = _col(time_text)
-    wall, offset = _time_parts(t)
-    return F.try_to_timestamp(F.concat(wall, F.lit(" "), offset), F.lit(ACCESS_LOG_TIME_LAYOUT + " Z"))
+    return (
+        f"try_to_timestamp(concat({_wall_sql(time_text)}, ' ', right({time_text}, 5)), "
+        f"'{ACCESS_LOG_TIME_LAYOUT} Z')"
+    )
 
 
-def request_wall_clock(time_text: Column | str, instant: Column | str) -> Column:
+def request_wall_clock_sql(time_text: str, instant: str) -> str:
     """timestamp_ntz: the wall-clock reading of the request time, offset
     ignored (how the original program read it). Null where ``instant`` is
     null, which also keeps the ANSI parse from raising on bad text."""
-    t = _col(time_text)
-    wall, _ = _time_parts(t)
-    return F.when(
-        _col(instant).isNotNull(),
-        F.to_timestamp_ntz(wall, F.lit(ACCESS_LOG_TIME_LAYOUT)),
+    return (
+        f"CASE WHEN {instant} IS NOT NULL "
+        f"THEN to_timestamp_ntz({_wall_sql(time_text)}, '{ACCESS_LOG_TIME_LAYOUT}') END"
     )
 
 
-def status_code(text: Column | str) -> Column:
+def status_code_sql(text: str) -> str:
     """int from the three-digit status group."""
-    return _col(text).try_cast("int")
+    return f"try_cast({text} AS int)"
 
 
-def content_size(text: Column | str) -> Column:
-    """bigint size: ``-`` is 0, a Java long is its value, anything else null."""
-    t = _col(text)
+def content_size_sql(text: str) -> str:
+    """bigint size: ``-`` is 0, a Java long (optional sign, ASCII digits) is
+    its value, anything else null. The digit check is a ``translate``, not a
+    regex: no per-row pattern matching and no backslash in the SQL."""
+    unsigned = f"CASE WHEN left({text}, 1) IN ('+', '-') THEN substring({text}, 2) ELSE {text} END"
     return (
-        F.when(t == "-", F.lit(0).cast("bigint"))
-        .when(t.rlike(_LONG_TEXT_REGEX), t.try_cast("bigint"))
+        f"CASE WHEN {text} = '-' THEN 0L "
+        f"WHEN ({unsigned}) <> '' AND translate({unsigned}, '{_DIGITS}', '') = '' "
+        f"THEN try_cast({text} AS bigint) END"
     )
 
 
-def reject_reason(matched: Column | str, instant: Column | str, size: Column | str) -> Column:
+def reject_reason_sql(matched: str, instant: str, size: str) -> str:
     """Why a line is not a record: no match, bad time, bad size; else null.
 
     Checked in the order the original program evaluates the fields (time
     before size)."""
     return (
-        F.when(~_col(matched), F.lit(NO_MATCH))
-        .when(_col(instant).isNull(), F.lit(BAD_TIME))
-        .when(_col(size).isNull(), F.lit(BAD_SIZE))
+        f"CASE WHEN NOT {matched} THEN '{NO_MATCH}' WHEN {instant} IS NULL THEN '{BAD_TIME}' "
+        f"WHEN {size} IS NULL THEN '{BAD_SIZE}' END"
     )
+
+
+# Column forms ----------------------------------------------------------------
+
+
+def access_log_groups(split: str) -> Column:
+    return F.expr(access_log_groups_sql(split))
+
+
+def groups_matched(groups: str) -> Column:
+    """True if :func:`access_log_groups` found a whole-line match."""
+    return F.expr(f"{groups} IS NOT NULL")
+
+
+def request_instant(time_text: str) -> Column:
+    return F.expr(request_instant_sql(time_text))
+
+
+def request_wall_clock(time_text: str, instant: str) -> Column:
+    return F.expr(request_wall_clock_sql(time_text, instant))
+
+
+def status_code(text: str) -> Column:
+    return F.expr(status_code_sql(text))
+
+
+def content_size(text: str) -> Column:
+    return F.expr(content_size_sql(text))
+
+
+def reject_reason(matched: str, instant: str, size: str) -> Column:
+    return F.expr(reject_reason_sql(matched, instant, size))

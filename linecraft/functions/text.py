@@ -1,7 +1,9 @@
-"""Column expressions for line and word splitting.
+"""Expressions for line and word splitting.
 
-All of them are built-in Spark SQL expressions, so they run inside whole-stage
-codegen with no Python in the hot path.
+Written once as Spark SQL text (``*_sql`` take a column name or SQL
+expression); the Column forms wrap it with ``F.expr``. All are built-in
+expressions, so they run inside whole-stage codegen with no Python in the
+hot path.
 """
 
 from __future__ import annotations
@@ -13,13 +15,15 @@ from .constants import WORD_SEPARATOR
 
 # Line terminators as the Hadoop line reader sees them; `\r\n` is one break.
 LINE_BREAK_REGEX = r"\r\n|\r|\n"
+# The same alternation spelt with the characters themselves, so the SQL text
+# holds no backslash (the meaning of one depends on the session's escape
+# setting).
+_CR, _LF = "chr(13)", "chr(10)"
+_LINE_BREAK_SQL = f"concat({_CR}, {_LF}, '|', {_CR}, '|', {_LF})"
+assert WORD_SEPARATOR == " "
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def split_lines(text: Column | str) -> Column:
+def split_lines_sql(text: str) -> str:
     r"""array<string> of the lines of a text, with the text-file reader's rules.
 
     ``\n``, ``\r\n`` and ``\r`` end a line; empty lines are kept; a final
@@ -30,20 +34,20 @@ def split_lines(text: Column | str) -> Column:
     end would still be tried at every character), and a text without ``\r``
     is split on ``\n`` alone, which Java splits without the regex engine.
     """
-    t = _col(text)
+    t = text
     body = (
-        F.when(t.endswith("\r\n"), F.left(t, F.length(t) - F.lit(2)))
-        .when(t.endswith("\n") | t.endswith("\r"), F.left(t, F.length(t) - F.lit(1)))
-        .otherwise(t)
+        f"CASE WHEN endswith({t}, concat({_CR}, {_LF})) THEN left({t}, length({t}) - 2) "
+        f"WHEN endswith({t}, {_LF}) OR endswith({t}, {_CR}) THEN left({t}, length({t}) - 1) "
+        f"ELSE {t} END"
     )
     return (
-        F.when(t == "", F.array().cast("array<string>"))
-        .when(F.instr(t, "\r") == 0, F.split(body, "\n", -1))
-        .otherwise(F.split(body, LINE_BREAK_REGEX, -1))
+        f"CASE WHEN {t} = '' THEN CAST(array() AS array<string>) "
+        f"WHEN instr({t}, {_CR}) = 0 THEN split({body}, {_LF}, -1) "
+        f"ELSE split({body}, {_LINE_BREAK_SQL}, -1) END"
     )
 
 
-def split_words(line: Column | str) -> Column:
+def split_words_sql(line: str) -> str:
     """array<string> of the words of one line, split on single ASCII spaces.
 
     Same result as Java's ``line.split(" ")``: a tab does not split, empty
@@ -52,16 +56,26 @@ def split_words(line: Column | str) -> Column:
     Spark's ``split`` keeps trailing empties, so trailing spaces are removed
     first (``rtrim`` removes ASCII spaces only).
     """
-    ln = _col(line)
-    trimmed = F.rtrim(ln)
     return (
-        F.when(ln == "", F.array(F.lit("")))
-        .when(trimmed == "", F.array().cast("array<string>"))
-        .otherwise(F.split(trimmed, WORD_SEPARATOR, -1))
+        f"CASE WHEN {line} = '' THEN array('') "
+        f"WHEN rtrim({line}) = '' THEN CAST(array() AS array<string>) "
+        f"ELSE split(rtrim({line}), ' ', -1) END"
     )
 
 
-def pair_text(key: Column | str, count: Column | str) -> Column:
+def pair_text_sql(key: str, count: str) -> str:
     """``(key,count)``: the text form of a key/count pair (tuple form, no
     quotes, no space)."""
-    return F.concat(F.lit("("), _col(key), F.lit(","), _col(count).cast("string"), F.lit(")"))
+    return f"concat('(', {key}, ',', CAST({count} AS string), ')')"
+
+
+def split_lines(text: str) -> Column:
+    return F.expr(split_lines_sql(text))
+
+
+def split_words(line: str) -> Column:
+    return F.expr(split_words_sql(line))
+
+
+def pair_text(key: str, count: str) -> Column:
+    return F.expr(pair_text_sql(key, count))

@@ -8,16 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.access_log import (
-    access_log_groups,
+    access_log_groups_sql,
     access_log_split,
-    content_size,
-    groups_matched,
-    reject_reason,
-    request_instant,
-    request_wall_clock,
-    status_code,
+    content_size_sql,
+    reject_reason_sql,
+    request_instant_sql,
+    request_wall_clock_sql,
+    status_code_sql,
 )
 from ..functions.constants import BAD_SIZE, BAD_TIME, EMPTY_INPUT_MESSAGE
+from ..functions.names import quote
 
 RECORD_COLUMNS = (
     "remote_host",
@@ -49,81 +49,77 @@ def tag_access_log(lines: DataFrame, value_col: str = "value", on_error: str = "
     """
     if on_error not in ("reject", "fail"):
         raise ValueError(f"on_error must be 'reject' or 'fail', not {on_error!r}")
-    v = F.col(value_col)
+    v = quote(value_col)
+    inputs = [quote(c) for c in lines.columns]
     # Each step is its own projection so that the regex result is computed
     # once and then only referenced (Catalyst does not inline a costly
     # expression into several consumers).
-    step = lines.withColumn("__s", access_log_split(v))
-    step = step.withColumn("__g", access_log_groups("__s"))
-    g = F.col("__g")
-    step = step.select(
-        "*",
-        groups_matched(g).alias("__m"),
-        g[0].alias("remote_host"),
-        g[1].alias("remote_identity"),
-        g[2].alias("local_identity"),
-        g[3].alias("__time"),
-        g[4].alias("method"),
-        g[5].alias("endpoint"),
-        g[6].alias("protocol"),
-        g[7].alias("__code"),
-        content_size(g[8]).alias("content_size"),
+    step = lines.select("*", access_log_split(v).alias("__s"))
+    step = step.selectExpr("*", f"{access_log_groups_sql('__s')} AS __g")
+    step = step.selectExpr(
+        *inputs,
+        "__g IS NOT NULL AS __m",
+        "__g[0] AS remote_host",
+        "__g[1] AS remote_identity",
+        "__g[2] AS local_identity",
+        "__g[3] AS __time",
+        "__g[4] AS method",
+        "__g[5] AS endpoint",
+        "__g[6] AS protocol",
+        "__g[7] AS __code",
+        f"{content_size_sql('__g[8]')} AS content_size",
     )
-    step = step.withColumn("request_time", request_instant("__time"))
-    step = step.withColumn("reject_reason", reject_reason("__m", "request_time", "content_size"))
-    decided = [F.col(c) for c in lines.columns] + [
-        F.col(c)
-        for c in (
+    step = step.selectExpr("*", f"{request_instant_sql('__time')} AS request_time")
+    step = step.selectExpr("*", f"{reject_reason_sql('__m', 'request_time', 'content_size')} AS reject_reason")
+    decided = ", ".join(
+        inputs
+        + [
             "remote_host", "remote_identity", "local_identity", "__time", "request_time",
             "method", "endpoint", "protocol", "__code", "content_size",
-        )
-    ] + [
-        F.when(F.col("reject_reason").isNull(), F.lit(1)).otherwise(F.lit(0)).alias("parsed"),
-        F.col("reject_reason"),
-    ]
+            "CASE WHEN reject_reason IS NULL THEN 1 ELSE 0 END AS parsed",
+            "reject_reason",
+        ]
+    )
     # Barrier: the row leaves through a one-element `inline`. A later
     # `where(parsed = 1)` cannot be pushed below a generator, so the
     # optimizer does not copy the regex and time parse into the filter (it
     # otherwise inlines them once per use, which runs the regex many times
     # per line and outgrows the 64 KB codegen limit).
-    tagged = step.select(F.inline(F.array(F.struct(*decided))))
+    tagged = step.selectExpr(f"inline(array(struct({decided})))")
     if on_error == "fail":
-        bad = F.col("reject_reason").isin(BAD_TIME, BAD_SIZE)
         tagged = tagged.where(
-            F.when(bad, F.raise_error(F.concat(F.lit("unparsable access-log line: "), v))).otherwise(F.lit(True))
+            f"CASE WHEN reject_reason IN ('{BAD_TIME}', '{BAD_SIZE}') "
+            f"THEN raise_error(concat('unparsable access-log line: ', {v})) ELSE true END"
         )
     # Fields not needed to decide `parsed` are derived after the barrier:
     # column pruning drops them when unused, and filters run before them.
-    tagged = tagged.select(
-        *[F.col(c) for c in lines.columns],
+    return tagged.selectExpr(
+        *inputs,
         "remote_host",
         "remote_identity",
         "local_identity",
         "request_time",
-        request_wall_clock("__time", "request_time").alias("request_time_local"),
+        f"{request_wall_clock_sql('__time', 'request_time')} AS request_time_local",
         "method",
         "endpoint",
         "protocol",
-        status_code("__code").alias("response_code"),
+        f"{status_code_sql('__code')} AS response_code",
         "content_size",
         "parsed",
         "reject_reason",
     )
-    return tagged
 
 
 def parsed_records(tagged: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
     """Only parsed lines, as records: the ``keep`` columns and the ten record
     columns."""
-    return tagged.where(F.col("parsed") == 1).select(*keep, *RECORD_COLUMNS)
+    return tagged.where("parsed = 1").select(*keep, *RECORD_COLUMNS)
 
 
 def rejected_lines(tagged: DataFrame, keep: Iterable[str] = (), value_col: str = "value") -> DataFrame:
     """Only lines that are not records: the ``keep`` columns, the raw line and
     ``reason``."""
-    return tagged.where(F.col("parsed") == 0).select(
-        *keep, value_col, F.col("reject_reason").alias("reason")
-    )
+    return tagged.where("parsed = 0").select(*keep, value_col, F.col("reject_reason").alias("reason"))
 
 
 def access_log_counts(tagged: DataFrame, fail_on_empty: bool = True) -> DataFrame:
@@ -133,16 +129,15 @@ def access_log_counts(tagged: DataFrame, fail_on_empty: bool = True) -> DataFram
     is no line at all. The check is part of the same aggregate, so it costs no
     extra job. Each task sends one partial row to the final aggregate.
     """
-    counts = tagged.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col("parsed") == 0).alias("failed"),
-        F.count_if(F.col("parsed") == 1).alias("ok"),
+    counts = tagged.selectExpr(
+        "count(1) AS total",
+        "count_if(parsed = 0) AS failed",
+        "count_if(parsed = 1) AS ok",
     )
     if not fail_on_empty:
         return counts
-    total = F.col("total")
-    return counts.select(
-        F.when(total == 0, F.raise_error(F.lit(EMPTY_INPUT_MESSAGE))).otherwise(total).alias("total"),
+    return counts.selectExpr(
+        f"CASE WHEN total = 0 THEN raise_error('{EMPTY_INPUT_MESSAGE}') ELSE total END AS total",
         "failed",
         "ok",
     )

@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.names import quote
 from ..functions.text import pair_text, split_words
 
 
@@ -17,7 +18,7 @@ def tokenize(lines: DataFrame, line_col: str = "line", keep: Iterable[str] = ())
     ``String.split(" ")`` rules (see :func:`linecraft.functions.split_words`);
     no case folding, no punctuation removal.
     """
-    return lines.select(*keep, F.explode(split_words(line_col)).alias("word"))
+    return lines.select(*keep, F.explode(split_words(quote(line_col))).alias("word"))
 
 
 def word_count(words: DataFrame, word_col: str = "word") -> DataFrame:

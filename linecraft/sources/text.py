@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.names import quote
 from ..functions.text import split_lines
 
 
@@ -74,7 +75,7 @@ def lines_of(df: DataFrame, text_col: str = "text", keep: Iterable[str] = ()) ->
     Output: the ``keep`` columns and ``line string``. Line breaks follow the
     text-file reader (see :func:`linecraft.functions.split_lines`).
     """
-    return df.select(*keep, F.explode(split_lines(text_col)).alias("line"))
+    return df.select(*keep, F.explode(split_lines(quote(text_col))).alias("line"))
 
 
 def read_table(spark: SparkSession, data_dir: str, name: str, schema: str | None = None) -> DataFrame:

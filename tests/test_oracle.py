@@ -31,13 +31,18 @@ def test_entry(spark):
     assert df.columns == ["word", "cnt"] and df.count() > 0
 
 
-@pytest.mark.parametrize("name", ["log_tagged", "log_parsed", "log_counts", "app_events", "word_count"])
-def test_query_independent_of_session_zone_and_ansi(spark, con, name):
+@pytest.mark.parametrize("name", ["log_tagged", "log_parsed", "log_counts", "app_events", "word_count", "scan_lines"])
+def test_query_independent_of_session_settings(spark, con, name):
+    """Zone, ANSI mode and string-escape rules of the session do not change
+    any result (the SQL text uses raw literals and chr() for control
+    characters)."""
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     spark.conf.set("spark.sql.ansi.enabled", "false")
+    spark.conf.set("spark.sql.parser.escapedStringLiterals", "true")
     try:
         r = compare(QUERIES[name](spark, SF_SMALL), con, ORACLES[name])
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         spark.conf.set("spark.sql.ansi.enabled", "true")
+        spark.conf.set("spark.sql.parser.escapedStringLiterals", "false")
     assert r["columns_match"] and r["values_match"], r
