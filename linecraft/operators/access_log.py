@@ -19,6 +19,17 @@ from ..functions.access_log import (
 from ..functions.constants import BAD_SIZE, BAD_TIME, EMPTY_INPUT_MESSAGE
 from ..functions.names import quote
 
+_GROUP_NAMES = (
+    "remote_host",
+    "remote_identity",
+    "local_identity",
+    "__time",
+    "method",
+    "endpoint",
+    "protocol",
+    "__code",
+)
+
 RECORD_COLUMNS = (
     "remote_host",
     "remote_identity",
@@ -55,19 +66,12 @@ def tag_access_log(lines: DataFrame, value_col: str = "value", on_error: str = "
     # once and then only referenced (Catalyst does not inline a costly
     # expression into several consumers).
     step = lines.select("*", access_log_split(v).alias("__s"))
-    step = step.selectExpr("*", f"{access_log_groups_sql('__s')} AS __g")
+    g = access_log_groups_sql("__s")  # refers to the column, not the regex
     step = step.selectExpr(
         *inputs,
-        "__g IS NOT NULL AS __m",
-        "__g[0] AS remote_host",
-        "__g[1] AS remote_identity",
-        "__g[2] AS local_identity",
-        "__g[3] AS __time",
-        "__g[4] AS method",
-        "__g[5] AS endpoint",
-        "__g[6] AS protocol",
-        "__g[7] AS __code",
-        f"{content_size_sql('__g[8]')} AS content_size",
+        f"({g}) IS NOT NULL AS __m",
+        *[f"({g})[{i}] AS {name}" for i, name in enumerate(_GROUP_NAMES)],
+        f"{content_size_sql(f'({g})[8]')} AS content_size",
     )
     step = step.selectExpr("*", f"{request_instant_sql('__time')} AS request_time")
     step = step.selectExpr("*", f"{reject_reason_sql('__m', 'request_time', 'content_size')} AS reject_reason")
