@@ -9,6 +9,8 @@ driver or executor neither skips nor repeats input.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -26,8 +28,13 @@ def stream_lines(spark: SparkSession, input_dir: str, max_files_per_trigger: int
     return reader.load(input_dir)
 
 
-def _checkpoint(spark: SparkSession, name: str, given: str | None) -> str:
-    return given or f"{checkpoint_root(spark)}/linecraft-stream-{name}"
+def _checkpoint(spark: SparkSession, name: str, given: str | None, *paths: str) -> str:
+    # One folder per (job kind, input, output): two streams never share
+    # progress or state, and a restarted stream finds its own again.
+    if given:
+        return given
+    key = hashlib.sha1("\n".join(paths).encode()).hexdigest()[:16]
+    return f"{checkpoint_root(spark)}/linecraft-stream-{name}-{key}"
 
 
 def start_parsed_log_stream(
@@ -44,7 +51,7 @@ def start_parsed_log_stream(
     writer = (
         records.writeStream.format("parquet")
         .option("path", output_dir)
-        .option("checkpointLocation", _checkpoint(spark, "parsed-logs", checkpoint))
+        .option("checkpointLocation", _checkpoint(spark, "parsed-logs", checkpoint, input_dir, output_dir))
         .outputMode("append")
     )
     if available_now:
@@ -84,7 +91,7 @@ def start_running_counts_stream(
 
     writer = (
         totals.writeStream.outputMode("update")
-        .option("checkpointLocation", _checkpoint(spark, f"counts-{kind}", checkpoint))
+        .option("checkpointLocation", _checkpoint(spark, f"counts-{kind}", checkpoint, input_dir, output_dir))
         .foreachBatch(_write_batch)
     )
     if available_now:

@@ -148,3 +148,12 @@ def test_command_line_log_analysis(tmp_path):
     assert out.returncode == 0, out.stderr[-2000:]
     assert json.loads(out.stdout.strip().splitlines()[-1]) == {"total": 6, "failed": 2, "ok": 4}
     assert len(list((tmp_path / "out").glob("part-*"))) >= 1
+
+
+def test_default_checkpoints_are_per_stream(spark, tmp_path):
+    from linecraft.streaming.file_stream import _checkpoint
+
+    a = _checkpoint(spark, "parsed-logs", None, "/in/a", "/out/a")
+    b = _checkpoint(spark, "parsed-logs", None, "/in/b", "/out/a")
+    assert a != b and a == _checkpoint(spark, "parsed-logs", None, "/in/a", "/out/a")
+    assert a.startswith(checkpoint_root(spark))
