@@ -99,3 +99,17 @@ def test_real_event_logs(spark, event_log_dir):
     assert len(by_app) == 3
     for app, ev in by_app.items():
         assert set(ev) == {"start", "end"} and ev["start"] <= ev["end"], app
+
+
+def test_results_survive_a_failed_task():
+    """A task that dies once is re-run; the word count is exact and the
+    report shows the retry in attempt_number instead of sending twice."""
+    out = subprocess.run([sys.executable, os.path.join(HERE, "helpers", "retry_job.py")],
+                         capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    res = json.loads(out.stdout.strip().splitlines()[-1])
+    assert res["counts"] == {**{f"w{k}": sum(1 for i in range(1000) if i % 7 == k) for k in range(7)}, "x": 1000}
+    by_part = {r["partition_id"]: r for r in res["report"]}
+    assert sorted(by_part) == [0, 1, 2, 3]
+    assert by_part[1]["attempt_number"] == 1 and by_part[0]["attempt_number"] == 0
+    assert sum(r["row_count"] for r in res["report"]) == 1000
