@@ -28,7 +28,7 @@ TOKEN_CASES = [
 
 
 def java_split_space(s):
-    """Reference model of Java's s.split(" ")."""
+    """Plain-Python model of Java's s.split(" ")."""
     if " " not in s:
         return [s]
     parts = s.split(" ")
@@ -38,7 +38,7 @@ def java_split_space(s):
 
 
 def hadoop_lines(text):
-    """Reference model of the text-file line reader on one file's content."""
+    """Plain-Python model of the text-file line reader on one file's content."""
     if text == "":
         return []
     body = re.sub(r"(\r\n|\r|\n)\Z", "", text)
