@@ -2,6 +2,7 @@
 
     spark-submit linecraft/__main__.py word-count IN OUT
     python -m linecraft log-analysis IN OUT [--fmt json] [--rejects PATH]
+    python -m linecraft log-tagging IN OUT
     python -m linecraft word-count-report IN OUT REPORT
     python -m linecraft app-events LOG_DIR OUT
 
@@ -36,6 +37,10 @@ def _parser() -> argparse.ArgumentParser:
     la.add_argument("--fmt", choices=["parquet", "json"], default="parquet")
     la.add_argument("--rejects", default=None)
     la.add_argument("--on-error", choices=["reject", "fail"], default="reject")
+    lt = sub.add_parser("log-tagging", help="parse access logs once, save all lines partitioned by parsed")
+    lt.add_argument("input")
+    lt.add_argument("output")
+    lt.add_argument("--on-error", choices=["reject", "fail"], default="reject")
     wr = sub.add_parser("word-count-report", help="word count plus one report per input partition")
     wr.add_argument("input")
     wr.add_argument("output")
@@ -77,6 +82,11 @@ def main(argv: list[str] | None = None) -> int:
                 on_error=args.on_error, rejects_path=args.rejects, mode=args.mode,
             )
             print(json.dumps(counts))
+        elif args.job == "log-tagging":
+            counts = jobs.log_tagging_job(
+                spark, args.input, args.output, options=opts, on_error=args.on_error, mode=args.mode
+            )
+            print(json.dumps(counts))
         elif args.job == "word-count-report":
             jobs.word_count_with_report_job(spark, args.input, args.output, args.report, options=opts, mode=args.mode)
         else:

@@ -86,6 +86,39 @@ def log_analysis_job(
     return {k: int(v) for k, v in obs.get.items()}
 
 
+def log_tagging_job(
+    spark: SparkSession,
+    input_path: str,
+    output_path: str,
+    options: Mapping[str, str] | None = None,
+    on_error: str = "reject",
+    min_partitions: int | None = None,
+    mode: str = "errorifexists",
+) -> dict[str, int]:
+    """Parse access logs once and save every line, tagged, as one parquet
+    dataset partitioned by ``parsed``: records under ``parsed=1``, rejected
+    lines with their ``reject_reason`` under ``parsed=0``. Returns
+    ``{"total", "failed", "ok"}``.
+
+    The single-pass form of :func:`log_analysis_job` with ``rejects_path``:
+    one scan, one parse, one write; readers of the records filter on
+    ``parsed = 1``, which prunes to that folder.
+    """
+    raw = read_lines(spark, input_path, options)
+    if raw.isEmpty():
+        raise EmptyInputError(EMPTY_INPUT_MESSAGE)
+    tagged = tag_access_log(spread(raw, min_partitions), on_error=on_error)
+    obs = Observation("access_log_counts")
+    observed = tagged.observe(
+        obs,
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(F.col("parsed") == 0).alias("failed"),
+        F.count_if(F.col("parsed") == 1).alias("ok"),
+    )
+    observed.write.mode(mode).partitionBy("parsed").parquet(output_path)
+    return {k: int(v) for k, v in obs.get.items()}
+
+
 def word_count_with_report_job(
     spark: SparkSession,
     input_path: str,

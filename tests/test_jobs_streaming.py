@@ -10,6 +10,7 @@ from linecraft.plans.jobs import (
     EmptyInputError,
     application_events_job,
     log_analysis_job,
+    log_tagging_job,
     word_count_job,
     word_count_with_report_job,
 )
@@ -157,3 +158,13 @@ def test_default_checkpoints_are_per_stream(spark, tmp_path):
     b = _checkpoint(spark, "parsed-logs", None, "/in/b", "/out/a")
     assert a != b and a == _checkpoint(spark, "parsed-logs", None, "/in/a", "/out/a")
     assert a.startswith(checkpoint_root(spark))
+
+
+def test_log_tagging_job_one_pass(spark, tmp_path):
+    (tmp_path / "a.log").write_text("\n".join(_log_lines(30, 7)) + "\n")
+    counts = log_tagging_job(spark, str(tmp_path / "a.log"), str(tmp_path / "tagged"))
+    assert counts == {"total": 37, "failed": 7, "ok": 30}
+    df = spark.read.parquet(str(tmp_path / "tagged"))
+    assert df.where("parsed = 1").count() == 30
+    assert {r.reject_reason for r in df.where("parsed = 0").collect()} == {"no_match"}
+    assert sorted(p.name for p in (tmp_path / "tagged").iterdir() if p.is_dir()) == ["parsed=0", "parsed=1"]
