@@ -56,3 +56,34 @@ def test_tag_matches_whole_line_regex_and_counts_add_up(spark, lines):
             assert rows[i].remote_host == m.group(1) and rows[i].endpoint == m.group(6)
     c = access_log_counts(tagged).first()
     assert c.total == len(lines) == c.failed + c.ok
+
+
+SIZE_CHARS = st.sampled_from(["0", "1", "9", "+", "-", ".", "x", " ", "\u0085", "\u0001", "٣"])
+sizes_st = st.lists(
+    st.one_of(st.text(SIZE_CHARS, min_size=1, max_size=6),
+              st.integers(min_value=-(2**64), max_value=2**64).map(str)),
+    min_size=1, max_size=25,
+)
+
+
+def java_long_or_none(s):
+    """Plain-Python model of the size rule: '-' is 0, else Long.parseLong
+    restricted to ASCII digits (null when it would throw)."""
+    if s == "-":
+        return 0
+    if not re.fullmatch(r"[+-]?[0-9]+", s, re.ASCII):
+        return None
+    v = int(s)
+    return v if -(2**63) <= v < 2**63 else None
+
+
+@settings(**SETTINGS)
+@given(sizes=sizes_st)
+def test_content_size_is_java_long(spark, sizes):
+    from linecraft.functions import content_size
+
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(sizes)], "i int, s string")
+    got = {r.i: r.v for r in df.select("i", content_size("s").alias("v")).collect()}
+    assert all(got[i] == java_long_or_none(s) for i, s in enumerate(sizes)), [
+        (s, got[i]) for i, s in enumerate(sizes) if got[i] != java_long_or_none(s)
+    ]
