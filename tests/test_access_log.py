@@ -80,6 +80,14 @@ def test_schema(spark):
         ("1/Aug/1995:0:00:01 -0400", False),
         ("29/Feb/1995:00:00:00 +0000", False),
         ("29/Feb/1996:00:00:00 +0000", True),
+        ("01/AUG/1995:00:00:01 -0400", True),
+        ("01/aug/1995:00:00:01 -0400", True),
+        ("01/Aug/1995:24:00:00 -0400", False),
+        ("00/Aug/1995:00:00:00 -0400", False),
+        ("01/Aug/19950:00:00:01 -0400", False),
+        ("01/August/1995:00:00:00 +0000", False),
+        ("01/Aug/1995:00:00:00 +1400", True),
+        ("01/Aug/1995:00:00:00 -9999", False),
     ],
 )
 def test_times(spark, text, ok):
