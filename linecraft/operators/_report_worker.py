@@ -2,36 +2,51 @@
 
 This module is pickled by value (see ``partition_report.py``), so executors
 run it without having the package installed; it must only import the
-standard library, pandas and pyspark, and only inside the function.
+standard library, pyarrow and pyspark, and only inside the function.
 """
 
 
 def report_one_partition(batches):
     # Runs in the Python worker of each task, once per partition (also for an
-    # empty one). Only a null flag column crosses from the JVM, so the cost is
-    # counting rows, not moving them.
+    # empty one). Only a null flag column crosses from the JVM, as Arrow
+    # batches that are counted, never converted.
+    import datetime
     import os
     import socket
 
-    import pandas as pd
+    import pyarrow as pa
     from pyspark import TaskContext
 
     ctx = TaskContext.get()
-    created = pd.Timestamp.now(tz="UTC")
+    created = datetime.datetime.now(datetime.timezone.utc)
     rows = 0
     for batch in batches:
-        rows += len(batch)
+        rows += batch.num_rows
     env = os.environ
-    yield pd.DataFrame(
-        {
-            "partition_id": pd.Series([ctx.partitionId()], dtype="int32"),
-            "attempt_number": pd.Series([ctx.attemptNumber()], dtype="int32"),
-            "row_count": pd.Series([rows], dtype="int64"),
-            "created_at": pd.Series([created]),
-            "host": [socket.gethostname()],
-            "executor_dirs": [env.get("SPARK_EXECUTOR_DIRS")],
-            "user_dir": [os.getcwd()],
-            "log_url_stdout": [env.get("SPARK_LOG_URL_STDOUT")],
-            "log_url_stderr": [env.get("SPARK_LOG_URL_STDERR")],
-        }
+    schema = pa.schema(
+        [
+            ("partition_id", pa.int32()),
+            ("attempt_number", pa.int32()),
+            ("row_count", pa.int64()),
+            ("created_at", pa.timestamp("us", tz="UTC")),
+            ("host", pa.string()),
+            ("executor_dirs", pa.string()),
+            ("user_dir", pa.string()),
+            ("log_url_stdout", pa.string()),
+            ("log_url_stderr", pa.string()),
+        ]
+    )
+    values = [
+        ctx.partitionId(),
+        ctx.attemptNumber(),
+        rows,
+        created,
+        socket.gethostname(),
+        env.get("SPARK_EXECUTOR_DIRS"),
+        os.getcwd(),
+        env.get("SPARK_LOG_URL_STDOUT"),
+        env.get("SPARK_LOG_URL_STDERR"),
+    ]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([v], type=f.type) for v, f in zip(values, schema)], schema=schema
     )
