@@ -19,6 +19,8 @@ LINE_BREAK_REGEX = r"\r\n|\r|\n"
 # holds no backslash (the meaning of one depends on the session's escape
 # setting).
 _CR, _LF = "chr(13)", "chr(10)"
+# Spark's chr() only covers 0-255: the byte-order mark goes in as itself.
+_BOM = "\ufeff"
 _LINE_BREAK_SQL = f"concat({_CR}, {_LF}, '|', {_CR}, '|', {_LF})"
 assert WORD_SEPARATOR == " "
 
@@ -28,13 +30,23 @@ def split_lines_sql(text: str) -> str:
 
     ``\n``, ``\r\n`` and ``\r`` end a line; empty lines are kept; a final
     line break does not open an extra empty line; an empty text has no lines
-    (like an empty file). A null text gives null (no rows after explode).
+    (like an empty file); one leading byte-order mark (U+FEFF) is dropped, as
+    the reader drops it at the start of a file. A null text gives null (no
+    rows after explode).
 
     The final break is cut with ``endswith`` checks (a regex anchored at the
     end would still be tried at every character), and a text without ``\r``
     is split on ``\n`` alone, which Java splits without the regex engine.
     """
-    t = text
+    no_bom = f"substring({text}, 2)"
+    # The mark is tested once; each branch then works on a plain expression.
+    return (
+        f"CASE WHEN startswith({text}, '{_BOM}') THEN {_split_lines_rules(no_bom)} "
+        f"ELSE {_split_lines_rules(text)} END"
+    )
+
+
+def _split_lines_rules(t: str) -> str:
     body = (
         f"CASE WHEN endswith({t}, concat({_CR}, {_LF})) THEN left({t}, length({t}) - 2) "
         f"WHEN endswith({t}, {_LF}) OR endswith({t}, {_CR}) THEN left({t}, length({t}) - 1) "

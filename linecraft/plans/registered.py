@@ -137,7 +137,8 @@ _P = r'^(\S+) (\S+) (\S+) \[([\w:/]+\s[+\-]\d{4})\] "(\S+) (\S+)\s*(\S*)" (\d{3}
 _SQL_SCAN_LINES = r"""
 select doc_id, unnest(case when text = '' then []::varchar[]
   else string_split_regex(regexp_replace(text, '(\r\n|\r|\n)$', ''), '\r\n|\r|\n') end) as line
-from documents
+from (select doc_id, case when starts_with(text, chr(65279)) then substr(text, 2) else text end as text
+      from documents)
 """
 
 _SQL_TOKENIZE = (

@@ -39,6 +39,8 @@ def java_split_space(s):
 
 def hadoop_lines(text):
     """Plain-Python model of the text-file line reader on one file's content."""
+    if text.startswith("\ufeff"):
+        text = text[1:]
     if text == "":
         return []
     body = re.sub(r"(\r\n|\r|\n)\Z", "", text)
@@ -73,7 +75,8 @@ def test_read_lines_breaks(spark, tmp_path):
 
 
 def test_split_lines_matches_file_reader(spark, tmp_path):
-    texts = ["a b\r\nc\rd\n\ne", "x\n", "x\n\n", "\n", "\r\n\r\n", "one", "a\r\rb", "", "tail\r"]
+    texts = ["a b\r\nc\rd\n\ne", "x\n", "x\n\n", "\n", "\r\n\r\n", "one", "a\r\rb", "", "tail\r",
+             "\ufeffa b\nc\n", "\ufeff", "\ufeff\n", "\ufeff\ufeffx\n", "a\ufeff\n"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
     got = {r.i: r.lines for r in df.select("i", split_lines("text").alias("lines")).collect()}
     for i, t in enumerate(texts):
