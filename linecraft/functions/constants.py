@@ -10,8 +10,7 @@ layout, the empty-input message, and the text of the application messages.
 ACCESS_LOG_PATTERN = r'^(\S+) (\S+) (\S+) \[([\w:/]+\s[+\-]\d{4})\] "(\S+) (\S+)\s*(\S*)" (\d{3}) (\S+)'
 ACCESS_LOG_TIME_LAYOUT = "dd/MMM/yyyy:HH:mm:ss"
 EMPTY_INPUT_MESSAGE = "No Data found in RDD"
-APP_EVENT_MESSAGE_HEAD = "Application "
-APP_EVENT_MESSAGE_TAIL = " event captured : time - "
+APP_EVENT_MESSAGE = "Application {kind} event captured : time - {time_ms}"
 APP_START_EVENT = "SparkListenerApplicationStart"
 APP_END_EVENT = "SparkListenerApplicationEnd"
 WORD_SEPARATOR = " "
@@ -22,18 +21,6 @@ WORD_SEPARATOR = " "
 # which `$` would let through.
 ACCESS_LOG_LINE_REGEX = ACCESS_LOG_PATTERN + r"\z"
 
-ACCESS_LOG_FIELDS = (
-    "remote_host",
-    "remote_identity",
-    "local_identity",
-    "request_time_text",
-    "method",
-    "endpoint",
-    "protocol",
-    "response_code_text",
-    "content_size_text",
-)
-
 # Reasons a line is not a parsed record.
 NO_MATCH = "no_match"
 BAD_TIME = "bad_time"

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .constants import APP_EVENT_MESSAGE_HEAD, APP_EVENT_MESSAGE_TAIL
+from .constants import APP_EVENT_MESSAGE
+
+_HEAD, _REST = APP_EVENT_MESSAGE.split("{kind}")
+_MIDDLE, _TAIL = _REST.split("{time_ms}")
 
 
 def _col(c: Column | str) -> Column:
@@ -25,8 +28,9 @@ def record_json(*fields: Column | str) -> Column:
 def app_event_message(kind: Column | str, time_ms: Column | str) -> Column:
     """``Application <kind> event captured : time - <epoch ms>``."""
     return F.concat(
-        F.lit(APP_EVENT_MESSAGE_HEAD),
+        F.lit(_HEAD),
         _col(kind),
-        F.lit(APP_EVENT_MESSAGE_TAIL),
+        F.lit(_MIDDLE),
         _col(time_ms).cast("string"),
+        F.lit(_TAIL),
     )
