@@ -168,3 +168,17 @@ def test_log_tagging_job_one_pass(spark, tmp_path):
     assert df.where("parsed = 1").count() == 30
     assert {r.reject_reason for r in df.where("parsed = 0").collect()} == {"no_match"}
     assert sorted(p.name for p in (tmp_path / "tagged").iterdir() if p.is_dir()) == ["parsed=0", "parsed=1"]
+
+
+def test_running_log_counts_stream(spark, tmp_path):
+    src = tmp_path / "incoming"
+    src.mkdir()
+    out, ck = str(tmp_path / "counts"), str(tmp_path / "ck")
+    (src / "1.log").write_text("\n".join(_log_lines(5, 2)))
+    start_running_counts_stream(spark, str(src), out, kind="log_counts", checkpoint=ck,
+                                available_now=True).awaitTermination(120)
+    (src / "2.log").write_text("\n".join(_log_lines(3, 4)))
+    start_running_counts_stream(spark, str(src), out, kind="log_counts", checkpoint=ck,
+                                available_now=True).awaitTermination(120)
+    latest = spark.read.parquet(out).orderBy(F.col("batch_id").desc()).first()
+    assert (latest.total, latest.failed, latest.ok) == (14, 6, 8)
