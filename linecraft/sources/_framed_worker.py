@@ -1,0 +1,100 @@
+"""Decoding of Spark event logs written with the ``lz4`` or ``snappy`` codec.
+
+Pickled by value (see ``event_log.py``): only the standard library, pyarrow
+and (optionally) xxhash are imported, inside the functions.
+
+Framings (what the JVM stream classes write):
+
+* lz4: repeated blocks of ``"LZ4Block"``, one token byte (method in the high
+  nibble: 0x10 stored, 0x20 LZ4), compressed length, decompressed length and
+  checksum (4-byte little-endian each), then the block; a block with both
+  lengths 0 ends the stream.
+* snappy: a 16-byte header (``\\x82SNAPPY\\x00``, two 4-byte versions), then
+  repeated 4-byte big-endian lengths, each followed by a raw snappy block
+  whose leading varint is its decoded size.
+"""
+
+_LZ4_MAGIC = b"LZ4Block"
+_SNAPPY_MAGIC = b"\x82SNAPPY\x00"
+
+
+def _lz4_blocks(data):
+    import struct
+
+    import pyarrow as pa
+
+    codec = pa.Codec("lz4_raw")
+    try:
+        import xxhash
+    except ImportError:  # the checksum is then not verified
+        xxhash = None
+    pos = 0
+    while pos < len(data):
+        if data[pos:pos + 8] != _LZ4_MAGIC:
+            raise ValueError(f"not an lz4 block stream at byte {pos}")
+        token = data[pos + 8]
+        comp_len, raw_len, checksum = struct.unpack_from("<iii", data, pos + 9)
+        pos += 21
+        if comp_len == 0 and raw_len == 0:
+            return
+        chunk = data[pos:pos + comp_len]
+        pos += comp_len
+        method = token & 0xF0
+        if method == 0x10:
+            block = bytes(chunk)
+        elif method == 0x20:
+            block = codec.decompress(chunk, decompressed_size=raw_len).to_pybytes()
+        else:
+            raise ValueError(f"unknown lz4 block method {method:#x}")
+        if xxhash is not None and (xxhash.xxh32_intdigest(block, seed=0x9747B28C) & 0x0FFFFFFF) != (checksum & 0xFFFFFFFF):
+            raise ValueError("lz4 block checksum mismatch")
+        yield block
+
+
+def _snappy_blocks(data):
+    import struct
+
+    import pyarrow as pa
+
+    codec = pa.Codec("snappy")
+    if data[:8] != _SNAPPY_MAGIC:
+        raise ValueError("not a snappy stream")
+    pos = 16
+    while pos < len(data):
+        (comp_len,) = struct.unpack_from(">i", data, pos)
+        pos += 4
+        chunk = data[pos:pos + comp_len]
+        pos += comp_len
+        raw_len, shift, i = 0, 0, 0
+        while True:  # varint: decoded size
+            b = chunk[i]
+            raw_len |= (b & 0x7F) << shift
+            i += 1
+            if b < 0x80:
+                break
+            shift += 7
+        yield codec.decompress(chunk, decompressed_size=raw_len).to_pybytes()
+
+
+def decode_event_logs(batches):
+    """Arrow batches of (path, content) files → batches of (path, value)
+    lines. Lines are cut block by block, so only the compressed file and one
+    decoded block are held at a time."""
+    import pyarrow as pa
+
+    schema = pa.schema([("path", pa.string()), ("value", pa.string())])
+    for batch in batches:
+        cols = batch.to_pydict()
+        for path, content in zip(cols["path"], cols["content"]):
+            blocks = _lz4_blocks(content) if content[:8] == _LZ4_MAGIC else _snappy_blocks(content)
+            rest = b""
+            for block in blocks:
+                parts = (rest + block).split(b"\n")
+                rest = parts.pop()
+                if parts:
+                    lines = [p.decode("utf-8", "replace").rstrip("\r") for p in parts]
+                    yield pa.RecordBatch.from_pydict({"path": [path] * len(lines), "value": lines}, schema=schema)
+            if rest:
+                yield pa.RecordBatch.from_pydict(
+                    {"path": [path], "value": [rest.decode("utf-8", "replace").rstrip("\r")]}, schema=schema
+                )

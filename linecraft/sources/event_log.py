@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+from . import _framed_worker
 from .text import read_lines
 
+# Executors run the decoder without a copy of this package.
+cloudpickle.register_pickle_by_value(_framed_worker)
+
 
 def read_event_log_lines(
     spark: SparkSession,
@@ -23,11 +28,32 @@ def read_event_log_lines(
     (``eventlog_v2_<app-id>/events_<n>_<app-id>[.<codec>]``) are both read;
     the empty status files of rolling logs add no line and hidden ``.crc``
     files are skipped by the file listing. Uncompressed logs and ``.zstd``
-    logs (Spark's default codec) are read. Logs written with Spark's ``lz4``,
-    ``lzf`` or ``snappy`` codecs are not: Hadoop's codec of the same suffix
-    expects another framing (``.lz4`` even exhausts the heap), so leave such
-    files out of ``paths``.
+    logs (Spark's default codec) are read here. Logs written with Spark's
+    ``lz4`` or ``snappy`` codecs need :func:`read_framed_event_log_lines`:
+    Hadoop's codec of the same suffix expects another framing (``.lz4`` even
+    exhausts the heap), so leave such files out of ``paths``. ``lzf`` logs are
+    not supported.
     """
     opts = {"recursiveFileLookup": "true"}
     opts.update(options or {})
     return read_lines(spark, paths, options=opts, with_path=True)
+
+
+def read_framed_event_log_lines(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
+    """``path string, value string`` for event logs written with Spark's
+    ``lz4`` or ``snappy`` codec (``*.lz4``, ``*.snappy``, also in-progress).
+
+    Each file is read whole (``binaryFile``; at most 2 GB compressed) and
+    decoded block by block in one task, as any unsplittable codec is; small
+    files are packed into tasks up to ``spark.sql.files.maxPartitionBytes``.
+    Union the result with :func:`read_event_log_lines` for mixed folders.
+    """
+    src = [paths] if isinstance(paths, str) else list(paths)
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.{lz4,snappy,lz4.inprogress,snappy.inprogress}")
+        .load(src)
+        .select("path", "content")
+    )
+    return files.mapInArrow(_framed_worker.decode_event_logs, "path string, value string")

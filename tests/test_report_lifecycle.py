@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from linecraft import fixtures
 from linecraft.operators import application_events, partition_report, report_json
-from linecraft.sources import read_event_log_lines, read_table
+from linecraft.sources import read_event_log_lines, read_framed_event_log_lines, read_table
 
 from conftest import SF_SMALL
 
@@ -113,3 +113,24 @@ def test_results_survive_a_failed_task():
     assert sorted(by_part) == [0, 1, 2, 3]
     assert by_part[1]["attempt_number"] == 1 and by_part[0]["attempt_number"] == 0
     assert sum(r["row_count"] for r in res["report"]) == 1000
+
+
+@pytest.fixture(scope="module")
+def framed_log_dir(tmp_path_factory):
+    d = tmp_path_factory.mktemp("framedlogs")
+    subprocess.run([sys.executable, os.path.join(HERE, "helpers", "make_event_logs.py"), str(d), "framed"],
+                   check=True, stdout=subprocess.DEVNULL, stderr=subprocess.DEVNULL, timeout=600)
+    return str(d)
+
+
+def test_real_lz4_and_snappy_event_logs(spark, framed_log_dir):
+    lines = read_framed_event_log_lines(spark, framed_log_dir)
+    by_file = {r.path.rsplit(".", 1)[-1]: r.n for r in
+               lines.groupBy("path").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert set(by_file) == {"lz4", "snappy"} and all(n > 5 for n in by_file.values())
+    assert all(json.loads(r.value)["Event"] for r in lines.collect())  # every line is whole JSON
+    by_app = {}
+    for r in application_events(lines).collect():
+        by_app.setdefault(r.app_id, {})[r.event] = r.time_ms
+    assert len(by_app) == 2
+    assert all(set(ev) == {"start", "end"} and ev["start"] <= ev["end"] for ev in by_app.values())
