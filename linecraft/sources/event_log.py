@@ -14,6 +14,10 @@ from .text import read_lines
 cloudpickle.register_pickle_by_value(_framed_worker)
 
 
+_FRAMED_SUFFIXES = (".lz4", ".snappy", ".lz4.inprogress", ".snappy.inprogress")
+_UNSUPPORTED_SUFFIXES = (".lzf", ".lzf.inprogress")
+
+
 def read_event_log_lines(
     spark: SparkSession,
     paths: str | Iterable[str],
@@ -27,16 +31,36 @@ def read_event_log_lines(
     (``<app-id>[.<codec>][.inprogress]``) and rolling logs
     (``eventlog_v2_<app-id>/events_<n>_<app-id>[.<codec>]``) are both read;
     the empty status files of rolling logs add no line and hidden ``.crc``
-    files are skipped by the file listing. Uncompressed logs and ``.zstd``
-    logs (Spark's default codec) are read here. Logs written with Spark's
-    ``lz4`` or ``snappy`` codecs need :func:`read_framed_event_log_lines`:
-    Hadoop's codec of the same suffix expects another framing (``.lz4`` even
-    exhausts the heap), so leave such files out of ``paths``. ``lzf`` logs are
-    not supported.
+    files are skipped by the file listing.
+
+    Plain and ``.zstd`` logs (Spark's default codec) are read as text. Logs
+    written with Spark's ``lz4`` or ``snappy`` codecs use the JVM stream
+    framings, which Hadoop's codecs of the same suffix do not read (``.lz4``
+    even exhausts the heap), so those files go to
+    :func:`read_framed_event_log_lines` and the two are unioned. ``.lzf``
+    logs are skipped. The split is made from the file listing alone (paths,
+    no content).
     """
     opts = {"recursiveFileLookup": "true"}
     opts.update(options or {})
-    return read_lines(spark, paths, options=opts, with_path=True)
+    src = [paths] if isinstance(paths, str) else list(paths)
+    listing = spark.read.format("binaryFile").options(**opts).load(src).inputFiles()
+    framed = [f for f in listing if f.lower().endswith(_FRAMED_SUFFIXES)]
+    skipped = set(framed) | {f for f in listing if f.lower().endswith(_UNSUPPORTED_SUFFIXES)}
+    if not skipped:
+        return read_lines(spark, src, options=opts, with_path=True)
+    text_files = [f for f in listing if f not in skipped]
+    parts = []
+    if text_files:
+        parts.append(read_lines(spark, text_files, options=options, with_path=True))
+    if framed:
+        parts.append(read_framed_event_log_lines(spark, framed))
+    if not parts:
+        return spark.createDataFrame([], "path string, value string")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def read_framed_event_log_lines(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
@@ -46,7 +70,7 @@ def read_framed_event_log_lines(spark: SparkSession, paths: str | Iterable[str])
     Each file is read whole (``binaryFile``; at most 2 GB compressed) and
     decoded block by block in one task, as any unsplittable codec is; small
     files are packed into tasks up to ``spark.sql.files.maxPartitionBytes``.
-    Union the result with :func:`read_event_log_lines` for mixed folders.
+    :func:`read_event_log_lines` calls this for such files in mixed folders.
     """
     src = [paths] if isinstance(paths, str) else list(paths)
     files = (

@@ -134,3 +134,13 @@ def test_real_lz4_and_snappy_event_logs(spark, framed_log_dir):
         by_app.setdefault(r.app_id, {})[r.event] = r.time_ms
     assert len(by_app) == 2
     assert all(set(ev) == {"start", "end"} and ev["start"] <= ev["end"] for ev in by_app.values())
+
+
+def test_mixed_codec_folders(spark, event_log_dir, framed_log_dir):
+    """plain + rolling zstd + zstd + lz4 + snappy logs through one reader."""
+    events = application_events(read_event_log_lines(spark, [event_log_dir, framed_log_dir])).collect()
+    by_app = {}
+    for r in events:
+        by_app.setdefault(r.app_id, {})[r.event] = r.time_ms
+    assert len(by_app) == 5
+    assert all(set(ev) == {"start", "end"} for ev in by_app.values())
