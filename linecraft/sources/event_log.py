@@ -54,7 +54,7 @@ def read_event_log_lines(
     if text_files:
         parts.append(read_lines(spark, text_files, options=options, with_path=True))
     if framed:
-        parts.append(read_framed_event_log_lines(spark, framed))
+        parts.append(read_framed_event_log_lines(spark, framed, options=options))
     if not parts:
         return spark.createDataFrame([], "path string, value string")
     out = parts[0]
@@ -63,7 +63,11 @@ def read_event_log_lines(
     return out
 
 
-def read_framed_event_log_lines(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
+def read_framed_event_log_lines(
+    spark: SparkSession,
+    paths: str | Iterable[str],
+    options: Mapping[str, str] | None = None,
+) -> DataFrame:
     """``path string, value string`` for event logs written with Spark's
     ``lz4`` or ``snappy`` codec (``*.lz4``, ``*.snappy``, also in-progress).
 
@@ -75,6 +79,7 @@ def read_framed_event_log_lines(spark: SparkSession, paths: str | Iterable[str])
     src = [paths] if isinstance(paths, str) else list(paths)
     files = (
         spark.read.format("binaryFile")
+        .options(**dict(options or {}))
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.{lz4,snappy,lz4.inprogress,snappy.inprogress}")
         .load(src)
