@@ -12,6 +12,9 @@ Framings (what the JVM stream classes write):
 * snappy: a 16-byte header (``\\x82SNAPPY\\x00``, two 4-byte versions), then
   repeated 4-byte big-endian lengths, each followed by a raw snappy block
   whose leading varint is its decoded size.
+
+A block cut short at the end of a file (a log still being written) ends the
+file's lines there, as a text reader ends at the last complete byte.
 """
 
 _LZ4_MAGIC = b"LZ4Block"
@@ -29,7 +32,7 @@ def _lz4_blocks(data):
     except ImportError:  # the checksum is then not verified
         xxhash = None
     pos = 0
-    while pos < len(data):
+    while pos + 21 <= len(data):
         if data[pos:pos + 8] != _LZ4_MAGIC:
             raise ValueError(f"not an lz4 block stream at byte {pos}")
         token = data[pos + 8]
@@ -37,6 +40,8 @@ def _lz4_blocks(data):
         pos += 21
         if comp_len == 0 and raw_len == 0:
             return
+        if pos + comp_len > len(data):  # a log still being written: tail cut short
+            return
         chunk = data[pos:pos + comp_len]
         pos += comp_len
         method = token & 0xF0
@@ -60,9 +65,11 @@ def _snappy_blocks(data):
     if data[:8] != _SNAPPY_MAGIC:
         raise ValueError("not a snappy stream")
     pos = 16
-    while pos < len(data):
+    while pos + 4 <= len(data):
         (comp_len,) = struct.unpack_from(">i", data, pos)
         pos += 4
+        if pos + comp_len > len(data):  # a log still being written: tail cut short
+            return
         chunk = data[pos:pos + comp_len]
         pos += comp_len
         raw_len, shift, i = 0, 0, 0

@@ -144,3 +144,19 @@ def test_mixed_codec_folders(spark, event_log_dir, framed_log_dir):
         by_app.setdefault(r.app_id, {})[r.event] = r.time_ms
     assert len(by_app) == 5
     assert all(set(ev) == {"start", "end"} for ev in by_app.values())
+
+
+def test_in_progress_framed_logs_cut_short(spark, framed_log_dir, tmp_path):
+    """A half-written last block (log still being written) ends the lines
+    there instead of failing the job."""
+    import glob
+
+    for f in glob.glob(os.path.join(framed_log_dir, "*")):
+        data = open(f, "rb").read()
+        with open(tmp_path / (os.path.basename(f) + ".inprogress"), "wb") as out:
+            out.write(data[: len(data) - 40])
+    lines = read_framed_event_log_lines(spark, str(tmp_path)).collect()
+    assert len(lines) > 0
+    starts = [r for r in application_events(read_framed_event_log_lines(spark, str(tmp_path))).collect()
+              if r.event == "start"]
+    assert len(starts) == 2
