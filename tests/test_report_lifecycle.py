@@ -160,3 +160,14 @@ def test_in_progress_framed_logs_cut_short(spark, framed_log_dir, tmp_path):
     starts = [r for r in application_events(read_framed_event_log_lines(spark, str(tmp_path))).collect()
               if r.event == "start"]
     assert len(starts) == 2
+
+
+def test_command_line_app_events_on_framed_logs(spark, framed_log_dir, tmp_path):
+    root = os.path.dirname(HERE)
+    out = subprocess.run(
+        [sys.executable, "-m", "linecraft", "--master", "local[2]", "app-events", framed_log_dir, str(tmp_path / "out")],
+        cwd=root, capture_output=True, text=True, timeout=600,
+    )
+    assert out.returncode == 0, out.stderr[-2000:]
+    rows = spark.read.json(str(tmp_path / "out")).collect()
+    assert len(rows) == 4 and {r.event for r in rows} == {"start", "end"}
