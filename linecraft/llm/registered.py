@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import byte_cnn, secrets, url_rules
+from . import byte_cnn, fm_index, packing, secrets, url_rules
 from ._common import DOCUMENTS, table
 from .oracles import ORACLE_SQL
 
@@ -13,6 +13,15 @@ def op3_secret_scan(spark, d):
     return secrets.digest(table(spark, d, "documents", DOCUMENTS))
 
 
+def op4_cutting_stock_packing(spark, d):
+    return packing.digest(table(spark, d, "documents", DOCUMENTS))
+
+
+def op6_fm_index_decontamination(spark, d):
+    benchmark = spark.read.parquet(f"{d.rstrip('/')}/benchmark.parquet")
+    return fm_index.digest(table(spark, d, "documents", DOCUMENTS), benchmark)
+
+
 def op7_byte_cnn_quality(spark, d):
     labels = spark.read.parquet(f"{d.rstrip('/')}/labels.parquet")
     return byte_cnn.digest(table(spark, d, "documents", DOCUMENTS), labels)
@@ -25,6 +34,8 @@ def op8_url_rules(spark, d):
 
 QUERIES = {
     "op3_secret_scan": op3_secret_scan,
+    "op4_cutting_stock_packing": op4_cutting_stock_packing,
+    "op6_fm_index_decontamination": op6_fm_index_decontamination,
     "op7_byte_cnn_quality": op7_byte_cnn_quality,
     "op8_url_rules": op8_url_rules,
 }
