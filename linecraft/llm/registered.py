@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from . import byte_cnn, fm_index, packing, secrets, url_rules
+from . import byte_cnn, fm_index, packing, secrets, superminhash, url_rules
 from ._common import DOCUMENTS, table
 from .oracles import ORACLE_SQL
 
 LABELS = "doc_id bigint, quality int, toxic int"
 
 
+def op1_superminhash_near_duplicates(spark, d):
+    return superminhash.digest(table(spark, d, "documents", DOCUMENTS))
+
+
 def op3_secret_scan(spark, d):
     return secrets.digest(table(spark, d, "documents", DOCUMENTS))
 
@@ -33,6 +37,7 @@ def op8_url_rules(spark, d):
 
 
 QUERIES = {
+    "op1_superminhash_near_duplicates": op1_superminhash_near_duplicates,
     "op3_secret_scan": op3_secret_scan,
     "op4_cutting_stock_packing": op4_cutting_stock_packing,
     "op6_fm_index_decontamination": op6_fm_index_decontamination,
