@@ -58,7 +58,16 @@ f as (select n.row_no, max_by(rule_host || rule_path, length(rule_host || rule_p
   from n join r on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path) group by n.row_no)
 select page_id, host, path, rule, coalesce(verdict, '{OTHERWISE}') as verdict from n left join f using (row_no)"""
 
+TOP_SCORES_SQL = """
+with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
+  from v q join v c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+select query_id, rank::integer as rank, vec_id, score from r where rank <= 5"""
+
 ORACLE_SQL = {
+    "op2_mtree_top_scores": TOP_SCORES_SQL,
     "op3_secret_scan": secret_scan(),
     "op8_url_rules": URL_RULES_SQL,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import byte_cnn, fm_index, packing, secrets, superminhash, url_rules
+from . import byte_cnn, fm_index, mtree, packing, secrets, superminhash, url_rules
 from ._common import DOCUMENTS, table
 from .oracles import ORACLE_SQL
 
@@ -13,6 +13,10 @@ def op1_superminhash_near_duplicates(spark, d):
     return superminhash.digest(table(spark, d, "documents", DOCUMENTS))
 
 
+def op2_mtree_top_scores(spark, d):
+    return mtree.digest(spark.read.parquet(f"{d.rstrip('/')}/embeddings.parquet"))
+
+
 def op3_secret_scan(spark, d):
     return secrets.digest(table(spark, d, "documents", DOCUMENTS))
 
@@ -38,6 +42,7 @@ def op8_url_rules(spark, d):
 
 QUERIES = {
     "op1_superminhash_near_duplicates": op1_superminhash_near_duplicates,
+    "op2_mtree_top_scores": op2_mtree_top_scores,
     "op3_secret_scan": op3_secret_scan,
     "op4_cutting_stock_packing": op4_cutting_stock_packing,
     "op6_fm_index_decontamination": op6_fm_index_decontamination,
