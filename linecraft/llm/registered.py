@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from . import byte_cnn, fm_index, mtree, packing, secrets, superminhash, url_rules
+from . import (
+    byte_cnn,
+    fm_index,
+    html_layout,
+    mtree,
+    packing,
+    secrets,
+    superminhash,
+    token_counts,
+    url_rules,
+    weak_toxicity,
+)
 from ._common import DOCUMENTS, table
 from .oracles import ORACLE_SQL
 
-LABELS = "doc_id bigint, quality int, toxic int"
-
 
 def op1_superminhash_near_duplicates(spark, d):
     return superminhash.digest(table(spark, d, "documents", DOCUMENTS))
@@ -25,6 +34,10 @@ def op4_cutting_stock_packing(spark, d):
     return packing.digest(table(spark, d, "documents", DOCUMENTS))
 
 
+def op5_edit_token_counts(spark, d):
+    return token_counts.digest(table(spark, d, "documents", DOCUMENTS))
+
+
 def op6_fm_index_decontamination(spark, d):
     benchmark = spark.read.parquet(f"{d.rstrip('/')}/benchmark.parquet")
     return fm_index.digest(table(spark, d, "documents", DOCUMENTS), benchmark)
@@ -40,14 +53,26 @@ def op8_url_rules(spark, d):
     return url_rules.judge(pages, url_rules.rules_frame(spark))
 
 
+def op9_weak_supervision_toxicity(spark, d):
+    labels = spark.read.parquet(f"{d.rstrip('/')}/labels.parquet")
+    return weak_toxicity.digest(table(spark, d, "documents", DOCUMENTS), labels)
+
+
+def op10_html_layout(spark, d):
+    return html_layout.extract(table(spark, d, "pages", "page_id bigint, html string"))
+
+
 QUERIES = {
     "op1_superminhash_near_duplicates": op1_superminhash_near_duplicates,
     "op2_mtree_top_scores": op2_mtree_top_scores,
     "op3_secret_scan": op3_secret_scan,
     "op4_cutting_stock_packing": op4_cutting_stock_packing,
+    "op5_edit_token_counts": op5_edit_token_counts,
     "op6_fm_index_decontamination": op6_fm_index_decontamination,
     "op7_byte_cnn_quality": op7_byte_cnn_quality,
     "op8_url_rules": op8_url_rules,
+    "op9_weak_supervision_toxicity": op9_weak_supervision_toxicity,
+    "op10_html_layout": op10_html_layout,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
