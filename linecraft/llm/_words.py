@@ -44,12 +44,13 @@ BYTE_CODES = numbers(256, 1)
 
 class Words:
     """Words of a run of texts: ``hashes`` in order; text ``i`` has
-    ``hashes[first[i]:first[i + 1]]``; ``starts`` are byte positions in the run."""
+    ``hashes[first[i]:first[i + 1]]``; ``starts`` are byte positions in the run.
+    ``stems``: hashes of the words' first bytes, 0 for words that are no longer."""
 
-    __slots__ = ("hashes", "first", "starts")
+    __slots__ = ("hashes", "first", "starts", "stems")
 
-    def __init__(self, hashes, first, starts):
-        self.hashes, self.first, self.starts = hashes, first, starts
+    def __init__(self, hashes, first, starts, stems=None):
+        self.hashes, self.first, self.starts, self.stems = hashes, first, starts, stems
 
 
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -77,13 +78,15 @@ def slices(texts: pa.Array, most: int):
         i = j
 
 
-def words_of(texts: pa.Array, own: np.ndarray) -> Words:
-    """Lower-case A-Z and hash each maximal run of ``own`` bytes."""
+def words_of(texts: pa.Array, own: np.ndarray, stem: int = 0) -> Words:
+    """Lower-case A-Z and hash each maximal run of ``own`` bytes; with ``stem``,
+    also its first ``stem`` bytes."""
     data, off = buffers(texts)
     n = len(data)
     if n == 0:
         z = np.zeros(0, np.int64)
-        return Words(np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64), z)
+        none = np.zeros(0, np.uint64)
+        return Words(none, np.zeros(len(texts) + 1, np.int64), z, none)
     low = FOLD[data]
     inside = own[low]
     begins = inside.copy()
@@ -93,14 +96,20 @@ def words_of(texts: pa.Array, own: np.ndarray) -> Words:
     starts = np.flatnonzero(begins)
     first = np.searchsorted(starts, off)
     if len(starts) == 0:
-        return Words(np.zeros(0, np.uint64), first, starts)
+        none = np.zeros(0, np.uint64)
+        return Words(none, first, starts, none)
     place = np.arange(n, dtype=np.int64)
     place[starts[0] :] -= np.repeat(starts, np.diff(np.append(starts, n)))
     place[: starts[0]] = 0
     codes = np.where(inside, BYTE_CODES[low], np.uint64(0))
     with np.errstate(over="ignore"):
         codes *= numbers(int(place.max()) + 1, 2)[place]
-        return Words(mix(np.add.reduceat(codes, starts)), first, starts)
+        hashes, stems = mix(np.add.reduceat(codes, starts)), None
+        if stem:
+            beyond = np.add.reduceat((place >= stem) & inside, starts) > 0
+            stems = mix(np.add.reduceat(np.where(place < stem, codes, np.uint64(0)), starts) + np.uint64(stem))
+            stems = np.where(beyond, stems, np.uint64(0))
+        return Words(hashes, first, starts, stems)
 
 
 def shingles_of(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -1,7 +1,7 @@
 """Toxicity by weak supervision.
 
 Voters are lexicons and patterns; each fires on a text or not. Lexicons are
-mined from labelled texts: words far more frequent in toxic ones, dealt over
+mined from labelled texts: words and stems far more frequent in toxic ones, dealt over
 ``LEXICONS`` voters. Patterns look at the shape of the text. One pass over all
 documents counts how often each combination of votes occurs.
 
@@ -44,6 +44,8 @@ LEAST_TEXTS, LEAST_RATIO = 4, 12.0
 MOST_LEXICON = 400
 #: Words of the classifier.
 FEATURES = 3000
+#: Words also count by their first bytes.
+STEM = 5
 THRESHOLD = 0.7
 ROUNDS, STEPS = 25, 400
 SLICE = 1 << 20
@@ -82,11 +84,14 @@ def found_words(texts: pa.Array, words: np.ndarray) -> tuple[np.ndarray, np.ndar
     if len(words) == 0:
         z = np.zeros(0, np.int64)
         return z, z
-    w = words_of(texts, WORD)
-    at = np.minimum(np.searchsorted(words, w.hashes), len(words) - 1)
-    hit = np.flatnonzero(words[at] == w.hashes) if len(w.hashes) else np.zeros(0, np.int64)
-    text = np.searchsorted(w.first, hit, side="right") - 1
-    pair = np.unique(text * len(words) + at[hit])
+    w = words_of(texts, WORD, STEM)
+    pairs = []
+    for h in (w.hashes, w.stems):
+        at = np.minimum(np.searchsorted(words, h), len(words) - 1)
+        hit = np.flatnonzero(words[at] == h)
+        text = np.searchsorted(w.first, hit, side="right") - 1
+        pairs.append(text * len(words) + at[hit])
+    pair = np.unique(np.concatenate(pairs))
     return pair // len(words), pair % len(words)
 
 
@@ -109,11 +114,13 @@ class Voters:
 
 
 def text_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct pairs (text, word hash)."""
-    w = words_of(texts, WORD)
+    """Distinct pairs (text, hash of a word or a word's stem)."""
+    w = words_of(texts, WORD, STEM)
     text = np.repeat(np.arange(len(texts)), np.diff(w.first))
-    order = np.lexsort((w.hashes, text))
-    text, h = text[order], w.hashes[order]
+    long = w.stems != 0
+    text, h = np.concatenate([text, text[long]]), np.concatenate([w.hashes, w.stems[long]])
+    order = np.lexsort((h, text))
+    text, h = text[order], h[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
     return text[new], h[new]
