@@ -202,26 +202,40 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
     return train(texts, np.array(marks), counts[1] / total)
 
 
+def _scores(model, texts: pa.Array) -> np.ndarray:
+    if isinstance(model, float):
+        return np.full(len(texts), model)
+    data, off = buffers(texts)
+    got = np.empty(len(texts))
+    i = 0
+    while i < len(texts):
+        j = max(i + 1, int(np.searchsorted(off, off[i] + SLICE, side="right")) - 1)
+        got[i:j] = score_texts(model, [data[off[k] : off[k + 1]] for k in range(i, j)])
+        i = j
+    return got
+
+
 def scorer(model):
     """mapInArrow function: ``doc_id, text`` to ``doc_id, score``."""
 
     def run(batches):
         for b in batches:
-            if isinstance(model, float):
-                got = np.full(b.num_rows, model)
-            else:
-                data, off = buffers(b["text"])
-                got = np.empty(b.num_rows)
-                i = 0
-                while i < b.num_rows:
-                    j = max(i + 1, int(np.searchsorted(off, off[i] + SLICE, side="right")) - 1)
-                    got[i:j] = score_texts(model, [data[off[k] : off[k + 1]] for k in range(i, j)])
-                    i = j
+            got = _scores(model, b["text"])
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(got, pa.float64())], ["doc_id", "score"])
 
     return run
 
 
+def keep(docs: DataFrame, model, least: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores ``least`` or more."""
+
+    def run(batches):
+        for b in batches:
+            yield b.filter(pa.array(_scores(model, b["text"]) >= least))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def remainder(doc_id, by: int):
     return F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % by
 
