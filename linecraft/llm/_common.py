@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import functools
+import sys
 import tempfile
+import types
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,6 +55,16 @@ def release(*frames: DataFrame | None) -> None:
             p.getFileSystem(conf).delete(p.getParent(), True)
 
 
+def process_cache() -> dict:
+    """Objects that live as long as this Python process.
+
+    Task functions are shipped by value and get fresh globals with every task;
+    what is costly to load is kept here instead, once per worker.
+    """
+    name = "linecraft_process_cache"
+    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, schema: str) -> DataFrame:
     """Columns of one whole table of a data directory."""
     return spark.read.schema(schema).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import stored
+from ._common import process_cache, stored
 
 LENGTH = 1024
 #: The id that closes each document.
@@ -53,12 +53,10 @@ def default_tokenizer() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-_LOADED: dict = {}
-
-
 def encoder(paths: tuple[str, str]):
     """Function: text to a list of ids. Files are read once per process."""
-    if paths not in _LOADED:
+    cache = process_cache()
+    if ("encoder", paths) not in cache:
         import base64
 
         import public_tokenizers
@@ -66,20 +64,21 @@ def encoder(paths: tuple[str, str]):
 
         with open(paths[1], "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        quick = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        slow: list = []
+        cache["encoder", paths] = tiktoken.Encoding(
+            "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        )
+    quick = cache["encoder", paths].encode_ordinary
 
-        def encode(text: str) -> list[int]:
-            if SPECIAL in text:
-                if not slow:
-                    from tokenizers import Tokenizer
+    def encode(text: str) -> list[int]:
+        if SPECIAL in text:
+            if ("tokenizer", paths) not in cache:
+                from tokenizers import Tokenizer
 
-                    slow.append(Tokenizer.from_file(paths[0]))
-                return slow[0].encode(text, add_special_tokens=False).ids
-            return quick.encode_ordinary(text)
+                cache["tokenizer", paths] = Tokenizer.from_file(paths[0])
+            return cache["tokenizer", paths].encode(text, add_special_tokens=False).ids
+        return quick(text)
 
-        _LOADED[paths] = encode
-    return _LOADED[paths]
+    return encode
 
 
 PIECES = "doc_id bigint, start bigint, length int, ids_crc32 bigint, doc_tokens bigint, ids binary"
