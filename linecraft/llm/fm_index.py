@@ -52,7 +52,7 @@ def suffix_order(ids: np.ndarray) -> np.ndarray:
     """
     n = len(ids)
     bits = max(1, int(ids.max()).bit_length())
-    per = max(1, 62 // bits)
+    per = min(n, max(1, 62 // bits))
     key = np.zeros(n, np.int64)
     for j in range(per):
         key <<= bits
@@ -360,8 +360,9 @@ def _searcher(items: list[tuple[str, str]], size: int, all_rows: bool):
                 by = np.argsort(slot, kind="stable")
                 slot, start, phrase = slot[by], start[by], phrase[by]
                 own: dict[int, tuple[list, list]] = {}
-                cuts = np.flatnonzero(np.append(True, slot[1:] != slot[:-1])) if len(slot) else []
-                for x, y in zip(cuts, [*cuts[1:], len(slot)], strict=True):
+                new = np.append(True, slot[1:] != slot[:-1])[: len(slot)]
+                cuts = np.append(np.flatnonzero(new), len(slot)).tolist()
+                for x, y in zip(cuts[:-1], cuts[1:], strict=True):
                     spans = merged(start[x:y], start[x:y] + lengths[phrase[x:y]])
                     who = {names[i] for p in set(phrase[x:y].tolist()) for i in owners[p]}
                     own[int(slot[x])] = (spans, sorted(who))
