@@ -101,6 +101,8 @@ def lay_out(box: Box) -> list[str]:
                 lines.append("")
             lines.extend(new)
             apart = gap
+        elif gap:
+            apart = bool(lines)
 
     for item in box.items:
         if isinstance(item, str):
