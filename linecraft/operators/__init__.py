@@ -7,7 +7,7 @@ from .access_log import (
     rejected_lines,
     tag_access_log,
 )
-from .layout import spread
+from .layout import spread, widen
 from .lifecycle import application_events
 from .partition_report import REPORT_SCHEMA, partition_report, report_json
 from .words import count_words, tokenize, word_count, word_count_text
@@ -25,6 +25,7 @@ __all__ = [
     "spread",
     "tag_access_log",
     "tokenize",
+    "widen",
     "word_count",
     "word_count_text",
 ]

@@ -10,57 +10,54 @@ UNSPLITTABLE_SUFFIXES = (".gz", ".deflate", ".lz4", ".snappy", ".zst", ".zstd")
 DEFAULT_MAX_TASK_BYTES = 128 * 1024 * 1024
 
 
-def _largest_unsplittable_file(df: DataFrame) -> int:
-    """Bytes of the largest unsplittable input file of ``df`` (0 if none).
-
-    Lists only those files' lengths (the ``binaryFile`` source reads no
-    content when ``content`` is not selected); one small job, and none at
-    all when no input file is compressed that way.
+def _oversized(max_task_bytes: int):
+    name = F.lower(F.col("_metadata.file_name"))
+    unsplittable = F.lit(False)
+    for suffix in UNSPLITTABLE_SUFFIXES:
+        unsplittable = unsplittable | name.endswith(suffix)
+    return unsplittable & (F.col("_metadata.file_size") > max_task_bytes)
+
+
+def spread(df: DataFrame, max_task_bytes: int = DEFAULT_MAX_TASK_BYTES) -> DataFrame:
+    """Spread the lines of oversized unsplittable files, and of no others.
+
+    A gzip file is read by a single task however large it is. ``df`` is a scan
+    of files (narrow steps may follow it); the rows of unsplittable files of
+    more than ``max_task_bytes`` are dealt to other tasks by their position in
+    the scan (stable when a task is retried, no hot key, no sort), and all
+    other files are read in place beside them. Without such a file ``df`` comes
+    back as it is, and splittable text is left to the scan's own splits.
+
+    The two sides are the same scan under a filter on the files' size and
+    suffix, so read options stay with it, no name is read back, and the files
+    are listed once more by Spark's own planning only.
     """
-    files = [f for f in df.inputFiles() if f.lower().endswith(UNSPLITTABLE_SUFFIXES)]
-    if not files:
-        return 0
-    spark = df.sparkSession
-    largest = spark.read.format("binaryFile").load(files).agg(F.max("length")).first()[0]
-    return int(largest or 0)
+    big = _oversized(max_task_bytes)
+    large = df.where(big)
+    if not _has_files(large):
+        return df
+    return df.where(~big).unionByName(large.repartition(F.monotonically_increasing_id()))
 
 
-def spread(
-    df: DataFrame,
-    min_partitions: int | None = None,
-    max_task_bytes: int = DEFAULT_MAX_TASK_BYTES,
-) -> DataFrame:
-    """Spread a scan whose tasks would be too few or too uneven.
+def _has_files(df: DataFrame) -> bool:
+    """Whether a file scan has any file left after its filters on file metadata.
+
+    Spark drops the other files when it plans the scan, so this is the number
+    of planned partitions; no job runs.
+    """
+    return df._jdf.queryExecution().toRdd().getNumPartitions() > 0
 
-    A gzip file, or a parquet file with one row group, is read by a single
-    task however large it is. Rows are spread when the scan has fewer
-    partitions than ``min_partitions`` (default: twice the cluster's default
-    parallelism, so uneven rows still balance across cores), or when one
-    unsplittable compressed input file is larger than ``max_task_bytes``
-    (one file may hold a third of all lines while the scan looks wide).
-    Spreading hash-partitions rows on their position in the scan: stable
-    across task retries, no hot key, and no sort (round-robin repartition
-    sorts every map partition first to stay deterministic). A balanced scan
-    is returned untouched, so a large input never pays an extra shuffle.
 
-    The target is a task count, not a size: the work that follows (regex
-    parse, tokenising) costs CPU per row, so even a few MB of lines are worth
-    spreading over every core, while AQE's size-based coalescing
-    (``repartition`` without a count) folds them back into a handful of tasks
-    (measured: 3 MB of log lines parsed 1.5-2× slower that way). The price on a
-    very large cluster is one stage of at most twice its cores in tasks.
+def widen(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Deal a scan of too few tasks to ``min_partitions`` (default: twice the
+    cluster's default parallelism).
 
-    Call it on a source frame (a scan plus narrow steps): the partition count
-    is read from the plan without running a job.
+    For sources whose splits are given by the file, such as a parquet file with
+    one row group, before heavy per-row work. A scan that is wide enough
+    comes back as it is, so a large table pays no shuffle. Rows are dealt by
+    their position in the scan.
     """
-    spark = df.sparkSession
-    try:
-        n = min_partitions or 2 * spark.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
+    n = min_partitions or 2 * df.sparkSession.sparkContext.defaultParallelism
+    if df._jdf.queryExecution().toRdd().getNumPartitions() >= n:
         return df
-    if current < n:
-        return df.repartition(n, F.monotonically_increasing_id())
-    if _largest_unsplittable_file(df) > max_task_bytes:
-        return df.repartition(max(n, current), F.monotonically_increasing_id())
-    return df
+    return df.repartition(n, F.monotonically_increasing_id())
