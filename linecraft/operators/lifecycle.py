@@ -17,13 +17,22 @@ _UNICODE_ESCAPE = "\\u"
 
 
 def _log_key(path):
-    # Rolling logs: .../eventlog_v2_<app>[_<attempt>]/events_<n>_<app>...
-    # Single-file logs: .../<app>[_<attempt>][.<codec>][.inprogress]
-    name = F.regexp_extract(path, r"([^/]+)\z", 1)
+    """The log a line belongs to, by its full path.
+
+    Rolling logs: ``.../eventlog_v2_<app>[_<attempt>]/events_<n>_<app>...``, the
+    folder. Single-file logs: ``.../<app>[_<attempt>][.<codec>][.inprogress]``,
+    the file without its suffixes."""
     parent = F.regexp_extract(path, r"([^/]+)/[^/]+\z", 1)
-    return F.when(
-        parent.startswith("eventlog_v2_"), F.substring(parent, 13, 1 << 20)
-    ).otherwise(F.regexp_replace(name, r"(\.(lz4|lzf|snappy|zstd|zst|gz))?(\.inprogress)?\z", ""))
+    folder = F.regexp_replace(path, r"/[^/]+\z", "")
+    file = F.regexp_replace(path, r"(\.(zstd|zst|gz))?(\.inprogress)?\z", "")
+    return F.when(parent.startswith("eventlog_v2_"), folder).otherwise(file)
+
+
+def _id_in_name(log):
+    """The application id in a log's name, without the attempt's number. Ids of
+    the form ``application_<n>_<n>`` hold two numbers themselves."""
+    name = F.regexp_replace(F.regexp_extract(log, r"([^/]+)\z", 1), r"\Aeventlog_v2_", "")
+    return F.regexp_replace(name, r"\A(application_\d+_\d+|(?!application_).+)_\d+\z", "$1")
 
 
 def application_events(log_lines: DataFrame, path_col: str = "path", value_col: str = "value") -> DataFrame:
@@ -50,7 +59,7 @@ def application_events(log_lines: DataFrame, path_col: str = "path", value_col:
     kind = F.when(F.col("__e.Event") == APP_START_EVENT, F.lit("start")).otherwise(F.lit("end"))
     time_ms = F.col("__e.Timestamp")
     return events.select(
-        F.coalesce(own_id, log_id, F.col("__log")).alias("app_id"),
+        F.coalesce(own_id, log_id, _id_in_name(F.col("__log"))).alias("app_id"),
         kind.alias("event"),
         time_ms.alias("time_ms"),
         app_event_message(kind, time_ms).alias("message"),

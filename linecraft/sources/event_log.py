@@ -4,18 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import _framed_worker
 from .text import read_lines
 
-# Executors run the decoder without a copy of this package.
-cloudpickle.register_pickle_by_value(_framed_worker)
+# Codecs whose stream framings the text reader does not read.
+_UNREADABLE = "*.{lz4,lzf,snappy,lz4.inprogress,lzf.inprogress,snappy.inprogress}"
+_NAMES_SHOWN = 10
 
 
-_FRAMED_SUFFIXES = (".lz4", ".snappy", ".lz4.inprogress", ".snappy.inprogress")
-_UNSUPPORTED_SUFFIXES = (".lzf", ".lzf.inprogress")
+class UnreadableLogError(ValueError):
+    """A folder holds event logs in a codec that cannot be read."""
 
 
 def read_event_log_lines(
@@ -33,56 +33,17 @@ def read_event_log_lines(
     the empty status files of rolling logs add no line and hidden ``.crc``
     files are skipped by the file listing.
 
-    Plain and ``.zstd`` logs (Spark's default codec) are read as text. Logs
-    written with Spark's ``lz4`` or ``snappy`` codecs use the JVM stream
-    framings, which Hadoop's codecs of the same suffix do not read (``.lz4``
-    even exhausts the heap), so those files go to
-    :func:`read_framed_event_log_lines` and the two are unioned. ``.lzf``
-    logs are skipped. The split is made from the file listing alone (paths,
-    no content).
+    Plain and ``.zstd`` logs (Spark's default codec) are read as text. Logs in
+    the ``lz4``, ``lzf`` and ``snappy`` codecs use JVM stream framings that the
+    text reader cannot read; if a path holds any, this raises
+    :class:`UnreadableLogError` with (some of) their names, and reads none.
     """
     opts = {"recursiveFileLookup": "true"}
     opts.update(options or {})
     src = [paths] if isinstance(paths, str) else list(paths)
-    listing = spark.read.format("binaryFile").options(**opts).load(src).inputFiles()
-    framed = [f for f in listing if f.lower().endswith(_FRAMED_SUFFIXES)]
-    skipped = set(framed) | {f for f in listing if f.lower().endswith(_UNSUPPORTED_SUFFIXES)}
-    if not skipped:
-        return read_lines(spark, src, options=opts, with_path=True)
-    text_files = [f for f in listing if f not in skipped]
-    parts = []
-    if text_files:
-        parts.append(read_lines(spark, text_files, options=options, with_path=True))
-    if framed:
-        parts.append(read_framed_event_log_lines(spark, framed, options=options))
-    if not parts:
-        return spark.createDataFrame([], "path string, value string")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def read_framed_event_log_lines(
-    spark: SparkSession,
-    paths: str | Iterable[str],
-    options: Mapping[str, str] | None = None,
-) -> DataFrame:
-    """``path string, value string`` for event logs written with Spark's
-    ``lz4`` or ``snappy`` codec (``*.lz4``, ``*.snappy``, also in-progress).
-
-    Each file is read whole (``binaryFile``; at most 2 GB compressed) and
-    decoded block by block in one task, as any unsplittable codec is; small
-    files are packed into tasks up to ``spark.sql.files.maxPartitionBytes``.
-    :func:`read_event_log_lines` calls this for such files in mixed folders.
-    """
-    src = [paths] if isinstance(paths, str) else list(paths)
-    files = (
-        spark.read.format("binaryFile")
-        .options(**dict(options or {}))
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.{lz4,snappy,lz4.inprogress,snappy.inprogress}")
-        .load(src)
-        .select("path", "content")
-    )
-    return files.mapInArrow(_framed_worker.decode_event_logs, "path string, value string")
+    # names only: the content column is not read
+    bad = spark.read.format("binaryFile").options(**opts).option("pathGlobFilter", _UNREADABLE).load(src)
+    names = [r[0] for r in bad.select(F.col("path")).limit(_NAMES_SHOWN).collect()]
+    if names:
+        raise UnreadableLogError(f"event logs in an unreadable codec (lz4, lzf or snappy): {', '.join(sorted(names))}")
+    return read_lines(spark, src, options=opts, with_path=True)

@@ -1,6 +1,5 @@
 """Run tiny Spark applications that write event logs to argv[1]: a
-single-file log, a rolling zstd log and a single-file zstd log; with argv[2]
-== "framed", one lz4 and one snappy single-file log instead."""
+single-file log, a rolling zstd log and a single-file zstd log."""
 
 import sys
 
@@ -14,13 +13,7 @@ CONFIGS = [
      "spark.eventLog.compression.codec": "zstd"},
 ]
 
-FRAMED = [
-    {"spark.eventLog.rolling.enabled": "false", "spark.eventLog.compress": "true",
-     "spark.eventLog.compression.codec": codec}
-    for codec in ("lz4", "snappy")
-]
-
-for i, extra in enumerate(FRAMED if sys.argv[2:] == ["framed"] else CONFIGS):
+for i, extra in enumerate(CONFIGS):
     b = (SparkSession.builder.master("local[1]").appName(f"evlog-{i}")
          .config("spark.ui.enabled", "false")
          .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", sys.argv[1]))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from linecraft import fixtures
 from linecraft.operators import application_events, partition_report, report_json
-from linecraft.sources import read_event_log_lines, read_framed_event_log_lines, read_table
+from linecraft.sources import read_event_log_lines, read_table
 
 from conftest import SF_SMALL
 
@@ -65,8 +65,8 @@ def test_app_events_end_takes_start_id(spark):
         [
             ("/x/application_1_0001_1", '{"Event":"SparkListenerApplicationStart","App ID":"application_1_0001","Timestamp":5}'),
             ("/x/application_1_0001_1", '{"Event":"SparkListenerApplicationEnd","Timestamp":9}'),
-            ("/x/app-2.lz4.inprogress", '{"Event":"SparkListenerApplicationEnd","Timestamp":3}'),
-            ("/x/app-2.lz4.inprogress", '{"Event":"SparkListener\\u0041pplicationStart","Timestamp":1}'),
+            ("/x/app-2.zstd.inprogress", '{"Event":"SparkListenerApplicationEnd","Timestamp":3}'),
+            ("/x/app-2.zstd.inprogress", '{"Event":"SparkListener\\u0041pplicationStart","Timestamp":1}'),
             ("/x/app-3", "not json"),
             ("/x/app-3", '{"Event":"SparkListenerJobStart"}'),
         ],
@@ -113,61 +113,3 @@ def test_results_survive_a_failed_task():
     assert sorted(by_part) == [0, 1, 2, 3]
     assert by_part[1]["attempt_number"] == 1 and by_part[0]["attempt_number"] == 0
     assert sum(r["row_count"] for r in res["report"]) == 1000
-
-
-@pytest.fixture(scope="module")
-def framed_log_dir(tmp_path_factory):
-    d = tmp_path_factory.mktemp("framedlogs")
-    subprocess.run([sys.executable, os.path.join(HERE, "helpers", "make_event_logs.py"), str(d), "framed"],
-                   check=True, stdout=subprocess.DEVNULL, stderr=subprocess.DEVNULL, timeout=600)
-    return str(d)
-
-
-def test_real_lz4_and_snappy_event_logs(spark, framed_log_dir):
-    lines = read_framed_event_log_lines(spark, framed_log_dir)
-    by_file = {r.path.rsplit(".", 1)[-1]: r.n for r in
-               lines.groupBy("path").agg(F.count(F.lit(1)).alias("n")).collect()}
-    assert set(by_file) == {"lz4", "snappy"} and all(n > 5 for n in by_file.values())
-    assert all(json.loads(r.value)["Event"] for r in lines.collect())  # every line is whole JSON
-    by_app = {}
-    for r in application_events(lines).collect():
-        by_app.setdefault(r.app_id, {})[r.event] = r.time_ms
-    assert len(by_app) == 2
-    assert all(set(ev) == {"start", "end"} and ev["start"] <= ev["end"] for ev in by_app.values())
-
-
-def test_mixed_codec_folders(spark, event_log_dir, framed_log_dir):
-    """plain + rolling zstd + zstd + lz4 + snappy logs through one reader."""
-    events = application_events(read_event_log_lines(spark, [event_log_dir, framed_log_dir])).collect()
-    by_app = {}
-    for r in events:
-        by_app.setdefault(r.app_id, {})[r.event] = r.time_ms
-    assert len(by_app) == 5
-    assert all(set(ev) == {"start", "end"} for ev in by_app.values())
-
-
-def test_in_progress_framed_logs_cut_short(spark, framed_log_dir, tmp_path):
-    """A half-written last block (log still being written) ends the lines
-    there instead of failing the job."""
-    import glob
-
-    for f in glob.glob(os.path.join(framed_log_dir, "*")):
-        data = open(f, "rb").read()
-        with open(tmp_path / (os.path.basename(f) + ".inprogress"), "wb") as out:
-            out.write(data[: len(data) - 40])
-    lines = read_framed_event_log_lines(spark, str(tmp_path)).collect()
-    assert len(lines) > 0
-    starts = [r for r in application_events(read_framed_event_log_lines(spark, str(tmp_path))).collect()
-              if r.event == "start"]
-    assert len(starts) == 2
-
-
-def test_command_line_app_events_on_framed_logs(spark, framed_log_dir, tmp_path):
-    root = os.path.dirname(HERE)
-    out = subprocess.run(
-        [sys.executable, "-m", "linecraft", "--master", "local[2]", "app-events", framed_log_dir, str(tmp_path / "out")],
-        cwd=root, capture_output=True, text=True, timeout=600,
-    )
-    assert out.returncode == 0, out.stderr[-2000:]
-    rows = spark.read.json(str(tmp_path / "out")).collect()
-    assert len(rows) == 4 and {r.event for r in rows} == {"start", "end"}
