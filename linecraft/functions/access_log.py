@@ -11,7 +11,7 @@ the regex is passed to Spark as a plain string through the Column API
 The whole-line pattern is evaluated once per line: ``regexp_replace``
 rewrites a matching line into its nine groups joined by U+0001 and ``split``
 cuts them apart. A line that already holds U+0001 could fake a match that
-way, so such lines take the slower nine-``regexp_extract`` route instead.
+way, so such lines take the slower route of one ``regexp_extract`` per group.
 Both routes give the same groups as a whole-line match of the pattern.
 """
 
@@ -21,7 +21,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .constants import (
-    ACCESS_LOG_LINE_REGEX,
+    ACCESS_LOG_FAST_REGEX,
     ACCESS_LOG_TIME_LAYOUT,
     BAD_SIZE,
     BAD_TIME,
@@ -29,7 +29,9 @@ from .constants import (
 )
 
 _SEP = "\u0001"
-_GROUPS_JOINED = _SEP.join(f"${i}" for i in range(1, 10))
+# endpoint is group 6 or, without a protocol, group 8; the other is empty
+_GROUPS = ((1,), (2,), (3,), (4,), (5,), (6, 8), (7,), (9,), (10,))
+_GROUPS_JOINED = _SEP.join("".join(f"${i}" for i in g) for g in _GROUPS)
 _DIGITS = "0123456789"
 
 
@@ -38,9 +40,10 @@ def access_log_split(line: str) -> Column:
     array of another length, or null. Feed it to :func:`access_log_groups_sql`
     in a later projection, so the regex runs once per line."""
     v = F.expr(line)
-    one_pass = F.split(F.regexp_replace(v, ACCESS_LOG_LINE_REGEX, _GROUPS_JOINED), _SEP, -1)
-    per_group = F.array(*[F.regexp_extract(v, ACCESS_LOG_LINE_REGEX, i) for i in range(1, 10)])
-    return F.when(F.instr(v, _SEP) == 0, one_pass).when(v.rlike(ACCESS_LOG_LINE_REGEX), per_group)
+    one_pass = F.split(F.regexp_replace(v, ACCESS_LOG_FAST_REGEX, _GROUPS_JOINED), _SEP, -1)
+    group = lambda i: F.regexp_extract(v, ACCESS_LOG_FAST_REGEX, i)
+    per_group = F.array(*[F.concat(*map(group, g)) for g in _GROUPS])
+    return F.when(F.instr(v, _SEP) == 0, one_pass).when(v.rlike(ACCESS_LOG_FAST_REGEX), per_group)
 
 
 def access_log_groups_sql(split: str) -> str:

@@ -21,6 +21,14 @@ WORD_SEPARATOR = " "
 # which `$` would let through.
 ACCESS_LOG_LINE_REGEX = ACCESS_LOG_PATTERN + r"\z"
 
+# The same lines and groups in time linear in the line. In the pattern above
+# `(\S+)\s*(\S*)"` may cut one long token anywhere; here either a blank stands
+# between endpoint and protocol (groups 6 and 7) or the token is the endpoint
+# alone (group 8). Status and size are groups 9 and 10.
+ACCESS_LOG_FAST_REGEX = ACCESS_LOG_LINE_REGEX.replace(
+    r'(\S+)\s*(\S*)"', r'(?:(\S++)\s++(\S*)|(\S+))"'
+)
+
 # Reasons a line is not a parsed record.
 NO_MATCH = "no_match"
 BAD_TIME = "bad_time"
