@@ -9,7 +9,7 @@
 ``--master`` is only for runs outside ``spark-submit``. Object-store keys
 are read from the environment variables named by ``--access-key-env``,
 ``--secret-key-env`` and ``--session-token-env`` (never from the command
-line).
+line); they serve the job's reads and writes.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ def _parser() -> argparse.ArgumentParser:
     wc = sub.add_parser("word-count", help="count words, save (word,count) lines")
     wc.add_argument("input")
     wc.add_argument("output")
+    wc.add_argument("--shuffle-partitions", type=int, default=None)
     la = sub.add_parser("log-analysis", help="parse access logs, save records, print counts")
     la.add_argument("input")
     la.add_argument("output")
@@ -52,8 +53,11 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def _options(args) -> dict[str, str] | None:
-    if not (args.access_key_env and args.secret_key_env):
+    given = [bool(x) for x in (args.access_key_env, args.secret_key_env)]
+    if not any(given) and not args.session_token_env:
         return None
+    if not all(given):
+        raise SystemExit("--access-key-env and --secret-key-env go together")
     from linecraft.sources import object_store_options
 
     token = os.environ.get(args.session_token_env) if args.session_token_env else None
@@ -64,6 +68,7 @@ def _options(args) -> dict[str, str] | None:
 
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
+    opts = _options(args)
     from pyspark.sql import SparkSession
 
     from linecraft.plans import jobs
@@ -72,10 +77,12 @@ def main(argv: list[str] | None = None) -> int:
     if args.master:
         builder = builder.master(args.master)
     spark = builder.getOrCreate()
-    opts = _options(args)
     try:
         if args.job == "word-count":
-            jobs.word_count_job(spark, args.input, args.output, options=opts, mode=args.mode)
+            jobs.word_count_job(
+                spark, args.input, args.output, options=opts,
+                shuffle_partitions=args.shuffle_partitions, mode=args.mode,
+            )
         elif args.job == "log-analysis":
             counts = jobs.log_analysis_job(
                 spark, args.input, args.output, fmt=args.fmt, options=opts,
@@ -90,7 +97,7 @@ def main(argv: list[str] | None = None) -> int:
         elif args.job == "word-count-report":
             jobs.word_count_with_report_job(spark, args.input, args.output, args.report, options=opts, mode=args.mode)
         else:
-            jobs.application_events_job(spark, args.logs, args.output, mode=args.mode)
+            jobs.application_events_job(spark, args.logs, args.output, options=opts, mode=args.mode)
     finally:
         spark.stop()
     return 0

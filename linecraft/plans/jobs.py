@@ -2,49 +2,95 @@
 
 Each job returns what it learned (counts) and writes through Spark's commit
 protocol, so a lost executor only re-runs its tasks and a failed job leaves
-no half-written output. ``mode`` is the save mode of every output
-(``errorifexists`` by default, as a text-file save; ``overwrite`` to re-run a
-job into the same folder).
+no half-written output. Every output path is checked before the first write.
+``mode`` is the save mode of every output (``errorifexists`` by default, as a
+text-file save; ``overwrite`` to re-run a job into the same folder).
+
+``options`` (e.g. object-store keys from
+:func:`linecraft.sources.object_store_options`) go to the reads and the writes
+of the job, and only to them; ``output_options`` replace them for the writes.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
+from contextlib import contextmanager
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.constants import EMPTY_INPUT_MESSAGE
-from ..operators.access_log import parsed_records, tag_access_log
+from ..operators.access_log import RECORD_COLUMNS, tag_access_log
 from ..operators.layout import spread
 from ..operators.lifecycle import application_events
 from ..operators.partition_report import partition_report, report_json
 from ..operators.words import count_words
-from ..sinks.files import write_json_lines, write_pairs_text, write_records, write_text
+from ..sinks.files import check_targets, remove_folder, write_json_lines, write_pairs_text, write_records, write_text
 from ..sources.event_log import read_event_log_lines
 from ..sources.text import read_lines
 
+Options = Mapping[str, str] | None
+
 
 class EmptyInputError(AssertionError):
     """The input has no line at all."""
 
 
+def _write_options(options: Options, output_options: Options) -> Options:
+    return options if output_options is None else output_options
+
+
+@contextmanager
+def _shuffle_width(spark: SparkSession, partitions: int | None):
+    """The session's number of shuffle partitions, for one write."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    if partitions is not None:
+        spark.conf.set(key, str(partitions))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def word_count_job(
     spark: SparkSession,
     input_path: str,
     output_path: str,
-    options: Mapping[str, str] | None = None,
-    min_partitions: int | None = None,
+    options: Options = None,
+    shuffle_partitions: int | None = None,
     mode: str = "errorifexists",
+    output_options: Options = None,
 ) -> None:
     """Count the words of text files and save ``(word,count)`` lines.
 
-    ``options`` go to this read only (e.g. object-store keys from
-    :func:`linecraft.sources.object_store_options`). One job of two stages:
-    scan → split → partial count, shuffle on the word, final count → write.
+    One job of two stages: scan → split → partial count, shuffle on the word,
+    final count → write. ``shuffle_partitions`` is the width of that shuffle
+    (default: the session's setting); adaptive execution may merge small ones.
     """
-    lines = spread(read_lines(spark, input_path, options), min_partitions)
-    write_pairs_text(count_words(lines, "value"), output_path, mode=mode)
+    to = _write_options(options, output_options)
+    check_targets(spark, [output_path], mode, to)
+    lines = spread(read_lines(spark, input_path, options))
+    with _shuffle_width(spark, shuffle_partitions):
+        write_pairs_text(count_words(lines, "value"), output_path, mode=mode, options=to)
+
+
+def _tagged_input(spark: SparkSession, input_path: str, options: Options, on_error: str) -> tuple[DataFrame, Observation]:
+    """Tagged lines whose counts are observed while they are written; raises
+    on an empty input, reading no further than the first line."""
+    raw = read_lines(spark, input_path, options)
+    # On the scan itself: stops at the first line, before any shuffle.
+    if raw.isEmpty():
+        raise EmptyInputError(EMPTY_INPUT_MESSAGE)
+    obs = Observation("access_log_counts")
+    tagged = tag_access_log(spread(raw), on_error=on_error).observe(
+        obs,
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(F.col("parsed") == 0).alias("failed"),
+        F.count_if(F.col("parsed") == 1).alias("ok"),
+    )
+    return tagged, obs
 
 
 def log_analysis_job(
@@ -52,37 +98,40 @@ def log_analysis_job(
     input_path: str,
     output_path: str,
     fmt: str = "parquet",
-    options: Mapping[str, str] | None = None,
+    options: Options = None,
     on_error: str = "reject",
     rejects_path: str | None = None,
-    min_partitions: int | None = None,
     mode: str = "errorifexists",
+    output_options: Options = None,
 ) -> dict[str, int]:
     """Parse access logs, save the parsed records, return
     ``{"total", "failed", "ok"}``.
 
     Raises :class:`EmptyInputError` ("No Data found in RDD") before anything
-    is written if the input has no line; that check reads only until the
-    first line. The counts are observed while the records are written, so the
-    logs are scanned and parsed once (plus once more if ``rejects_path`` is
-    given, to save the rejected lines with their reason).
+    is written if the input has no line. The counts are observed while the
+    lines are written, so the logs are scanned and parsed once.
+
+    With ``rejects_path`` the rejected lines are saved with their reason. The
+    one pass then writes all tagged lines, as :func:`log_tagging_job` does,
+    to a folder beside the output that is removed in the end, and both outputs
+    are copied from its two halves.
     """
-    raw = read_lines(spark, input_path, options)
-    # On the scan itself: stops at the first line, before any shuffle.
-    if raw.isEmpty():
-        raise EmptyInputError(EMPTY_INPUT_MESSAGE)
-    tagged = tag_access_log(spread(raw, min_partitions), on_error=on_error)
-    obs = Observation("access_log_counts")
-    observed = tagged.observe(
-        obs,
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col("parsed") == 0).alias("failed"),
-        F.count_if(F.col("parsed") == 1).alias("ok"),
-    )
-    write_records(parsed_records(observed), output_path, fmt=fmt, mode=mode)
-    if rejects_path is not None:
-        rejects = tagged.where(F.col("parsed") == 0).select("value", F.col("reject_reason").alias("reason"))
-        write_records(rejects, rejects_path, fmt=fmt, mode=mode)
+    to = _write_options(options, output_options)
+    check_targets(spark, [output_path] + ([rejects_path] if rejects_path else []), mode, to)
+    tagged, obs = _tagged_input(spark, input_path, options, on_error)
+    if rejects_path is None:
+        write_records(tagged.where("parsed = 1").select(*RECORD_COLUMNS), output_path, fmt=fmt, mode=mode, options=to)
+        return {k: int(v) for k, v in obs.get.items()}
+    both = f"{output_path.rstrip('/')}.tagged-{uuid.uuid4().hex}"
+    try:
+        tagged.write.options(**dict(to or {})).partitionBy("parsed").parquet(both)
+        schema = tagged.schema
+        halves = spark.read.options(**dict(to or {})).schema(schema).parquet(both)
+        write_records(halves.where("parsed = 1").select(*RECORD_COLUMNS), output_path, fmt=fmt, mode=mode, options=to)
+        rejects = halves.where("parsed = 0").select("value", F.col("reject_reason").alias("reason"))
+        write_records(rejects, rejects_path, fmt=fmt, mode=mode, options=to)
+    finally:
+        remove_folder(spark, both, to)
     return {k: int(v) for k, v in obs.get.items()}
 
 
@@ -90,32 +139,23 @@ def log_tagging_job(
     spark: SparkSession,
     input_path: str,
     output_path: str,
-    options: Mapping[str, str] | None = None,
+    options: Options = None,
     on_error: str = "reject",
-    min_partitions: int | None = None,
     mode: str = "errorifexists",
+    output_options: Options = None,
 ) -> dict[str, int]:
     """Parse access logs once and save every line, tagged, as one parquet
     dataset partitioned by ``parsed``: records under ``parsed=1``, rejected
     lines with their ``reject_reason`` under ``parsed=0``. Returns
     ``{"total", "failed", "ok"}``.
 
-    The single-pass form of :func:`log_analysis_job` with ``rejects_path``:
-    one scan, one parse, one write; readers of the records filter on
+    One scan, one parse, one write; readers of the records filter on
     ``parsed = 1``, which prunes to that folder.
     """
-    raw = read_lines(spark, input_path, options)
-    if raw.isEmpty():
-        raise EmptyInputError(EMPTY_INPUT_MESSAGE)
-    tagged = tag_access_log(spread(raw, min_partitions), on_error=on_error)
-    obs = Observation("access_log_counts")
-    observed = tagged.observe(
-        obs,
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col("parsed") == 0).alias("failed"),
-        F.count_if(F.col("parsed") == 1).alias("ok"),
-    )
-    observed.write.mode(mode).partitionBy("parsed").parquet(output_path)
+    to = _write_options(options, output_options)
+    check_targets(spark, [output_path], mode, to)
+    tagged, obs = _tagged_input(spark, input_path, options, on_error)
+    tagged.write.mode(mode).options(**dict(to or {})).partitionBy("parsed").parquet(output_path)
     return {k: int(v) for k, v in obs.get.items()}
 
 
@@ -124,15 +164,20 @@ def word_count_with_report_job(
     input_path: str,
     output_path: str,
     report_path: str,
-    options: Mapping[str, str] | None = None,
+    options: Options = None,
     mode: str = "errorifexists",
+    count_rows: bool = True,
+    output_options: Options = None,
 ) -> None:
-    """Word count plus one JSON report per input partition (where it ran,
-    how many lines). Two jobs over the same scan; the report job reads no
-    column into Python."""
+    """Word count plus one JSON report per input partition (where it ran and,
+    with ``count_rows``, how many lines). Two jobs over the same scan; the
+    report job reads no column into Python."""
+    to = _write_options(options, output_options)
+    check_targets(spark, [output_path, report_path], mode, to)
     lines = read_lines(spark, input_path, options)
-    write_text(report_json(partition_report(lines)), report_path, col="json", mode=mode)
-    write_pairs_text(count_words(spread(lines), "value"), output_path, mode=mode)
+    report = report_json(partition_report(lines, count_rows=count_rows))
+    write_text(report, report_path, col="json", mode=mode, options=to)
+    write_pairs_text(count_words(spread(lines), "value"), output_path, mode=mode, options=to)
 
 
 def application_events_job(
@@ -140,8 +185,12 @@ def application_events_job(
     log_paths: str | list[str],
     output_path: str,
     mode: str = "errorifexists",
+    options: Options = None,
+    output_options: Options = None,
 ) -> None:
     """Start and end messages of every application in event-log folders,
     saved as JSON lines ``app_id, event, time_ms, message``."""
-    events = application_events(read_event_log_lines(spark, log_paths))
-    write_json_lines(events, output_path, mode=mode)
+    to = _write_options(options, output_options)
+    check_targets(spark, [output_path], mode, to)
+    events = application_events(read_event_log_lines(spark, log_paths, options=options))
+    write_json_lines(events, output_path, mode=mode, options=to)

@@ -1,39 +1,82 @@
 """File sinks. Every write goes through Spark's commit protocol: a failed or
 retried task leaves no partial file, and the output appears with a
 ``_SUCCESS`` marker only when the whole job commits. By default a write to an
-existing path fails, as a text-file save does."""
+existing path fails, as a text-file save does.
+
+``options`` are handed to the one write they are given to; Hadoop file-system
+keys (see :func:`linecraft.sources.object_store_options`) reach the file
+system this way, as they do for reads."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 from ..operators.words import word_count_text
 
+Options = Mapping[str, str] | None
+
 
-def write_pairs_text(counts: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def _writer(df: DataFrame, mode: str, options: Options) -> DataFrameWriter:
+    return df.write.mode(mode).options(**dict(options or {}))
+
+
+def write_pairs_text(counts: DataFrame, path: str, mode: str = "errorifexists", options: Options = None) -> None:
     """``word, cnt`` pairs as text lines ``(word,cnt)``, one part file per
     partition."""
-    word_count_text(counts).write.mode(mode).text(path)
+    _writer(word_count_text(counts), mode, options).text(path)
 
 
-def write_records(records: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists") -> None:
+def write_records(
+    records: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists", options: Options = None
+) -> None:
     """Parsed records as typed columns: ``parquet`` (default) or ``json``
     lines."""
     if fmt not in ("parquet", "json"):
         raise ValueError(f"fmt must be 'parquet' or 'json', not {fmt!r}")
-    writer = records.write.mode(mode)
+    writer = _writer(records, mode, options)
     if fmt == "json":
         writer.option("ignoreNullFields", "false").json(path)
     else:
         writer.parquet(path)
 
 
-def write_json_lines(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def write_json_lines(df: DataFrame, path: str, mode: str = "errorifexists", options: Options = None) -> None:
     """Any rows as JSON lines with null fields kept (used for the partition
     report)."""
-    df.write.mode(mode).option("ignoreNullFields", "false").json(path)
+    _writer(df, mode, options).option("ignoreNullFields", "false").json(path)
 
 
-def write_text(df: DataFrame, path: str, col: str = "value", mode: str = "errorifexists") -> None:
+def write_text(
+    df: DataFrame, path: str, col: str = "value", mode: str = "errorifexists", options: Options = None
+) -> None:
     """One string column as text lines."""
-    df.select(col).write.mode(mode).text(path)
+    _writer(df.select(col), mode, options).text(path)
+
+
+def _file_system(spark: SparkSession, path: str, options: Options):
+    jvm = spark._jvm
+    given = jvm.PythonUtils.toScalaMap(dict(options or {}))
+    conf = spark._jsparkSession.sessionState().newHadoopConfWithOptions(given)
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(conf)
+
+
+def check_targets(spark: SparkSession, paths: list[str], mode: str, options: Options = None) -> None:
+    """Raise before anything is written if a job's outputs cannot all be: two
+    of them are the same folder, or, under ``errorifexists``, one is there."""
+    if len({p.rstrip("/") for p in paths}) < len(paths):
+        raise ValueError(f"outputs must be different folders: {paths}")
+    if mode not in ("errorifexists", "error", "default"):
+        return
+    for path in paths:
+        p, fs = _file_system(spark, path, options)
+        if fs.exists(p):
+            raise FileExistsError(f"output exists, nothing was written: {path}")
+
+
+def remove_folder(spark: SparkSession, path: str, options: Options = None) -> None:
+    """Delete a folder that a job itself made."""
+    p, fs = _file_system(spark, path, options)
+    fs.delete(p, True)
