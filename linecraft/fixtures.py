@@ -23,15 +23,17 @@ def _two(expr: str) -> str:
 # dd/MMM/yyyy:HH:mm:ss from field values, so the text does not depend on the
 # session time zone (ts is timestamp_ntz).
 _CLF_TIME = (
-    f"concat({_two('dayofmonth(ts)')}, '/', element_at({_MONTH_ARRAY}, month(ts)), '/', "
-    f"CAST(year(ts) AS string), ':', {_two('hour(ts)')}, ':', {_two('minute(ts)')}, ':', "
-    f"{_two('second(ts)')})"
+    f"concat(CASE WHEN event_id % 19 = 0 THEN '32' ELSE {_two('dayofmonth(ts)')} END, "
+    f"'/', element_at({_MONTH_ARRAY}, month(ts)), '/', CAST(year(ts) AS string), ':', "
+    f"CASE WHEN event_id % 23 = 0 THEN '25' ELSE {_two('hour(ts)')} END, "
+    f"':', {_two('minute(ts)')}, ':', {_two('second(ts)')}, "
+    "CASE event_id % 4 WHEN 0 THEN ' -0400' WHEN 1 THEN ' +0000' WHEN 2 THEN ' +0530' ELSE ' -1130' END)"
 )
 
 _ACCESS_LOG_LINE = f"""
 CASE WHEN event_id % 11 = 0 THEN concat('malformed line ', CAST(event_id AS string))
 ELSE concat(
-  'u', CAST(user_id AS string), '.example.net - - [', {_CLF_TIME}, ' -0400] "',
+  'u', CAST(user_id AS string), '.example.net - - [', {_CLF_TIME}, '] "',
   CASE WHEN event_type = 'purchase' THEN 'POST' ELSE 'GET' END,
   ' /', event_type, '/', CAST(event_id AS string),
   CASE WHEN event_id % 7 = 0 THEN '' ELSE ' HTTP/1.0' END, '" ',
@@ -55,8 +57,8 @@ END"""
 
 def access_log_lines(events: DataFrame) -> DataFrame:
     """``event_id bigint, value string``: one access-log line per event; some
-    are malformed, have trailing text, no protocol, a ``-`` size or a size
-    that is not a number."""
+    are malformed, have trailing text, no protocol, a ``-`` size, a size that
+    is not a number, a day 32 or an hour 25; offsets differ."""
     return events.selectExpr("event_id", f"{_ACCESS_LOG_LINE} AS value")
 
 

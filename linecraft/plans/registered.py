@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from .. import fixtures
 from ..functions.records import record_json
 from ..operators.access_log import access_log_counts, parsed_records, rejected_lines, tag_access_log
-from ..operators.layout import spread
+from ..operators.layout import widen
 from ..operators.lifecycle import application_events
-from ..operators.partition_report import partition_report
+from ..operators.partition_report import partition_report, report_json
 from ..operators.words import tokenize, word_count, word_count_text
 from ..sources.text import lines_of, read_table
 
@@ -29,14 +29,14 @@ EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type s
 
 
 def _documents(spark: SparkSession, d: str) -> DataFrame:
-    return spread(read_table(spark, d, "documents", DOCUMENTS_SCHEMA).select("doc_id", "text"))
+    return widen(read_table(spark, d, "documents", DOCUMENTS_SCHEMA).select("doc_id", "text"))
 
 
 def _events(spark: SparkSession, d: str, *cols: str, heavy: bool = True) -> DataFrame:
     # Spread the (single-row-group) table only before heavy per-row work;
     # for light work the extra exchange costs more than it saves.
     events = read_table(spark, d, "events", EVENTS_SCHEMA).select(*cols)
-    return spread(events) if heavy else events
+    return widen(events) if heavy else events
 
 
 def scan_lines(spark: SparkSession, d: str) -> DataFrame:
@@ -105,8 +105,29 @@ def partition_report_q(spark: SparkSession, d: str) -> DataFrame:
     return report.agg(F.sum("row_count").alias("row_count"))
 
 
+def partition_report_json(spark: SparkSession, d: str) -> DataFrame:
+    """What is the same in every run of the JSON reports: rows reported in all,
+    and the keys of each message (null ones are kept)."""
+    report = report_json(partition_report(_events(spark, d, "event_id", heavy=False)))
+    keys = F.array_join(F.array_sort(F.json_object_keys("json")), ",")
+    rows = F.get_json_object("json", "$.row_count").cast("bigint")
+    return report.agg(
+        F.sum(rows).alias("row_count"), F.min(keys).alias("first_keys"), F.max(keys).alias("last_keys")
+    )
+
+
+def log_times(spark: SparkSession, d: str) -> DataFrame:
+    """The instant and the wall clock of each record's request time."""
+    rec = parsed_records(_tagged(spark, d), keep=["event_id"])
+    return rec.select(
+        "event_id",
+        F.unix_seconds("request_time").alias("request_epoch_s"),
+        F.date_format("request_time_local", "yyyy-MM-dd HH:mm:ss").alias("request_time_local"),
+    )
+
+
 def app_events(spark: SparkSession, d: str) -> DataFrame:
-    events = _events(spark, d, "event_id")
+    events = _events(spark, d, "event_id", heavy=False)
     return application_events(fixtures.event_log_lines(events))
 
 
@@ -118,10 +139,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "log_tagged": log_tagged,
     "log_parsed": log_parsed,
     "log_rejects": log_rejects,
+    "log_times": log_times,
     "log_counts": log_counts,
     "log_content_size": log_content_size,
     "log_json": log_json,
     "partition_report": partition_report_q,
+    "partition_report_json": partition_report_json,
     "app_events": app_events,
 }
 
@@ -149,7 +172,10 @@ _SQL_TOKENIZE = (
 
 _SQL_LOG_LINES = r"""
 select event_id, case when event_id % 11 = 0 then 'malformed line ' || event_id
-  else 'u' || user_id || '.example.net - - [' || strftime(ts, '%d/%b/%Y:%H:%M:%S') || ' -0400] "'
+  else 'u' || user_id || '.example.net - - [' || 
+    case when event_id % 19 = 0 then '32' else strftime(ts, '%d') end || strftime(ts, '/%b/%Y:')
+    || case when event_id % 23 = 0 then '25' else strftime(ts, '%H') end || strftime(ts, ':%M:%S')
+    || case event_id % 4 when 0 then ' -0400' when 1 then ' +0000' when 2 then ' +0530' else ' -1130' end || '] "'
     || case event_type when 'purchase' then 'POST' else 'GET' end || ' /' || event_type || '/' || event_id
     || case when event_id % 7 = 0 then '' else ' HTTP/1.0' end || '" '
     || case when event_type = 'error' then '500' when event_id % 10 = 3 then '404' else '200' end || ' '
@@ -168,6 +194,7 @@ _SQL_TAGGED = (
    case when m then g[1] end as remote_host, case when m then g[2] end as remote_identity,
    case when m then g[3] end as local_identity,
    case when m then cast(epoch_ms(try_strptime(g[4], '%d/%b/%Y:%H:%M:%S %z')) // 1000 as bigint) end as request_epoch_s,
+   case when m then try_strptime(left(g[4], length(g[4]) - 6), '%d/%b/%Y:%H:%M:%S') end as wall,
    case when m then g[5] end as method, case when m then g[6] end as endpoint, case when m then g[7] end as protocol,
    case when m then try_cast(g[8] as integer) end as response_code,
    case when not m then null when g[9] = '-' then 0
@@ -203,12 +230,17 @@ ORACLE_SQL: dict[str, str] = {
     + "select event_id, remote_host, remote_identity, local_identity, request_epoch_s, method, endpoint, "
     "protocol, response_code, content_size from t where parsed = 1",
     "log_rejects": _SQL_TAGGED + "select event_id, value, reject_reason as reason from t where parsed = 0",
+    "log_times": _SQL_TAGGED + "select event_id, request_epoch_s, "
+    "strftime(wall, '%Y-%m-%d %H:%M:%S') as request_time_local from t where parsed = 1",
     "log_counts": _SQL_TAGGED
     + "select count(*) as total, count_if(parsed = 0)::bigint as failed, count_if(parsed = 1)::bigint as ok from t",
     "log_content_size": _SQL_TAGGED + "select event_id, content_size from t where parsed = 1",
     "log_json": """select event_id, '{"event_id":' || event_id || ',"event_type":"' || event_type
         || '","note":null}' as json from events""",
     "partition_report": "select count(*)::bigint as row_count from events",
+    "partition_report_json": "select count(*)::bigint as row_count, keys as first_keys, keys as last_keys from events, "
+    "(select 'attempt_number,created_at,executor_dirs,host,log_url_stderr,log_url_stdout,partition_id,row_count,user_dir' as keys) "
+    "group by keys",
     "app_events": "with l as (" + _SQL_EVENT_LOG_LINES + "),\n"
     r"""e as (select path, json_extract_string(value, '$.Event') as ev,
     json_extract_string(value, '$."App ID"') as aid, cast(json_extract(value, '$.Timestamp') as bigint) as ts
