@@ -6,6 +6,11 @@ standard library, pyarrow and pyspark, and only inside the function.
 """
 
 
+def report_unread_partition(batches):
+    # The report of a partition without taking any of its batches.
+    return report_one_partition(iter(()))
+
+
 def report_one_partition(batches):
     # Runs in the Python worker of each task, once per partition (also for an
     # empty one). Only a null flag column crosses from the JVM, as Arrow

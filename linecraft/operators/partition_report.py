@@ -20,19 +20,24 @@ REPORT_SCHEMA = (
 )
 
 
-def partition_report(df: DataFrame) -> DataFrame:
+def partition_report(df: DataFrame, count_rows: bool = True) -> DataFrame:
     """One row per partition of ``df``: partition id, task attempt, row count,
     time, host, executor directories, working directory and log URLs.
 
     The report is its own DataFrame, not a side effect, so a retried task
     cannot send a second message; ``attempt_number`` shows retries when the
     report is written by the same job that computes ``df``. ``df`` itself is
-    the pass-through. No column of ``df`` is read, so a columnar scan reads
+    the pass-through. Without ``count_rows`` there is no ``row_count`` and the
+    worker takes no batch, as the original program, which leaves its iterator
+    alone. No column of ``df`` is read, so a columnar scan reads
     none; the Python side only counts Arrow batches (``mapInArrow``, no
     pandas conversion).
     """
     flag = F.lit(None).cast("boolean").alias("__row")
-    return df.select(flag).mapInArrow(_report_worker.report_one_partition, REPORT_SCHEMA)
+    if count_rows:
+        return df.select(flag).mapInArrow(_report_worker.report_one_partition, REPORT_SCHEMA)
+    none = df.select(flag).mapInArrow(_report_worker.report_unread_partition, REPORT_SCHEMA)
+    return none.drop("row_count")
 
 
 def report_json(report: DataFrame) -> DataFrame:
@@ -49,6 +54,6 @@ def report_json(report: DataFrame) -> DataFrame:
             "log_url_stderr",
             "partition_id",
             "attempt_number",
-            "row_count",
+            *(["row_count"] if "row_count" in report.columns else []),
         ).alias("json"),
     )

@@ -14,7 +14,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.access_log import access_log_counts, parsed_records, tag_access_log
+from ..operators.access_log import access_log_counts, tag_access_log
 from ..operators.words import count_words
 from ..session import checkpoint_root
 
@@ -44,12 +44,14 @@ def start_parsed_log_stream(
     checkpoint: str | None = None,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Parse new access-log files as they arrive and append the parsed
-    records to parquet files in ``output_dir``. Stateless: no state store,
-    each line is handled once."""
-    records = parsed_records(tag_access_log(stream_lines(spark, input_dir)))
+    """Parse new access-log files as they arrive and append every line,
+    tagged, to parquet files in ``output_dir``, partitioned by ``parsed``:
+    records under ``parsed=1``, rejected lines with their ``reject_reason``
+    under ``parsed=0``. Stateless: no state store, each line is handled once."""
+    tagged = tag_access_log(stream_lines(spark, input_dir))
     writer = (
-        records.writeStream.format("parquet")
+        tagged.writeStream.format("parquet")
+        .partitionBy("parsed")
         .option("path", output_dir)
         .option("checkpointLocation", _checkpoint(spark, "parsed-logs", checkpoint, input_dir, output_dir))
         .outputMode("append")

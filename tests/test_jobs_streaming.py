@@ -113,11 +113,13 @@ def test_parsed_log_stream(spark, tmp_path):
     (src / "1.log").write_text("\n".join(_log_lines(5, 2)))
     q = start_parsed_log_stream(spark, str(src), str(tmp_path / "out"), available_now=True)
     q.awaitTermination(120)
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 5
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.where("parsed = 1").count() == 5
+    assert out.where("parsed = 0 and reject_reason = 'no_match'").count() == 2  # rejects are kept
     (src / "2.log").write_text("\n".join(_log_lines(3, 1)))
     q = start_parsed_log_stream(spark, str(src), str(tmp_path / "out"), available_now=True)
     q.awaitTermination(120)
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 8  # new file only
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 11  # new file only
 
 
 def test_running_word_counts_stream(spark, tmp_path):
