@@ -1,0 +1,226 @@
+"""Spreading oversized files, per-call options for reads and writes, jobs that
+write all their outputs or none."""
+
+import gzip
+import json
+import os
+import re
+import time
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from linecraft.functions.constants import ACCESS_LOG_FAST_REGEX, ACCESS_LOG_LINE_REGEX
+from linecraft.operators import application_events, partition_report, report_json, spread, tag_access_log
+from linecraft.plans import jobs
+from linecraft.sources import UnreadableLogError, read_event_log_lines, read_lines
+
+GOOD = 'h{i} - - [01/Jul/1995:00:00:{s:02d} -0400] "GET /x/{i} HTTP/1.0" 200 {i}'
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _gzip(path, lines):
+    with gzip.open(path, "wt") as f:
+        f.write("".join(x + "\n" for x in lines))
+
+
+def _mount(folder, name="only"):
+    """Options under which ``viewfs://<name>/d`` is ``folder``; no other call
+    knows the mount."""
+    return {f"fs.viewfs.mounttable.{name}.link./d": f"file://{folder}", "fs.viewfs.impl.disable.cache": "true"}
+
+
+def test_plain_files_are_never_shuffled(spark, tmp_path):
+    (tmp_path / "one.txt").write_text("a b\n" * 100)
+    df = read_lines(spark, str(tmp_path))
+    out = spread(df, max_task_bytes=1)
+    assert out is df and "Exchange" not in _plan(out)
+
+
+def test_only_oversized_files_are_shuffled(spark, tmp_path):
+    for i in range(12):
+        (tmp_path / f"small{i}.log").write_text(f"s{i}\n")
+    _gzip(tmp_path / "small.gz", ["g"])
+    _gzip(tmp_path / "big.GZ", [])  # suffixes are told apart by Spark's codec, not here
+    _gzip(tmp_path / "big.log.gz", [f"line {i} with some text {i * 7919}" for i in range(5000)])
+    df = read_lines(spark, str(tmp_path))
+    limit = os.path.getsize(tmp_path / "small.gz") + 1
+    assert spread(df) is df
+    out = spread(df, max_task_bytes=limit)
+    left, right = out._jdf.queryExecution().optimizedPlan().children().apply(0), out._jdf.queryExecution().optimizedPlan().children().apply(1)
+    assert "RepartitionByExpression" not in left.toString() and "RepartitionByExpression" in right.toString()
+    assert sorted(r.value for r in out.collect()) == sorted(r.value for r in df.collect())
+    big = df.where("_metadata.file_size > 1000 and _metadata.file_name like '%.gz'")
+    assert big.count() == 5000 and out.count() == df.count()
+
+
+def test_spread_keeps_read_options(spark, tmp_path):
+    for i in range(9):
+        _gzip(tmp_path / f"{i}.gz", [f"{i} {k}" for k in range(50)])
+    df = read_lines(spark, "viewfs://only/d", options=_mount(tmp_path))
+    assert spread(df, max_task_bytes=1).count() == 450
+
+
+def test_spread_reads_odd_names(spark, tmp_path):
+    folder = tmp_path / "my logs [1] 50%"
+    folder.mkdir()
+    _gzip(folder / "a b [x] 100%25.gz", [f"line {i}" for i in range(300)])
+    (folder / "c d.txt").write_text("plain\n")
+    path = str(tmp_path / "my logs*")
+    df = spread(read_lines(spark, path), max_task_bytes=1)
+    assert df.count() == 301
+
+
+@pytest.fixture
+def store(tmp_path):
+    inside = tmp_path / "store"
+    inside.mkdir()
+    (inside / "in").mkdir()
+    (inside / "in" / "a.log").write_text("\n".join([GOOD.format(i=i, s=i) for i in range(5)] + ["junk"]) + "\n")
+    (inside / "events").mkdir()
+    start = {"Event": "SparkListenerApplicationStart", "App ID": "app-1", "Timestamp": 1}
+    end = {"Event": "SparkListenerApplicationEnd", "Timestamp": 2}
+    (inside / "events" / "app-1").write_text(json.dumps(start) + "\n" + json.dumps(end) + "\n")
+    return inside, _mount(inside, "jobs")
+
+
+def test_jobs_read_and_write_with_given_options(spark, store):
+    inside, opts = store
+    at = "viewfs://jobs/d"
+    jobs.word_count_job(spark, f"{at}/in", f"{at}/words", options=opts, shuffle_partitions=3)
+    jobs.log_analysis_job(spark, f"{at}/in", f"{at}/records", options=opts, rejects_path=f"{at}/rejects")
+    jobs.log_tagging_job(spark, f"{at}/in", f"{at}/tagged", options=opts)
+    jobs.word_count_with_report_job(spark, f"{at}/in", f"{at}/words2", f"{at}/report", options=opts)
+    jobs.application_events_job(spark, f"{at}/events", f"{at}/messages", options=opts)
+    count = lambda name, fmt: getattr(spark.read, fmt)(str(inside / name)).count()
+    assert count("words", "text") == count("words2", "text") > 5
+    assert (count("records", "parquet"), count("rejects", "parquet"), count("tagged", "parquet")) == (5, 1, 6)
+    assert count("report", "json") >= 1 and count("messages", "json") == 2
+    assert sorted(os.listdir(inside)) == sorted(
+        ["in", "events", "words", "words2", "records", "rejects", "tagged", "report", "messages"]
+    )
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
+def test_output_options_are_separate(spark, store, tmp_path):
+    inside, opts = store
+    out = str(tmp_path / "words")
+    jobs.word_count_job(spark, "viewfs://jobs/d/in", out, options=opts, output_options={"compression": "gzip"})
+    assert any(f.endswith(".gz") for f in os.listdir(out))
+
+
+def test_nothing_is_written_if_an_output_exists(spark, store, tmp_path):
+    inside, _ = store
+    rejects = tmp_path / "rejects"
+    rejects.mkdir()
+    with pytest.raises(FileExistsError, match="rejects"):
+        jobs.log_analysis_job(spark, str(inside / "in"), str(tmp_path / "out"), rejects_path=str(rejects))
+    with pytest.raises(FileExistsError, match="rejects"):
+        jobs.word_count_with_report_job(spark, str(inside / "in"), str(rejects), str(tmp_path / "report"))
+    with pytest.raises(ValueError, match="different"):
+        jobs.log_analysis_job(spark, str(inside / "in"), str(tmp_path / "out"), rejects_path=str(tmp_path / "out/"))
+    assert sorted(os.listdir(tmp_path)) == ["rejects", "store"]
+
+
+def test_rejects_take_one_scan_of_the_logs(spark, store, tmp_path, monkeypatch):
+    """Only one write has the logs in its plan."""
+    inside, _ = store
+    sources = []
+    real = jobs.write_records
+    monkeypatch.setattr(jobs, "write_records", lambda df, *a, **k: (sources.append(df.inputFiles()), real(df, *a, **k)))
+    counts = jobs.log_analysis_job(spark, str(inside / "in"), str(tmp_path / "out"), rejects_path=str(tmp_path / "rej"))
+    assert counts == {"total": 6, "failed": 1, "ok": 5}
+    assert len(sources) == 2 and all(".tagged-" in f for files in sources for f in files)
+
+
+# --- regular expression ---
+
+_TOKENS = st.lists(
+    st.sampled_from(['"', " ", "\t", "a", "/x", "GET", "HTTP/1.0", '" 200', " 200 5", "\u0001", "é", "]", "-"]), max_size=9
+).map("".join)
+
+
+@settings(max_examples=400, deadline=None)
+@given(_TOKENS, _TOKENS, st.sampled_from(["200", "20", "4040"]), st.sampled_from(["5", "-", "5 ", ""]))
+def test_fast_pattern_has_the_same_groups(request_tail, more, code, size):
+    line = f'h - - [01/Jul/1995:00:00:01 -0400] "GET {request_tail}{more}" {code} {size}'
+    # Python's \s and \S are Unicode; the fixed pattern runs on Java's ASCII ones
+    slow = re.match(ACCESS_LOG_LINE_REGEX.replace(r"\z", r"\Z"), line, re.A)
+    fast = re.match(ACCESS_LOG_FAST_REGEX.replace(r"\z", r"\Z"), line, re.A)
+    assert (slow is None) == (fast is None)
+    if slow:
+        g = fast.groups(default="")
+        assert slow.groups() == (*g[:5], g[5] + g[7], g[6], g[8], g[9])
+
+
+def test_very_long_lines_are_linear(spark):
+    head = 'h - - [01/Jul/1995:00:00:01 -0400] "GET /'
+    lines = [head + "x" * 1_000_000, head + "x" * 1_000_000 + '" 200 5', head + '"' * 300_000, head + "\u0001" + "y" * 1_000_000]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    t = time.monotonic()
+    got = [r.parsed for r in tag_access_log(df).select("parsed").collect()]
+    assert got == [0, 1, 0, 0]
+    assert time.monotonic() - t < 20
+
+
+# --- event logs ---
+
+END = json.dumps({"Event": "SparkListenerApplicationEnd", "Timestamp": 5})
+
+
+def _start(app, t=1):
+    return json.dumps({"Event": "SparkListenerApplicationStart", "App ID": app, "Timestamp": t})
+
+
+@pytest.mark.parametrize("codec", ["lzf", "lz4", "snappy", "lzf.inprogress"])
+def test_unreadable_logs_are_named(spark, tmp_path, codec):
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / f"app-9.{codec}").write_bytes(b"\x00\x01")
+    with pytest.raises(UnreadableLogError, match="app-9"):
+        read_event_log_lines(spark, str(tmp_path))
+    (tmp_path / "app-8").write_text(_start("app-8") + "\n")
+    with pytest.raises(UnreadableLogError, match="app-9"):
+        read_event_log_lines(spark, str(tmp_path))
+
+
+def test_logs_of_one_name_in_two_folders(spark, tmp_path):
+    for folder, app in (("a b", "app-A"), ("b[1]", "app-B")):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "x").write_text(_start(app) + "\n" + END + "\n")
+    got = {(r.app_id, r.event) for r in application_events(read_event_log_lines(spark, str(tmp_path))).collect()}
+    assert got == {(a, e) for a in ("app-A", "app-B") for e in ("start", "end")}
+
+
+def test_id_from_the_name_without_the_attempt(spark):
+    paths = {
+        "/l/eventlog_v2_app-7_2/events_1_app-7_2.zstd": "app-7",
+        "/l/eventlog_v2_app-7/events_1_app-7": "app-7",
+        "/l/application_12_0003_1.zstd": "application_12_0003",
+        "/l/application_12_0003": "application_12_0003",
+        "/l/local-17.inprogress": "local-17",
+    }
+    df = spark.createDataFrame([(p, END) for p in paths], "path string, value string")
+    assert sorted(r.app_id for r in application_events(df).collect()) == sorted(paths.values())
+
+
+# --- report ---
+
+
+def test_report_without_reading(spark):
+    df = spark.range(0, 100000, numPartitions=3)
+    full, bare = partition_report(df), partition_report(df, count_rows=False)
+    assert bare.columns == [c for c in full.columns if c != "row_count"]
+    pick = lambda x: sorted((r.partition_id, r.host, r.user_dir) for r in x.collect())
+    assert pick(full) == pick(bare)
+    assert all("row_count" not in json.loads(r.json) for r in report_json(bare).collect())
+
+
+def test_one_key_flag_alone_is_an_error():
+    from linecraft.__main__ import main
+
+    with pytest.raises(SystemExit, match="go together"):
+        main(["--access-key-env", "A", "word-count", "in", "out"])

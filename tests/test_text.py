@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import write_bytes
 from linecraft.functions import pair_text, split_lines, split_words
-from linecraft.operators import count_words, spread, tokenize, word_count, word_count_text
+from linecraft.operators import count_words, tokenize, widen, word_count, word_count_text
 from linecraft.sources import lines_of, read_lines
 
 # Expected words per line, from Java's String.split(" ").
@@ -127,12 +127,12 @@ def test_word_count_plan_has_partial_aggregate(spark):
     assert "partial_count" in plan and "hashpartitioning(word" in plan
 
 
-def test_spread_only_when_narrow(spark):
+def test_widen_only_when_narrow(spark):
     one = spark.range(0, 1000, numPartitions=1)
     wide = spark.range(0, 1000, numPartitions=16)
-    assert spread(one, 4).rdd.getNumPartitions() == 4
-    assert spread(wide, 4) is wide
-    assert sorted(r.id for r in spread(one, 4).collect()) == list(range(1000))
+    assert widen(one, 4).rdd.getNumPartitions() == 4
+    assert widen(wide, 4) is wide
+    assert sorted(r.id for r in widen(one, 4).collect()) == list(range(1000))
 
 
 @pytest.mark.parametrize("mode", ["errorifexists"])
@@ -146,28 +146,3 @@ def test_pairs_sink_refuses_existing(spark, tmp_path, mode):
     assert (tmp_path / "out" / "_SUCCESS").exists()
     with pytest.raises(Exception):
         write_pairs_text(df, out, mode=mode)
-
-
-def test_spread_one_oversized_gzip_among_many_files(spark, tmp_path):
-    d = tmp_path / "logs"
-    d.mkdir()
-    for i in range(12):
-        (d / f"small{i}.log").write_text(f"s{i}\n")
-    with gzip.open(d / "big.log.gz", "wt") as f:
-        f.write("".join(f"line {i} with some text\n" for i in range(5000)))
-    df = read_lines(spark, str(d))
-    wide = df.rdd.getNumPartitions()
-    assert wide >= 4
-    # below the byte limit: untouched
-    assert spread(df, 4) is df
-    # above it: spread, nothing lost
-    sp = spread(df, 4, max_task_bytes=1000)
-    assert sp is not df and sp.rdd.getNumPartitions() >= wide
-    assert sp.count() == 5012
-
-
-def test_spread_plain_files_need_no_listing(spark, tmp_path):
-    for i in range(6):
-        (tmp_path / f"{i}.txt").write_text("a\n" * 10)
-    df = read_lines(spark, str(tmp_path))
-    assert spread(df, 2, max_task_bytes=1) is df
