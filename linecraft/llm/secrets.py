@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Rule:
-    """``pattern`` in the syntax that Java and Python share. A match counts if
+    """``pattern`` in the syntax that Java and Python share, without
+    backslashes (``[.]`` for a full stop). A match counts if
     its group ``group`` has at least ``least`` characters."""
 
     kind: str
@@ -41,14 +42,14 @@ def _either_case(word: str) -> str:
 _KEYWORDS = "|".join(map(_either_case, ("password", "passwd", "secret", "token", "api_?key")))
 
 BASE_RULES = (
-    Rule("assign", rf"({_KEYWORDS})[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 8),
+    Rule("assign", f"({_KEYWORDS})[\"']? *[:=] *[\"']?([A-Za-z0-9+/_.=-]+)", 2, 8),
     Rule("access", "AKIA[A-Z0-9]+", 0, 16),
     Rule("hex", "[0-9a-f]+", 0, 32),
 )
 MORE_RULES = (
     Rule("code_host", "gh[oprsu]_[A-Za-z0-9]{36,}"),
     Rule("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-    Rule("signed_token", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("signed_token", "eyJ[A-Za-z0-9_-]{8,}[.][A-Za-z0-9_-]{8,}[.][A-Za-z0-9_-]{8,}"),
     Rule("chat_token", "xox[abprs]-[A-Za-z0-9-]{10,}"),
 )
 RULES = BASE_RULES + MORE_RULES
@@ -209,7 +210,11 @@ BLOCK = 256
 
 
 def _literal(s: str) -> str:
-    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    """SQL literal. Without backslashes it means the same under any setting of
+    the session."""
+    if "\\" in s:
+        raise ValueError(f"write a character class instead of a backslash: {s}")
+    return "'" + s.replace("'", "''") + "'"
 
 
 def _spans_sql(rule: Rule, rank: int, text: str = "body") -> str:
