@@ -66,8 +66,43 @@ s as (select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigin
 r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
 select query_id, rank::integer as rank, vec_id, score from r where rank <= 5"""
 
+_LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# Words hold no space, so a space joins them without ambiguity. doc_id is unique
+# in the given tables.
+NEAR_DUPLICATES_SQL = rf"""
+with recursive w as (select doc_id, regexp_extract_all({_LOW}, '[^\x20\x09-\x0D]+') as w from documents),
+s as (select doc_id, list_distinct(case when len(w) < 2 then w
+    else list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) end) as sh from w),
+e as (select doc_id, len(sh) as n, unnest(sh) as g from s),
+p as (select a.doc_id as x, b.doc_id as y, any_value(a.n) as nx, any_value(b.n) as ny, count(*) as both_n
+  from e a join e b on a.g = b.g and a.doc_id < b.doc_id and 100 * a.n >= 80 * b.n and 100 * b.n >= 80 * a.n group by 1, 2),
+l as (select x, y from p where 100 * both_n >= 80 * (nx + ny - both_n)),
+b as (select x, y from l union all select y, x from l),
+r(doc_id, reached) as (select doc_id, doc_id from s union select r.doc_id, b.y from r join b on b.x = r.reached),
+c as (select doc_id, min(reached) as component_id from r group by doc_id)
+select doc_id, len(sh)::bigint as n_shingles, component_id, doc_id = component_id as kept from s join c using (doc_id)"""
+
+DECONTAMINATION_SQL = rf"""
+with dw as (select doc_id, regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+iw as (select item_id, regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+ip as (select item_id, least(len(w), 10) as size, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) as i from iw where len(w) > 0),
+k as (select distinct item_id, size, array_to_string(w[i:i + size - 1], ' ') as g from ip),
+n as (select distinct size from k),
+dp as (select doc_id, size, w, unnest(range(1, len(w) - size + 2)) as i from dw, n where len(w) >= size),
+g as (select doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') as g from dp),
+h as (select doc_id, g.size, i, item_id from g join k on g.size = k.size and g.g = k.g),
+c as (select doc_id, count(distinct place)::bigint as n_hit from (select doc_id, unnest(range(i, i + size)) as place from h) group by doc_id),
+f as (select doc_id, count(distinct item_id)::bigint as n_items,
+  array_to_string(list_sort(list(distinct item_id::varchar)), ',') as items from h group by doc_id)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(items, '')) as items_sha256, n_hit is not null as contaminated
+from dw left join c using (doc_id) left join f using (doc_id)"""
+
 ORACLE_SQL = {
+    "op1_superminhash_near_duplicates": NEAR_DUPLICATES_SQL,
     "op2_mtree_top_scores": TOP_SCORES_SQL,
     "op3_secret_scan": secret_scan(),
+    "op6_fm_index_decontamination": DECONTAMINATION_SQL,
     "op8_url_rules": URL_RULES_SQL,
 }
