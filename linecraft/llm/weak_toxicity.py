@@ -115,15 +115,19 @@ class Voters:
 
 def text_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Distinct pairs (text, hash of a word or a word's stem)."""
-    w = words_of(texts, WORD, STEM)
-    text = np.repeat(np.arange(len(texts)), np.diff(w.first))
-    long = w.stems != 0
-    text, h = np.concatenate([text, text[long]]), np.concatenate([w.hashes, w.stems[long]])
-    order = np.lexsort((h, text))
-    text, h = text[order], h[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
-    return text[new], h[new]
+    out: tuple[list, list] = ([np.zeros(0, np.int32)], [np.zeros(0, np.uint64)])
+    for at, part in slices(texts, SLICE):
+        w = words_of(part, WORD, STEM)
+        text = np.repeat(np.arange(len(part)), np.diff(w.first))
+        long = w.stems != 0
+        text, h = np.concatenate([text, text[long]]), np.concatenate([w.hashes, w.stems[long]])
+        order = np.lexsort((h, text))
+        text, h = text[order], h[order]
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
+        out[0].append((text[new] + at).astype(np.int32))
+        out[1].append(h[new])
+    return np.concatenate(out[0]), np.concatenate(out[1])
 
 
 def mine(text: np.ndarray, word: np.ndarray, label: np.ndarray) -> Voters:
