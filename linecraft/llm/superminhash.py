@@ -10,10 +10,11 @@ Classes that share a band of the signature are candidates. Within a band's
 bucket, however large, pairs are not listed. A few rounds compare each class
 with one other class of another component (its bucket's hub) on the full sets;
 confirmed links are united, and most classes of a group share a component soon.
-What is left, classes beside a component they share a bucket with but have no
-confirmed link to, is compared in full: the sets of the larger component's
-members, in blocks, with each such class. Every pair of classes that shares a
-bucket thus ends up in one component or is found not to be linked.
+What is left apart is compared in full: first the classes beside a bucket's
+largest component with all of its members, in blocks; then those classes among
+themselves, as pairs where a bucket has few of them and in blocks where it has
+many. Every pair of classes that shares a bucket thus ends up in one component
+or is found not to be linked.
 
 With ``BANDS`` x ``ROWS`` = 40 x 6, two sets at a similarity of exactly 0.8
 share no band with a probability of 5e-6; less above.
@@ -41,9 +42,11 @@ BANDS, ROWS = 40, 6
 #: Signature places: a prime, so that j -> a j + b is a permutation.
 PLACES = 241
 #: Rounds in which a class is compared with one hub.
-ROUNDS = 3
+ROUNDS = 2
 #: Sets of a component (mean per block) and classes to compare them with.
 BLOCK, SIDE = 128, 1024
+#: Classes of a bucket that are listed as pairs; more meet in blocks.
+FEW = 8
 #: Bytes of text whose shingles are made at once.
 SLICE = 1 << 18
 
@@ -131,7 +134,8 @@ def _signer(size, bands, rows):
 # --- comparison on full sets -------------------------------------------------
 
 
-def linked(both: int, x: int, y: int, percent: int) -> bool:
+def linked(both, x, y, percent: int):
+    """The condition on the sizes of two sets and of their intersection."""
     return 100 * both >= percent * (x + y - both)
 
 
@@ -164,39 +168,77 @@ def _pair_checker(size, percent):
     return check
 
 
+def _checked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """The linked ones of ``a, b``."""
+    left = texts.select(F.col("class").alias("a"), F.col("text").alias("left_text"))
+    right = texts.select(F.col("class").alias("b"), F.col("text").alias("right_text"))
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "left_text", "right_text")
+    return both.mapInArrow(_pair_checker(size, percent), "a binary, b binary")
+
+
 def _each(texts: pa.Array, size: int):
     for at, h, first in _sets(texts, size):
         for i in range(len(first) - 1):
             yield at + i, h[first[i] : first[i + 1]], None
 
 
+class _Sets:
+    """Sets of some texts, sorted by element: counts all overlaps with one set."""
+
+    def __init__(self, texts: pa.Array, size: int):
+        sets = [own for _, own, _ in _each(texts, size)]
+        self.counts = np.array([len(x) for x in sets], np.int64)
+        flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        owner = np.repeat(np.arange(len(sets)), self.counts)
+        order = np.argsort(flat, kind="stable")
+        self.sets, self.flat, self.owner = sets, flat[order], owner[order]
+
+    def linked(self, own: np.ndarray, percent: int) -> np.ndarray:
+        lo, hi = np.searchsorted(self.flat, own, "left"), np.searchsorted(self.flat, own, "right")
+        n = hi - lo
+        at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        both = np.bincount(self.owner[at], minlength=len(self.sets))
+        return np.flatnonzero(linked(both, self.counts, len(own), percent))
+
+
+def _linked_table(links) -> pa.Table:
+    return pa.table({"a": pa.array([a for a, _ in links], pa.binary()), "b": pa.array([b for _, b in links], pa.binary())})
+
+
 def _block_checker(size, percent):
     """Cogroup: a block of a component's members and classes to compare them
     with. One confirmed link per class is enough to unite."""
 
     def check(_, members, others):
-        h, first = [], [0]
-        for _, own, _ in _each(_plain(members["text"]), size):
-            h.append(own)
-            first.append(first[-1] + len(own))
-        links: tuple[list, list] = ([], [])
-        if h and others.num_rows:
-            names, asked = members["class"].to_pylist(), others["class"].to_pylist()
-            counts = np.diff(first)
-            flat = np.concatenate(h)
-            owner = np.repeat(np.arange(len(h)), counts)
-            order = np.argsort(flat, kind="stable")
-            flat, owner = flat[order], owner[order]
-            for i, own, _ in _each(_plain(others["text"]), size):
-                lo, hi = np.searchsorted(flat, own, "left"), np.searchsorted(flat, own, "right")
-                n = hi - lo
-                at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
-                both = np.bincount(owner[at], minlength=len(h))
-                good = np.flatnonzero(100 * both >= percent * (counts + len(own) - both))
+        links = []
+        if members.num_rows and others.num_rows:
+            names, asked = members["class"].to_pylist(), others["asker"].to_pylist()
+            held = _Sets(_plain(members["text"]), size)
+            for i, own, _ in _each(_plain(others["asker_text"]), size):
+                good = held.linked(own, percent)
                 if len(good):
-                    links[0].append(asked[i])
-                    links[1].append(names[good[0]])
-        return pa.table({"a": pa.array(links[0], pa.binary()), "b": pa.array(links[1], pa.binary())})
+                    links.append((asked[i], names[good[0]]))
+        return _linked_table(links)
+
+    return check
+
+
+def _group_checker(size, percent):
+    """Group: one block of a bucket's classes, or two. Classes of different
+    components are compared, of two blocks only across them."""
+
+    def check(key, rows):
+        i, j = key[1].as_py(), key[2].as_py()
+        block, names, roots = rows["block"].to_numpy(), rows["class"].to_pylist(), rows["root"].to_pylist()
+        held = _Sets(_plain(rows["text"]), size)
+        links = []
+        for k, own in enumerate(held.sets):
+            if block[k] != i:
+                continue
+            for m in held.linked(own, percent).tolist():
+                if roots[m] != roots[k] and block[m] == j and (i != j or m < k):
+                    links.append((names[k], names[m]))
+        return _linked_table(links)
 
     return check
 
@@ -208,6 +250,15 @@ def _plain(column: pa.ChunkedArray) -> pa.Array:
 # --- connected components ----------------------------------------------------
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether each node of ``u, v`` (v < u) hangs on one root, which hangs on
+    none: no node is on both sides, or twice on the left."""
+    roots = edges.select(F.col("v").alias("u"), F.lit(True).alias("below"))
+    seen = edges.select("u", F.lit(False).alias("below")).unionByName(roots).groupBy("u")
+    odd = seen.agg(F.count_if(~F.col("below")).alias("above"), F.count_if("below").alias("below"))
+    return odd.where("above > 1 or (above > 0 and below > 0)").limit(1).count() == 0
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, root`` for every node of ``links`` (``a, b``): the smallest node
     of its component. Union-find as rounds of large and small stars; a hub's
@@ -216,24 +267,19 @@ def components(links: DataFrame) -> DataFrame:
     edges = stored(
         links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"
     )
-    mark = None
-    while True:
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
+        large = large.where("u <> v")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
         step = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             low.select("u", F.col("m").alias("v"))
         )
         after = stored(step.where("u <> v").distinct(), "edges")
-        found = after.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         release(edges)
         edges = after
-        if tuple(found) == mark:
-            break
-        mark = tuple(found)
     out = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     out._linecraft_path = edges._linecraft_path
     return out
@@ -301,21 +347,25 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80, bands: int = BANDS
         apart = per_bucket.where("low <> high").select("bucket", "x.*")
         ask = F.min(F.struct(F.xxhash64("hub", F.lit(turn + ROUNDS)).alias("h"), F.col("hub")))
         pairs = placed.join(apart, "bucket").where("root <> hub_root").groupBy("class").agg(ask.alias("x"))
-        left = texts.select(F.col("class").alias("a"), F.col("text").alias("left_text"))
-        right = texts.select(F.col("class").alias("b"), F.col("text").alias("right_text"))
-        links = (
-            pairs.select(F.col("class").alias("a"), F.col("x.hub").alias("b"))
-            .join(left, "a")
-            .join(right, "b")
-            .select("a", "b", "left_text", "right_text")
-            .mapInArrow(_pair_checker(size, percent), "a binary, b binary")
-        )
-        links = stored(links, "links")
+        pairs = pairs.select(F.col("class").alias("a"), F.col("x.hub").alias("b"))
+        links = stored(_checked(pairs, texts, size, percent), "links")
         roots = _united(roots, links)
         release(links)
-    rest = stored(_rest(members, roots, texts, size, percent), "rest")
-    roots = _united(roots, rest)
-    release(rest, members, texts)
+    # what the rounds left apart: first beside each bucket's largest component
+    own = _placed(texts.select(F.lit(0).alias("bucket"), "class"), roots).select("class", "root")
+    sized = own.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+    rows = _apart(_placed(members, roots)).join(sized, "root")
+    main = rows.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("x")).select("bucket", F.col("x.root").alias("main"))
+    rows = stored(rows.join(main, "bucket").select("bucket", "class", "root", "main"), "apart")
+    held = stored(own, "own")
+    links = _beside_main(rows, held, texts, size, percent)
+    roots = _united(roots, links)
+    release(links, held)
+    # then the classes beside it among themselves
+    rest = _apart(_placed(rows.where("root <> main").select("bucket", "class"), roots))
+    links = _among_rest(rest, texts, size, percent)
+    roots = _united(roots, links)
+    release(links, rows, members, texts)
     # classes to components: the smallest doc_id of the component's classes
     known = classes.select("class", "doc_id").join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
     known = known.select("class", "doc_id", F.coalesce("root", "class").alias("root"))
@@ -337,53 +387,85 @@ def _placed(members: DataFrame, roots: DataFrame | None) -> DataFrame:
     return at.select("bucket", "class", F.coalesce("root", "class").alias("root"))
 
 
-def _rest(members: DataFrame, roots: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links between classes that share a bucket but no component yet."""
-    placed = _placed(members, roots)
+def _apart(placed: DataFrame) -> DataFrame:
+    """Rows of the buckets that hold several components."""
     bounds = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    open_ = stored(placed.join(bounds.where("low <> high").select("bucket"), "bucket"), "open")
-    own = _placed(texts.select(F.lit(0).alias("bucket"), "class"), roots).select("class", "root")
+    return placed.join(bounds.where("low <> high").select("bucket"), "bucket")
+
+
+def _beside_main(rows: DataFrame, own: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between a bucket's largest component and the classes beside it.
+
+    ``rows``: ``bucket, class, root, main``; ``own``: ``class, root``. A class
+    asks a component once, whatever the buckets they share; a component's sets
+    are cut into blocks, and blocks with many askers are repeated.
+    """
     size_of = own.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-    # a class asks the larger component of two; ties by name
-    comps = open_.select("bucket", "root").distinct().join(size_of, "root")
-    asks = (
-        open_.join(size_of, "root")
-        .select("bucket", "class", F.struct("n", "root").alias("own"))
-        .join(comps.select("bucket", F.struct("n", "root").alias("other")), "bucket")
-        .where("other > own")
-        .select("class", F.col("other.root").alias("root"), F.col("other.n").alias("n"))
-        .distinct()
-    )
+    asks = rows.where("root <> main").select("class", F.col("main").alias("root")).distinct()
     asks = stored(asks, "asks")
+    sides = asks.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / SIDE).alias("sides")).join(size_of, "root")
     blocks = F.ceil(F.col("n") / BLOCK)
-    sides = asks.groupBy("root").agg(F.max("n").alias("n"), F.ceil(F.count(F.lit(1)) / SIDE).alias("sides"))
-    held = (
-        own.join(sides, "root")
-        .select(
-            "root",
-            "class",
-            F.pmod(F.xxhash64("class"), blocks).alias("block"),
-            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("sides") - 1)).alias("side"),
-        )
-        .join(texts, "class")
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1))
+    held = own.join(sides, "root").select(
+        "root", "class", F.pmod(F.xxhash64("class"), blocks).alias("block"), upto(F.col("sides")).alias("side")
     )
-    asking = (
-        asks.join(sides.select("root", "sides"), "root")
-        .select(
-            "root",
-            "class",
-            F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)).alias("block"),
-            F.pmod(F.xxhash64("class"), F.col("sides")).alias("side"),
-        )
-        .join(texts, "class")
+    asking = asks.join(sides, "root").select(
+        "root", "class", upto(blocks).alias("block"), F.pmod(F.xxhash64("class"), F.col("sides")).alias("side")
     )
     key = ["root", "block", "side"]
-    got = held.groupBy(*key).cogroup(asking.groupBy(*key)).applyInArrow(_block_checker(size, percent), "a binary, b binary")
+    theirs = texts.select(F.col("class").alias("asker"), F.col("text").alias("asker_text"))
+    other = asking.join(theirs, F.col("class") == F.col("asker")).select(
+        F.col("root").alias("of"), F.col("block").alias("at"), F.col("side").alias("part"), "asker", "asker_text"
+    )
+    got = (
+        held.join(texts, "class")
+        .groupBy(*key)
+        .cogroup(other.groupBy("of", "at", "part"))
+        .applyInArrow(_block_checker(size, percent), "a binary, b binary")
+    )
     links = stored(got, "links")
-    release(open_, asks)
+    release(asks)
     return links
 
 
+def _among_rest(rows: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between classes of different components in a bucket, all compared:
+    ``rows`` (``bucket, class, root``) leave out the bucket's largest component.
+
+    Buckets with the same classes count once. Few classes are listed as pairs;
+    more are cut into blocks, and each two blocks meet in one group.
+    """
+    h = F.xxhash64("class")
+    content = rows.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("x"), F.bit_xor(F.xxhash64("class", F.lit(1))).alias("y")
+    )
+    once = content.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
+    rows = stored(rows.join(once, "bucket"), "among")
+    few = rows.where(F.col("n") <= FEW)
+    pairs = (
+        few.select("bucket", F.col("class").alias("a"), F.col("root").alias("a_root"))
+        .join(few.select("bucket", F.col("class").alias("b"), F.col("root").alias("b_root")), "bucket")
+        .where("a < b and a_root <> b_root")
+        .select("a", "b")
+        .distinct()
+    )
+    many = rows.where(F.col("n") > FEW).withColumn("blocks", F.ceil(F.col("n") / BLOCK))
+    many = many.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")))
+    met = many.select(
+        "bucket",
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other"),
+        "block",
+        "class",
+        "root",
+    ).select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "class", "root")
+    blocked = (
+        met.join(texts, "class").groupBy("bucket", "i", "j").applyInArrow(_group_checker(size, percent), "a binary, b binary")
+    )
+    out = stored(_checked(pairs, texts, size, percent).unionByName(blocked), "links")
+    release(rows)
+    return out
+
+
 def digest(docs: DataFrame) -> DataFrame:
     """The contract's columns of the query ``op1``: shingles of two words."""
     got = groups(docs, size=2)
