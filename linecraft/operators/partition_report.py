@@ -29,7 +29,7 @@ def partition_report(df: DataFrame, count_rows: bool = True) -> DataFrame:
     report is written by the same job that computes ``df``. ``df`` itself is
     the pass-through. Without ``count_rows`` there is no ``row_count`` and the
     worker takes no batch, as the original program, which leaves its iterator
-    alone. No column of ``df`` is read, so a columnar scan reads
+    alone; Spark still reads the partition and drops its rows. No column of ``df`` is read, so a columnar scan reads
     none; the Python side only counts Arrow batches (``mapInArrow``, no
     pandas conversion).
     """
