@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
+import gc
 import sys
 import tempfile
 import types
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -65,6 +68,30 @@ def process_cache() -> dict:
     return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system. A worker process waits idle after
+    its task, several of them in an executor, with all that it has not given
+    back."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not this C library
+        pass
+
+
+def tidy(run):
+    """A mapInArrow function that ends by releasing memory."""
+
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return tidied
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, schema: str) -> DataFrame:
     """Columns of one whole table of a data directory."""
     return spark.read.schema(schema).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

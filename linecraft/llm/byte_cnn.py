@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._common import tidy
 from ._words import buffers
 
 ROWS_PER_CLASS = 1500
@@ -233,7 +234,7 @@ def keep(docs: DataFrame, model, least: float = THRESHOLD) -> DataFrame:
         for b in batches:
             yield b.filter(pa.array(_scores(model, b["text"]) >= least))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def remainder(doc_id, by: int):
@@ -244,7 +245,7 @@ def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The contract's columns of the query ``op7``."""
     learn = labels.select("doc_id", F.col("quality").alias("label")).where(remainder(F.col("doc_id"), 5) != 0)
     model = fit(docs, learn)
-    scored = docs.select("doc_id", "text").mapInArrow(scorer(model), "doc_id bigint, score double")
+    scored = docs.select("doc_id", "text").mapInArrow(tidy(scorer(model)), "doc_id bigint, score double")
     return scored.select(
         "doc_id",
         F.coalesce(remainder(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"),

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import release, stored
+from ._common import release, stored, tidy
 from ._words import Words, alphabet, slices, words_of
 
 SHARD_WORDS = 1 << 20
@@ -296,7 +296,7 @@ def _index_batches(batches):
 def build_index(docs: DataFrame) -> DataFrame:
     """One row per shard of ``doc_id, text``; written to the shared folder."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return stored(rows.mapInArrow(_index_batches, INDEX), "fm_index")
+    return stored(rows.mapInArrow(tidy(_index_batches), INDEX), "fm_index")
 
 
 # --- phrases and search ------------------------------------------------------
@@ -414,7 +414,7 @@ def find(index: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFram
     for k in range(blocks):
         own = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
         got = [(r["item"], r["text"]) for r in own.distinct().collect()]
-        parts.append(index.mapInArrow(_searcher(got, size, k == 0), FOUND))
+        parts.append(index.mapInArrow(tidy(_searcher(got, size, k == 0)), FOUND))
     if blocks == 1:
         return parts[0]
     met = parts[0]

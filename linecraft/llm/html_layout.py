@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._common import tidy
+
 # Element names of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -367,4 +369,4 @@ def _render(batches):
 def extract(pages: DataFrame) -> DataFrame:
     """``page_id, text`` for each row of ``page_id, html``."""
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "html")
-    return rows.mapInArrow(_render, "page_id bigint, text string")
+    return rows.mapInArrow(tidy(_render), "page_id bigint, text string")

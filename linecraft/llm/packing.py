@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import process_cache, stored
+from ._common import process_cache, stored, tidy
 
 LENGTH = 1024
 #: The id that closes each document.
@@ -64,6 +64,7 @@ def encoder(paths: tuple[str, str]):
 
         with open(paths[1], "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        cache["last id", paths] = max(ranks.values())
         cache["encoder", paths] = tiktoken.Encoding(
             "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
@@ -87,6 +88,7 @@ PIECES = "doc_id bigint, start bigint, length int, ids_crc32 bigint, doc_tokens
 def _cutter(paths, length):
     def cut(batches):
         encode = encoder(paths)
+        kind = "<u2" if process_cache()["last id", paths] < 0xFFFF else "<u4"
         for b in batches:
             texts, ids_of = b["text"], b["doc_id"]
             cols: tuple[list, ...] = ([], [], [], [], [], [])
@@ -104,7 +106,7 @@ def _cutter(paths, length):
                     cols[3].append(zlib.crc32(piece))
                     cols[4].append(n)
                     # only a remainder may be cut again
-                    cols[5].append(None if whole else piece.astype("<u2").tobytes())
+                    cols[5].append(None if whole else piece.astype(kind).tobytes())
                 if len(cols[0]) >= 4096:
                     yield _pieces(cols)
                     cols = ([], [], [], [], [], [])
@@ -301,7 +303,10 @@ def _placer(layout: Layout):
             ids = b["ids"]
             for i, (doc, start, size, crc, tokens, rank) in enumerate(zip(*(b[c].to_pylist() for c in names), strict=True)):
                 parts = layout.place(size, rank)
-                wide = None if len(parts) == 1 else np.frombuffer(ids[i].as_py(), "<u2").astype("<u4")
+                wide = None
+                if len(parts) > 1:
+                    raw = ids[i].as_py()
+                    wide = np.frombuffer(raw, f"<u{len(raw) // size}").astype("<u4")
                 for at, n, sequence, offset in parts:
                     own = crc if wide is None else zlib.crc32(wide[at : at + n])
                     for c, v in zip(cols, (doc, start + at, n, own, tokens, sequence, offset), strict=True):
@@ -338,9 +343,9 @@ def pack(docs: DataFrame, tokenizer: tuple[str, str] | None = None, length: int
     """
     paths = tokenizer or default_tokenizer()
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    pieces = stored(rows.mapInArrow(_cutter(paths, length), PIECES), "pieces")
+    pieces = stored(rows.mapInArrow(tidy(_cutter(paths, length)), PIECES), "pieces")
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
-    return _ranked(pieces).mapInArrow(_placer(Layout(counts, length)), RESULT)
+    return _ranked(pieces).mapInArrow(tidy(_placer(Layout(counts, length))), RESULT)
 
 
 def digest(docs: DataFrame) -> DataFrame:

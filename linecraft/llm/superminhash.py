@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import release, stored
+from ._common import release, stored, tidy
 from ._words import alphabet, mix, numbers, shingles_of, slices, words_of
 
 WORD = alphabet(r"[^\x20\x09-\x0D]")
@@ -173,7 +173,7 @@ def _checked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
     left = texts.select(F.col("class").alias("a"), F.col("text").alias("left_text"))
     right = texts.select(F.col("class").alias("b"), F.col("text").alias("right_text"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "left_text", "right_text")
-    return both.mapInArrow(_pair_checker(size, percent), "a binary, b binary")
+    return both.mapInArrow(tidy(_pair_checker(size, percent)), "a binary, b binary")
 
 
 def _each(texts: pa.Array, size: int):
@@ -315,7 +315,7 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80, bands: int = BANDS
     """
     rows_in = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     keyed = rows_in.withColumn("text_key", F.xxhash64("text"))
-    signed = stored(keyed.mapInArrow(_signer(size, bands, rows), _SIGNED), "signed")
+    signed = stored(keyed.mapInArrow(tidy(_signer(size, bands, rows)), _SIGNED), "signed")
     classes = (
         signed.where("class is not null and doc_id is not null")
         .groupBy("class")
@@ -333,7 +333,7 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80, bands: int = BANDS
     texts = (
         rows_in.join(wanted, "doc_id")
         .select("want", "text", F.col("want").alias("class"))
-        .mapInArrow(_named(size), "want binary, text string, class binary")
+        .mapInArrow(tidy(_named(size)), "want binary, text string, class binary")
         .where("want = class")
         .select("class", "text")
         .dropDuplicates(["class"])

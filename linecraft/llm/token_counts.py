@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._common import tidy
 from .packing import default_tokenizer, encoder
 
 #: Characters of a leaf (about), and the multiple at which it is cut again.
@@ -176,7 +177,7 @@ def edited_counts(docs: DataFrame, edits: DataFrame, tokenizer: tuple[str, str]
         .agg(F.array_sort(F.collect_list(one)).alias("edits"))
     )
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(logs, "doc_id", "left")
-    return rows.select("doc_id", "text", "edits").mapInArrow(_counter(tokenizer or default_tokenizer()), COUNTS)
+    return rows.select("doc_id", "text", "edits").mapInArrow(tidy(_counter(tokenizer or default_tokenizer())), COUNTS)
 
 
 def sample_edits(docs: DataFrame, per_document: int = 4) -> DataFrame:

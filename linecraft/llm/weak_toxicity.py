@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._common import tidy
 from ._words import alphabet, buffers, slices, words_of
 from .byte_cnn import remainder
 
@@ -293,7 +294,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
     texts = pa.array(chosen, pa.large_string())
     text, word = text_words(texts)
     voters = mine(text, word, label)
-    counted = docs.select("text").mapInArrow(_vote_counter(voters), "votes bigint, n bigint")
+    counted = docs.select("text").mapInArrow(tidy(_vote_counter(voters)), "votes bigint, n bigint")
     combos = counted.groupBy("votes").agg(F.sum("n").alias("n")).toArrow()
     votes = unpack(combos["votes"].to_numpy(), voters.size)
     seen = unpack(voters.votes(texts), voters.size)
@@ -321,7 +322,7 @@ def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The contract's columns of the query ``op9``."""
     learn = labels.select("doc_id", F.col("toxic").alias("label")).where(remainder(F.col("doc_id"), 3) != 1)
     model = fit(docs, learn)
-    scored = docs.select("doc_id", "text").mapInArrow(scorer(model), "doc_id bigint, score double")
+    scored = docs.select("doc_id", "text").mapInArrow(tidy(scorer(model)), "doc_id bigint, score double")
     return scored.select(
         "doc_id",
         F.coalesce(remainder(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"),
