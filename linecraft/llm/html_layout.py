@@ -3,7 +3,9 @@
 A tree builder reads tags in order and keeps the open elements, with the tags
 that HTML implies: a block closes an open paragraph, an item, row, cell, term
 or option closes its predecessor, cells get rows and rows get tables, end tags
-close what is open inside them, and end tags without a start are ignored. What
+close what is open inside them, and end tags without a start are ignored. A head
+ends at the first tag or text that cannot stand in it. In ``svg`` and ``math`` a
+slash closes an element, and a block of HTML ends them. What
 is not shown is left out: heads, scripts, styles, templates and the like,
 ``hidden`` elements and those whose style says so.
 
@@ -57,6 +59,16 @@ IMPLIED = {
 ENDS_P = APART | frozenset(
     "div section article header footer nav aside main address form fieldset figcaption li dd dt hr details summary".split()
 )
+#: What may stand in a head; any other tag, and text, ends it.
+HEAD = frozenset("title meta link style script base basefont bgsound template noscript noframes".split())
+#: Drawings and formulas: their elements may be closed by a slash. HTML resumes
+#: inside some of them, and these start tags of HTML end them.
+FOREIGN = frozenset(("svg", "math"))
+RESUMES = frozenset("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
+ENDS_FOREIGN = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr "
+    "ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
 _P = (frozenset(("p",)), frozenset(("table", "td", "th", "li", "button", "body")))
 
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
@@ -150,13 +162,21 @@ class Builder:
     """Open elements and the blocks they lay out."""
 
     def __init__(self):
-        self.open: list[tuple[str, bool, Box | None]] = []
+        self.open: list[tuple[str, bool, Box | None, bool]] = []
         self.boxes = [Box("body", False)]
         self.unseen = 0
+        # whether tags are a drawing's or formula's, and what they were outside
+        self.foreign = [False]
         # how many of each element are open: end tags need no search in vain
         self.count: dict[str, int] = {}
 
+    def _end_head(self) -> None:
+        if self.open and self.open[-1][0] == "head":
+            self._pop()
+
     def text(self, s: str) -> None:
+        if self.unseen and s.strip(" \t\n\r\f"):
+            self._end_head()
         if not self.unseen and s:
             box = self.boxes[-1]
             if box.kind in ("table", "tr") and not s.strip():
@@ -173,13 +193,18 @@ class Builder:
                 box.number = 1 if number is None else number
             self.boxes.append(box)
         self.unseen += unseen
-        self.open.append((name, unseen, box))
+        turns = name in FOREIGN or (self.foreign[-1] and name in RESUMES)
+        if turns:
+            self.foreign.append(name in FOREIGN)
+        self.open.append((name, unseen, box, turns))
         self.count[name] = self.count.get(name, 0) + 1
 
     def _pop(self) -> str:
-        name, unseen, box = self.open.pop()
+        name, unseen, box, turns = self.open.pop()
         self.count[name] -= 1
         self.unseen -= unseen
+        if turns:
+            self.foreign.pop()
         if box is not None:
             self.boxes.pop()
             self._place(box, self.boxes[-1])
@@ -235,10 +260,18 @@ class Builder:
             while len(self.open) > found:
                 self._pop()
 
-    def start(self, name: str, attrs: str) -> None:
+    def start(self, name: str, attrs: str) -> bool:
+        """Whether the element is open and what follows is its content."""
+        if self.foreign[-1] and name in ENDS_FOREIGN:
+            while self.foreign[-1]:
+                self._pop()
+        if self.unseen and name not in HEAD and self.open[-1][0] == "head":
+            if name in ("html", "head"):
+                return False
+            self._end_head()
         if name == "br":
             self.text("\x00")
-            return
+            return False
         if name in ENDS_P:
             self._end_implied(*_P)
         if name in IMPLIED:
@@ -252,7 +285,7 @@ class Builder:
         if name in VOID:
             if name == "hr" and not self.unseen:
                 self.boxes[-1].items.append(([], True))
-            return
+            return False
         unseen, number, span = name in UNSEEN, None, 1
         if attrs:
             for a in _ATTR.finditer(attrs):
@@ -267,9 +300,15 @@ class Builder:
                         number = int(m[1])
                     elif m:
                         span = min(max(int(m[1]), 1), MOST_SPAN)
+        closed = (name in FOREIGN or self.foreign[-1]) and _self_closed(attrs)
         self._push(name, unseen, number, span)
+        if closed:
+            self._pop()
+        return not closed
 
     def end(self, name: str) -> None:
+        if name in ("body", "html", "br"):
+            self._end_head()
         if name == "br":
             self.text("\x00")
             return
@@ -293,6 +332,16 @@ class Builder:
         return "\n".join(lay_out(self.boxes[0]))
 
 
+def _self_closed(attrs: str) -> bool:
+    """Whether a tag ends in a slash that is no part of an unquoted value."""
+    if not attrs.endswith("/"):
+        return False
+    last = 0
+    for a in _ATTR.finditer(attrs):
+        last = a.end()
+    return last < len(attrs)
+
+
 def _tag_end(html: str, at: int, closed: dict[str, bool]) -> int:
     """Place of the ``>`` that ends a tag; quotes may hold others."""
     while True:
@@ -346,8 +395,7 @@ def visible_text(html: str) -> str:
         if html[lt + 1] == "/":
             b.end(name)
             continue
-        b.start(name, html[m.end() : stop])
-        if name in RAW:
+        if b.start(name, html[m.end() : stop]) and name in RAW:
             # its content is no markup
             close = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(html, at)
             end = close.start() if close else n

@@ -100,6 +100,16 @@ def test_empty_tables(spark):
         ("<select><option>a<option>b</select>", ""),
         ("a&nbsp;b \u00a0 c", "a\u00a0b \u00a0 c"),
         ("<p>a<table><tr><td>b</table>", "a\n\nb"),
+        ("<html><head><title>T</title><p>Hello</html>", "Hello"),
+        ("<html><head>\n<meta charset=x>\n<title>T</title>\n<style>p{}</style>\nHello <b>you</b></html>", "Hello you"),
+        ("<head><noscript><img src=x></noscript><script>s</script><title>T</title><img src=y>seen", "seen"),
+        ("<head><html><head><title>T</title><br>a", "a"),
+        ("<head><title>T</title></body>a", "a"),
+        ("<div>a<svg width='1'/>b</div>c", "ab\nc"),
+        ("<div>a<math />b</div>c", "ab\nc"),
+        ("<p><svg><title/><style/><path d=x /></svg>a</p>b", "a\n\nb"),
+        ("<div><svg width=5/>no</svg>a</div>", "a"),
+        ("<div><svg><path d='m'><p>a</div>b", "a\nb"),
     ],
 )
 def test_visible_text(html, text):
