@@ -17,7 +17,8 @@ many. Every pair of classes that shares a bucket thus ends up in one component
 or is found not to be linked.
 
 With ``BANDS`` x ``ROWS`` = 40 x 6, two sets at a similarity of exactly 0.8
-share no band with a probability of 5e-6; less above.
+share no band with a probability of 5e-6; less above. Measured on random sets:
+4 of 5 shingles missed 2 of 1,650,000 times, 8 of 10 missed 1 of 525,000 times.
 
 Texts without words have an empty set and are linked with nothing. Rows with a
 null doc_id are linked with nothing and have no component. Repeated rows and
@@ -51,6 +52,9 @@ FEW = 8
 SLICE = 1 << 18
 
 _U = np.uint64
+#: One element's places lie in an arithmetic progression, which would touch
+#: every band of neighbouring places; bands take places in this fixed order.
+SCATTER = np.argsort(numbers(PLACES, 4))
 _EMPTY = (_U(1) << _U(63)).item()
 
 
@@ -87,7 +91,7 @@ def signatures(shingles: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
     """One 64-bit key per band; bands never share keys but by chance."""
-    parts = signature[:, : bands * rows].reshape(len(signature), bands, rows)
+    parts = signature[:, SCATTER[: bands * rows]].reshape(len(signature), bands, rows)
     key = np.broadcast_to(numbers(bands, 3), parts.shape[:2]).copy()
     with np.errstate(over="ignore"):
         for j in range(rows):

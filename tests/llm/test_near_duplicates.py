@@ -110,6 +110,14 @@ def test_signatures_estimate_similarity():
     assert (alone[0] == s[0]).all()
 
 
+def test_smallest_sets_share_a_band():
+    n = 20000
+    sets = np.random.default_rng(5).integers(0, 2**64, (n, 5), np.uint64)
+    whole = superminhash.band_keys(superminhash.signatures(sets.ravel(), np.arange(n + 1) * 5))
+    part = superminhash.band_keys(superminhash.signatures(sets[:, 1:].ravel(), np.arange(n + 1) * 4))
+    assert (whole == part).any(axis=1).all()
+
+
 def test_words_equal_regular_expression():
     texts = ["", "A b\tC", "é É x", "  lead", "a" * 70000 + " b", "\x0b\x0c z", "one"]
     w = _words.words_of(pa.array(texts), superminhash.WORD)
