@@ -7,7 +7,11 @@ close what is open inside them, and end tags without a start are ignored. A head
 ends at the first tag or text that cannot stand in it. In ``svg`` and ``math`` a
 slash closes an element, and a block of HTML ends them. What
 is not shown is left out: heads, scripts, styles, templates and the like,
-``hidden`` elements and those whose style says so.
+``hidden`` elements and those whose style says so. Choices of a ``select`` are
+controls, not text, and are left out by definition, the shown one too.
+
+Formulas (``math``) give their tokens apart by a space, without annotations.
+Drawings (``svg``) give each ``text`` on its own lines, and the HTML in them.
 
 Text is laid out as it is built: white space collapses outside ``pre``, blocks
 begin lines, paragraphs, headings, lists and tables stand apart by one empty
@@ -34,9 +38,16 @@ from ._common import tidy
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 UNSEEN = frozenset(
-    "head script style template noscript title iframe noembed noframes object svg math "
+    "head script style template noscript title iframe noembed noframes object "
     "audio video canvas datalist select meta link base".split()
 )
+#: What is not shown in a drawing or formula.
+UNSEEN_IN = {
+    "svg": frozenset("defs symbol clippath mask pattern marker metadata desc lineargradient radialgradient filter".split()),
+    "label": frozenset(("desc", "metadata")),
+    "math": frozenset(("annotation", "annotation-xml", "mphantom")),
+}
+TOKEN = frozenset("mi mn mo ms mtext".split())
 APART = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure menu".split())
 BLOCK = APART | frozenset(
     "html body div section article header footer nav aside main address form fieldset figcaption "
@@ -162,11 +173,14 @@ class Builder:
     """Open elements and the blocks they lay out."""
 
     def __init__(self):
-        self.open: list[tuple[str, bool, Box | None, bool]] = []
+        self.open: list[tuple[str, int, Box | None, bool]] = []
         self.boxes = [Box("body", False)]
         self.unseen = 0
-        # whether tags are a drawing's or formula's, and what they were outside
-        self.foreign = [False]
+        # where tags are a drawing's, its label's or a formula's ("" in HTML),
+        # and what they were outside
+        self.foreign = [""]
+        # whether the formula has a token yet
+        self.tokens = False
         # how many of each element are open: end tags need no search in vain
         self.count: dict[str, int] = {}
 
@@ -178,31 +192,43 @@ class Builder:
         if self.unseen and s.strip(" \t\n\r\f"):
             self._end_head()
         if not self.unseen and s:
+            if self.foreign[-1] == "math" and s.isspace():
+                return
             box = self.boxes[-1]
             if box.kind in ("table", "tr") and not s.strip():
                 return
             box.items.append(s)
 
     def _push(self, name: str, unseen: bool, number: int | None = None, span: int = 1) -> None:
-        box = None
-        if not self.unseen and not unseen and (name in BLOCK or name in CELL):
+        box, here, turn, hides = None, self.foreign[-1], None, int(unseen)
+        if name in FOREIGN:
+            turn = name
+            hides += name == "svg" and here != "svg"
+            self.tokens = False
+        elif here and name in RESUMES:
+            turn = ""
+        elif here == "svg" and name == "text":
+            turn = "label"
+        # a drawing hides its text, its labels show theirs
+        label = here == "svg" and name in ("text", "foreignobject")
+        hides -= label
+        if not self.unseen + hides and (name in BLOCK or name in CELL or label):
             above = self.boxes[-1]
             box = Box(name, above.pre or name == "pre")
             box.span = span
             if name == "ol":
                 box.number = 1 if number is None else number
             self.boxes.append(box)
-        self.unseen += unseen
-        turns = name in FOREIGN or (self.foreign[-1] and name in RESUMES)
-        if turns:
-            self.foreign.append(name in FOREIGN)
-        self.open.append((name, unseen, box, turns))
+        self.unseen += hides
+        if turn is not None:
+            self.foreign.append(turn)
+        self.open.append((name, hides, box, turn is not None))
         self.count[name] = self.count.get(name, 0) + 1
 
     def _pop(self) -> str:
-        name, unseen, box, turns = self.open.pop()
+        name, hides, box, turns = self.open.pop()
         self.count[name] -= 1
-        self.unseen -= unseen
+        self.unseen -= hides
         if turns:
             self.foreign.pop()
         if box is not None:
@@ -286,7 +312,12 @@ class Builder:
             if name == "hr" and not self.unseen:
                 self.boxes[-1].items.append(([], True))
             return False
-        unseen, number, span = name in UNSEEN, None, 1
+        here = self.foreign[-1]
+        unseen, number, span = name in UNSEEN or name in UNSEEN_IN.get(here, ()), None, 1
+        if here == "math" and name in TOKEN:
+            if self.tokens and not self.unseen:
+                self.boxes[-1].items.append(" ")
+            self.tokens = True
         if attrs:
             for a in _ATTR.finditer(attrs):
                 key = a[1].lower()
@@ -300,7 +331,7 @@ class Builder:
                         number = int(m[1])
                     elif m:
                         span = min(max(int(m[1]), 1), MOST_SPAN)
-        closed = (name in FOREIGN or self.foreign[-1]) and _self_closed(attrs)
+        closed = (name in FOREIGN or here) and _self_closed(attrs)
         self._push(name, unseen, number, span)
         if closed:
             self._pop()
@@ -382,6 +413,10 @@ def visible_text(html: str) -> str:
             if html.startswith("<!--", lt):
                 end = html.find("-->", lt + 4)
                 at = n if end < 0 else end + 3
+            elif b.foreign[-1] and html.startswith("<![CDATA[", lt):
+                end = html.find("]]>", lt + 9)
+                b.text(html[lt + 9 : n if end < 0 else end].replace("\x00", ""))
+                at = n if end < 0 else end + 3
             elif html.startswith(("<!", "<?", "</"), lt):
                 end = html.find(">", lt + 2)
                 at = n if end < 0 else end + 1

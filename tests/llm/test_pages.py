@@ -110,6 +110,12 @@ def test_empty_tables(spark):
         ("<p><svg><title/><style/><path d=x /></svg>a</p>b", "a\n\nb"),
         ("<div><svg width=5/>no</svg>a</div>", "a"),
         ("<div><svg><path d='m'><p>a</div>b", "a\nb"),
+        ("a <math> <mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac><annotation>no</annotation></math>, b", "a x = 1 2, b"),
+        ("(<math><mi>x</mi><mphantom><mi>y</mi></mphantom></math>)", "(x)"),
+        ("<svg><title>no</title><defs><text>no</text></defs><g><text>A</text><text x=1>B <tspan>c</tspan></text>no</g></svg>d", "A\nB c\nd"),
+        ("<svg hidden><text>no</text></svg><svg><svg><text>in</text></svg><text/><foreignObject><p>html</p></foreignObject>no</svg>", "in\nhtml"),
+        ("<svg><g style='display:none'><text>no</text></g><text><![CDATA[a > b]]></text></svg>", "a > b"),
+        ("<text>plain</text> b", "plain b"),
     ],
 )
 def test_visible_text(html, text):
