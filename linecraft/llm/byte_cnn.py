@@ -8,8 +8,10 @@ and the mean of its chunks' maxima, and a logistic layer turns them into one
 probability. Scoring takes whole texts of any length, slice by slice.
 
 Training runs on the driver over a bounded sample: at most ``ROWS_PER_CLASS``
-labelled rows of each class, those with the smallest hashes, of texts up to
-``TRAIN_BYTES`` bytes. The output is calibrated to the class counts over all
+labelled rows of each class, those with the smallest hashes, and at most
+``TRAIN_BYTES`` bytes a row on average. A text of any length is learned from
+whole: only one that does not fit into what is left of the bytes is passed
+over, and where none fits the shortest is taken. The output is calibrated to the class counts over all
 labelled rows.
 
 Null and empty texts are scored as a text of padding only. Without labelled
@@ -113,6 +115,16 @@ def score_texts(w, texts: list[np.ndarray]) -> np.ndarray:
     return _sigmoid(x @ w["top"] + w["shift"])
 
 
+def _batches(order: np.ndarray, size: np.ndarray):
+    """Runs of ``BATCH`` texts, or of fewer that have as many bytes."""
+    first = 0
+    while first < len(order):
+        run = order[first : first + BATCH]
+        n = max(1, int(np.searchsorted(np.cumsum(size[run]), BATCH * TRAIN_BYTES, side="right")))
+        yield run[:n]
+        first += n
+
+
 def train(texts: list[np.ndarray], labels: np.ndarray, prior: float, seed: int = SEED) -> dict:
     """Adam on the logistic loss. Max-pooling sends each gradient to one window."""
     w = start_weights(seed)
@@ -122,11 +134,13 @@ def train(texts: list[np.ndarray], labels: np.ndarray, prior: float, seed: int =
     labels = labels.astype(np.float32)
     share = float(labels.mean())
     step = 0
-    epochs = max(EPOCHS, -(-LEAST_STEPS * BATCH // len(texts)))
+    size = np.array([len(t) for t in texts])
+    # texts of a step, fewer if they are long
+    usual = BATCH * min(1.0, TRAIN_BYTES / max(1.0, float(size.mean())))
+    epochs = max(EPOCHS, int(np.ceil(LEAST_STEPS * usual / len(texts))))
     for epoch in range(epochs):
         order = g.permutation(len(texts))
-        for b in range(0, len(order), BATCH):
-            pick = order[b : b + BATCH]
+        for pick in _batches(order, size):
             batch = [texts[i] for i in pick]
             maxima, owner, where = chunk_maxima(w, batch)
             on, x, first, count = _features(maxima, owner, len(batch))
@@ -170,6 +184,37 @@ def _joined(texts: list[np.ndarray]) -> np.ndarray:
     return np.concatenate([x for t in texts for x in (t if len(t) else pad[:1], pad)])
 
 
+def sampled(docs: DataFrame, ids: DataFrame, rows: int, most: int) -> list[str]:
+    """Texts of at most ``rows`` rows of the documents ``ids`` and of ``most``
+    bytes in all, by the hash of doc_id; the shortest if each has more bytes."""
+    text = F.coalesce("text", F.lit(""))
+    keyed = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("key"), F.octet_length(text).alias("size"))
+    found = (
+        keyed.select("doc_id", "key", "size")
+        .join(F.broadcast(ids.select("doc_id")), "doc_id")
+        .groupBy("doc_id", "key", "size")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id", "key")
+        .limit(2 * rows)
+        .collect()
+    )
+    chosen: dict[tuple, int] = {}
+    for r in found:
+        n = min(r["n"], rows, most // max(1, r["size"]))
+        if n:
+            chosen[r["doc_id"], r["key"]] = n
+            rows, most = rows - n, most - n * r["size"]
+    if found and not chosen:
+        r = min(found, key=lambda r: r["size"])
+        chosen[r["doc_id"], r["key"]] = 1
+    if not chosen:
+        return []
+    wanted = docs.sparkSession.createDataFrame(list(chosen), ids.select("doc_id", F.lit(0).cast("bigint").alias("key")).schema)
+    got = keyed.join(F.broadcast(wanted), ["doc_id", "key"]).groupBy("doc_id", "key").agg(F.min("text").alias("text")).toArrow()
+    text_of = dict(zip(zip(got["doc_id"].to_pylist(), got["key"].to_pylist(), strict=True), got["text"].to_pylist(), strict=True))
+    return [text_of[k] for k, n in chosen.items() for _ in range(n)]
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS) -> dict | float:
     """Weights, or a constant score where there is nothing to learn.
 
@@ -186,17 +231,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
     for label in (0, 1):
         # a few thousand ids: small by the limit, whatever the input
         ids = named.where(F.col("label") == label).orderBy(*by_hash).limit(2 * rows_per_class)
-        rows = (
-            docs.select("doc_id", "text")
-            .where(F.octet_length(F.coalesce("text", F.lit(""))) <= TRAIN_BYTES)
-            .join(F.broadcast(ids), "doc_id")
-            .orderBy(*by_hash, "text")
-            .limit(rows_per_class)
-            .select("text")
-            .toArrow()["text"]
-        )
-        for t in rows.to_pylist():
-            texts.append(np.frombuffer((t or "").encode(), np.uint8))
+        for t in sampled(docs, ids, rows_per_class, rows_per_class * TRAIN_BYTES):
+            texts.append(np.frombuffer(t.encode(), np.uint8))
             marks.append(label)
     if len(set(marks)) < 2:
         return counts[1] / total

@@ -15,7 +15,8 @@ and a logistic classifier over words and patterns is trained on these labels.
 It alone scores the texts.
 
 Bounds: ``ROWS_PER_CLASS`` labelled rows of each class, those with the smallest
-hashes, of texts up to ``TRAIN_BYTES`` bytes, come to the driver; combinations
+hashes, and ``TRAIN_BYTES`` bytes a row on average come to the driver, whole
+texts of any length (``byte_cnn.sampled``); combinations
 of votes are at most 2 ** (LEXICONS + patterns).
 
 Null and empty texts have no words and no pattern; they get the score of a text
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ._common import tidy
 from ._words import alphabet, buffers, slices, words_of
-from .byte_cnn import remainder
+from .byte_cnn import remainder, sampled
 
 ROWS_PER_CLASS = 2500
 TRAIN_BYTES = 32768
@@ -277,16 +278,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
     for label in (0, 1):
         # small by the limit, whatever the input
         ids = named.where(F.col("label") == label).orderBy(*by_hash).limit(2 * rows_per_class)
-        got = (
-            docs.select("doc_id", "text")
-            .where(F.octet_length(F.coalesce("text", F.lit(""))) <= TRAIN_BYTES)
-            .join(F.broadcast(ids), "doc_id")
-            .orderBy(*by_hash, "text")
-            .limit(rows_per_class)
-            .select(F.coalesce("text", F.lit("")).alias("text"))
-            .toArrow()["text"]
-        )
-        chosen += got.to_pylist()
+        got = sampled(docs, ids, rows_per_class, rows_per_class * TRAIN_BYTES)
+        chosen += got
         marks += [label] * len(got)
     label = np.array(marks)
     if len(set(marks)) < 2:
@@ -298,11 +291,12 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
     combos = counted.groupBy("votes").agg(F.sum("n").alias("n")).toArrow()
     votes = unpack(combos["votes"].to_numpy(), voters.size)
     seen = unpack(voters.votes(texts), voters.size)
+    shapes = np.concatenate([patterns_of(part) for _, part in slices(texts, SLICE)])
     model = fit_label_model(votes, combos["n"].to_numpy().astype(float), seen, label, prior)
     # the sample has classes of its own sizes; rows weigh as in the whole
     share = np.array([(label == 0).mean(), (label == 1).mean()])
     weight = (np.array([1 - prior, prior]) / share)[label]
-    return train(text, word, patterns_of(texts), model.posterior(seen), weight)
+    return train(text, word, shapes, model.posterior(seen), weight)
 
 
 def scorer(model):

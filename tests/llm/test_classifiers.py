@@ -130,3 +130,34 @@ def test_found_words():
     words = np.unique(weak_toxicity.words_of(pa.array(["one two"]), weak_toxicity.WORD).hashes)
     text, word = weak_toxicity.found_words(texts, words)
     assert np.bincount(text, minlength=4).tolist() == [2, 0, 1, 0]
+
+
+@pytest.mark.parametrize(("fit", "module"), [(byte_cnn.fit, byte_cnn), (weak_toxicity.fit, weak_toxicity)])
+def test_a_class_of_long_texts_is_learned(spark, fit, module):
+    long = -(-module.TRAIN_BYTES // 200)
+    texts = [(i, " ".join(rude(i * long + k) for k in range(long)) if i % 2 else prose(i, 80)) for i in range(16)]
+    assert all(len(t) > module.TRAIN_BYTES for i, t in texts if i % 2)
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(16)], "doc_id bigint, label int")
+    assert not isinstance(fit(docs, labels), float)
+
+
+def test_sample_is_bounded_by_all_its_bytes(spark):
+    texts = [(i, "x" * n) for i, n in enumerate((900, 10, 20, 30, 2000, 0))] + [(1, "x" * 10), (None, "x"), (5, None)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    ids = spark.range(6).withColumnRenamed("id", "doc_id")
+    size = lambda ids, rows, most: sorted(len(t) for t in byte_cnn.sampled(docs, ids, rows, most))
+    assert size(ids, 9, 10**6) == [0, 0, 10, 10, 20, 30, 900, 2000]
+    assert len(size(ids, 3, 10**6)) == 3
+    assert size(ids, 9, 100) == [0, 0, 10, 10, 20, 30]
+    assert size(ids.where("doc_id in (0, 4)"), 9, 100) == [900]
+    assert size(ids.where("doc_id > 9"), 9, 100) == []
+
+
+def test_steps_hold_as_many_bytes_as_of_usual_texts():
+    most = byte_cnn.BATCH * byte_cnn.TRAIN_BYTES
+    size = np.array([byte_cnn.TRAIN_BYTES] * 100 + [3 * most] + [most // 2] * 3)
+    runs = list(byte_cnn._batches(np.arange(len(size)), size))
+    assert np.concatenate(runs).tolist() == list(range(len(size)))
+    assert len(runs[0]) == byte_cnn.BATCH
+    assert all(len(r) == 1 or size[r].sum() <= most for r in runs)
