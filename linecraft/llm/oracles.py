@@ -99,10 +99,33 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(
   sha256(coalesce(items, '')) as items_sha256, n_hit is not null as contaminated
 from dw left join c using (doc_id) left join f using (doc_id)"""
 
+PHRASES_SQL = r"""
+with d as (select coalesce(lang, 'und') as lang, string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') as p from documents),
+p as (select lang, regexp_extract_all(unnest(p), '[^\x20\x09]+') as w from d),
+q as (select lang, w, unnest(range(1, len(w) + 1)) as i from p),
+x as (select lang, w[i] as w1, w[i + 1] as w2, w[i + 2] as w3 from q),
+f1 as (select lang, w1, count(*) as f from x group by lang, w1),
+f2 as (select lang, w1, w2, count(*) as f from x where w2 is not null group by lang, w1, w2 having count(*) >= 10),
+f3 as (select lang, w1, w2, w3, count(*) as f from x where w3 is not null group by lang, w1, w2, w3 having count(*) >= 10),
+t as (select lang, sum(f)::bigint as n from f1 group by lang),
+i as (select lang, w1, w2, max(f) as longest from (select lang, w1, w2, f from f3 union all select lang, w2, w3, f from f3) group by lang, w1, w2),
+two as (select f2.lang, f2.w1 || ' ' || f2.w2 as phrase, f2.f as a, a.f as l, b.f as r, f2.f::hugeint * f2.f * 1000000 // (a.f::hugeint * b.f) as score
+  from f2 join f1 a on a.lang = f2.lang and a.w1 = f2.w1 join f1 b on b.lang = f2.lang and b.w1 = f2.w2
+  left join i on i.lang = f2.lang and i.w1 = f2.w1 and i.w2 = f2.w2 where longest is null or 100 * longest < 50 * f2.f),
+cuts as (select f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3 as phrase, f3.f as a, a.f as l1, bc.f as r1, ab.f as l2, c.f as r2,
+    f3.f::hugeint * f3.f * 1000000 // (a.f::hugeint * bc.f) as s1, f3.f::hugeint * f3.f * 1000000 // (ab.f::hugeint * c.f) as s2
+  from f3 join f1 a on a.lang = f3.lang and a.w1 = f3.w1 join f1 c on c.lang = f3.lang and c.w1 = f3.w3
+  join f2 ab on ab.lang = f3.lang and ab.w1 = f3.w1 and ab.w2 = f3.w2 join f2 bc on bc.lang = f3.lang and bc.w1 = f3.w2 and bc.w2 = f3.w3),
+three as (select lang, phrase, a, case when s2 < s1 then l2 else l1 end as l, case when s2 < s1 then r2 else r1 end as r, least(s1, s2) as score from cuts),
+o as (select * from two union all select * from three),
+z as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from o)
+select z.lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n, score::bigint as score from z join t on t.lang = z.lang where rank <= 2000"""
+
 ORACLE_SQL = {
     "op1_superminhash_near_duplicates": NEAR_DUPLICATES_SQL,
     "op2_mtree_top_scores": TOP_SCORES_SQL,
     "op3_secret_scan": secret_scan(),
     "op6_fm_index_decontamination": DECONTAMINATION_SQL,
     "op8_url_rules": URL_RULES_SQL,
+    "op11_vertical_suffix_phrases": PHRASES_SQL,
 }

@@ -8,6 +8,7 @@ from . import (
     html_layout,
     mtree,
     packing,
+    phrases,
     secrets,
     superminhash,
     token_counts,
@@ -62,6 +63,10 @@ def op10_html_layout(spark, d):
     return html_layout.extract(table(spark, d, "pages", "page_id bigint, html string"))
 
 
+def op11_vertical_suffix_phrases(spark, d):
+    return phrases.digest(table(spark, d, "documents", "lang string, text string"))
+
+
 QUERIES = {
     "op1_superminhash_near_duplicates": op1_superminhash_near_duplicates,
     "op2_mtree_top_scores": op2_mtree_top_scores,
@@ -73,6 +78,7 @@ QUERIES = {
     "op8_url_rules": op8_url_rules,
     "op9_weak_supervision_toxicity": op9_weak_supervision_toxicity,
     "op10_html_layout": op10_html_layout,
+    "op11_vertical_suffix_phrases": op11_vertical_suffix_phrases,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
