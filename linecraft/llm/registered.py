@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import (
     byte_cnn,
+    conversations,
     fm_index,
     html_layout,
     mtree,
@@ -67,6 +68,10 @@ def op11_vertical_suffix_phrases(spark, d):
     return phrases.digest(table(spark, d, "documents", "lang string, text string"))
 
 
+def op13_cyk_conversation_repair(spark, d):
+    return conversations.digest(table(spark, d, "conversations", "conv_id bigint, turn bigint, role string, text string"))
+
+
 QUERIES = {
     "op1_superminhash_near_duplicates": op1_superminhash_near_duplicates,
     "op2_mtree_top_scores": op2_mtree_top_scores,
@@ -79,6 +84,7 @@ QUERIES = {
     "op9_weak_supervision_toxicity": op9_weak_supervision_toxicity,
     "op10_html_layout": op10_html_layout,
     "op11_vertical_suffix_phrases": op11_vertical_suffix_phrases,
+    "op13_cyk_conversation_repair": op13_cyk_conversation_repair,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
