@@ -10,6 +10,7 @@ from . import (
     mtree,
     packing,
     phrases,
+    resharding,
     secrets,
     superminhash,
     token_counts,
@@ -68,6 +69,10 @@ def op11_vertical_suffix_phrases(spark, d):
     return phrases.digest(table(spark, d, "documents", "lang string, text string"))
 
 
+def op12_flow_resharding(spark, d):
+    return resharding.digest(table(spark, d, "documents", "doc_id bigint, text string, source string"))
+
+
 def op13_cyk_conversation_repair(spark, d):
     return conversations.digest(table(spark, d, "conversations", "conv_id bigint, turn bigint, role string, text string"))
 
@@ -84,6 +89,7 @@ QUERIES = {
     "op9_weak_supervision_toxicity": op9_weak_supervision_toxicity,
     "op10_html_layout": op10_html_layout,
     "op11_vertical_suffix_phrases": op11_vertical_suffix_phrases,
+    "op12_flow_resharding": op12_flow_resharding,
     "op13_cyk_conversation_repair": op13_cyk_conversation_repair,
 }
 

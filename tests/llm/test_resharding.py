@@ -1,0 +1,135 @@
+"""Resharding: flows against trying all of them, places against the law."""
+
+import functools
+import os
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from linecraft.llm import resharding as rs
+
+from .fixtures_llm import awkward, empty, prose
+
+
+def cheapest_by_trying(supply, capacity, cost):
+    @functools.cache
+    def go(i, left, room):
+        if i == len(supply):
+            return 0
+        if left == 0:
+            return go(i + 1, supply[i + 1] if i + 1 < len(supply) else 0, room)
+        return min(
+            cost[i][j] + go(i, left - 1, (*room[:j], room[j] - 1, *room[j + 1 :])) for j in range(len(room)) if room[j]
+        )
+
+    return go(0, supply[0], tuple(capacity))
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_flow_is_cheapest(seed):
+    r = random.Random(seed)
+    n, m = r.randrange(1, 5), r.randrange(1, 4)
+    supply = tuple(r.randrange(6) for _ in range(n))
+    capacity = [r.randrange(6) for _ in range(m)]
+    capacity[-1] += max(0, sum(supply) - sum(capacity))
+    cost = [[r.randrange(5) for _ in range(m)] for _ in range(n)]
+    flow = rs.cheapest_flow(supply, capacity, cost)
+    assert tuple(flow.sum(axis=1)) == supply
+    assert all(a <= b for a, b in zip(flow.sum(axis=0), capacity, strict=True))
+    assert int((flow * np.array(cost)).sum()) == cheapest_by_trying(supply, capacity, cost)
+
+
+def test_flow_moves_only_what_is_above_capacity():
+    r = random.Random(3)
+    for n, m in ((40, 40), (30, 40), (40, 30)):
+        supply = [r.randrange(1000) ** 3 for _ in range(n)]
+        total = sum(supply)
+        capacity = [total // m + (j < total % m) for j in range(m)]
+        flow = rs.cheapest_flow(supply, capacity, rs.moving_costs(n, m))
+        moved = sum(flow[i, j] for i in range(n) for j in range(m) if i != j)
+        assert moved == sum(max(0, supply[i] - (capacity[i] if i < m else 0)) for i in range(n))
+
+
+def test_flow_wants_room():
+    with pytest.raises(ValueError):
+        rs.cheapest_flow([3], [2], [[0]])
+
+
+def check_law(rows, shards, largest):
+    sizes, slots = [0] * shards, [[] for _ in range(shards)]
+    for r in rows:
+        sizes[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(x) == list(range(len(x))) for x in slots)
+    assert max(sizes) - min(sizes) <= largest
+    return sizes
+
+
+def test_awkward_documents(spark):
+    docs, rows = awkward(spark, [(i, prose(i, i % 50 + 1)) for i in range(300)])
+    docs = docs.withColumn("source", F.when(F.col("doc_id") % 3 == 0, "hot").otherwise(F.col("doc_id").cast("string")))
+    got = rs.digest(docs).collect()
+    want = sorted(
+        (str(i), len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t in rows
+    )
+    assert sorted((str(r["doc_id"]), r["size"], r["text_crc32"]) for r in got) == want
+    assert {(r["law"], r["grown_shard"]) for r in got} == {("bytes", None)}
+    assert {r["shard"] for r in got} <= set(range(40))
+    # the text of 20,000 words is larger than an equal share and lies alone
+    large = max(got, key=lambda r: r["size"])
+    others = [r for r in got if r["shard"] == large["shard"]]
+    assert len(others) == 1
+    rest = [r for r in got if r is not large]
+    sizes = [0] * 40
+    for r in rest:
+        sizes[r["shard"]] += r["size"]
+    sizes.pop(large["shard"])
+    second = max(r["size"] for r in rest)
+    assert max(sizes) - min(sizes) <= second
+
+
+@pytest.mark.parametrize("fine", [1, 8, 1024])
+def test_nearly_equal_and_few_moves(spark, fine):
+    r = random.Random(2)
+    rows = [(i, "x" * r.choice((5, 20, 100, 700)), i % 10 if i % 3 else 0) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lies int").repartition(4)
+    got = rs.reshard(docs, F.col("lies"), 10, 12, fine=fine).collect()
+    assert len(got) == 3000
+    check_law(got, 12, 4 * 716)
+    share = sum(x["size"] for x in got) / 12
+    held = {}
+    for x in got:
+        held[x["old"]] = held.get(x["old"], 0) + x["size"]
+    moved = sum(x["size"] for x in got if x["old"] != x["shard"])
+    assert moved <= sum(max(0, h - share) for h in held.values()) + 12 * 716 * 2
+
+
+def test_equal_rows_and_hot_text(spark):
+    docs = spark.createDataFrame([(1, "same text", "s")] * 4000, "doc_id bigint, text string, source string")
+    got = rs.digest(docs).collect()
+    sizes = check_law(got, 40, 25)
+    assert sum(sizes) == 4000 * 25
+
+
+def test_empty_table(spark):
+    assert rs.digest(empty(spark, "doc_id bigint, text string, source string")).collect() == []
+
+
+def test_rewrite_touches_only_affected_shards(spark, tmp_path):
+    rows = [(i, f"text {i} " + "y" * 200, 0 if i < 400 else 1) for i in range(500)]
+    rows += [(500 + i, f"text {i} " + "z" * 200, s) for s in (2, 3) for i in range(250)]
+    source, target = str(tmp_path / "old"), str(tmp_path / "new")
+    spark.createDataFrame(rows, "doc_id bigint, text string, shard int").write.partitionBy("shard").parquet(source)
+    moves = {(r["old"], r["shard"]): r["rows"] for r in rs.rewrite(spark, source, target, 4).collect()}
+    assert moves[0, 1] >= 140
+    written = {int(x.split("=")[1]) for x in os.listdir(target) if x.startswith("shard=")}
+    assert written == {x for pair in moves if pair[0] != pair[1] for x in pair}
+    new = spark.read.parquet(target)
+    kept = spark.read.parquet(source).where(~F.col("shard").isin(*written))
+    both = new.select("doc_id", "text").union(kept.select("doc_id", "text")).collect()
+    assert sorted(map(tuple, both)) == sorted((i, t) for i, t, _ in rows)
+    counts = [r["count"] for r in new.groupBy("shard").count().union(kept.groupBy("shard").count()).collect()]
+    assert max(counts) - min(counts) <= 2
