@@ -17,12 +17,17 @@ rows and rows that share a doc_id or have none are each packed whole. Extra
 columns are not read. An empty table gives no pieces.
 
 The ids are those of the ``tokenizers`` file. They are made by ``tiktoken``
-with the same vocabulary as ranks, which is several times faster; a text that
-names the special token goes through ``tokenizers`` itself.
+with the same vocabulary as ranks, which is several times faster. Long texts are
+encoded in parts, cut where the pre-tokens end in any case: before white space
+that follows something else. A part that names the special token, or is still
+longer than ``LONGEST`` (a run of white space or of letters without a cut, for
+which the pattern of ``tiktoken`` runs out of stack), goes through ``tokenizers``
+itself. A task holds one text and its ids.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
@@ -43,8 +48,30 @@ SPECIAL = "<|endoftext|>"
 RANK_ROWS = 1 << 16
 
 
+#: Characters of the parts of a long text (about), and of the longest one that
+#: ``tiktoken`` gets.
+PART, LONGEST = 1 << 15, 1 << 16
+
 # --- tokens ------------------------------------------------------------------
 
+# White space that every definition counts as such, after what none does.
+_CUT = re.compile(r"\S(?=[ \t-\r])")
+
+
+def cut(text: str, size: int) -> list[str]:
+    """Parts of at least ``size`` characters, cut where no pre-token reaches
+    across and neither side changes the pre-tokens of the other; a run without
+    such a place stays whole."""
+    out, at = [], 0
+    while len(text) - at > size:
+        m = _CUT.search(text, at + size - 1)
+        if m is None:
+            break
+        out.append(text[at : m.end()])
+        at = m.end()
+    out.append(text[at:])
+    return out
+
 
 def default_tokenizer() -> tuple[str, str]:
     """Paths of the tokenizer file and of the same vocabulary as ranks."""
@@ -70,14 +97,20 @@ def encoder(paths: tuple[str, str]):
         )
     quick = cache["encoder", paths].encode_ordinary
 
-    def encode(text: str) -> list[int]:
-        if SPECIAL in text:
-            if ("tokenizer", paths) not in cache:
-                from tokenizers import Tokenizer
+    def slow(text: str) -> list[int]:
+        if ("tokenizer", paths) not in cache:
+            from tokenizers import Tokenizer
+
+            cache["tokenizer", paths] = Tokenizer.from_file(paths[0])
+        return cache["tokenizer", paths].encode(text, add_special_tokens=False).ids
 
-                cache["tokenizer", paths] = Tokenizer.from_file(paths[0])
-            return cache["tokenizer", paths].encode(text, add_special_tokens=False).ids
-        return quick(text)
+    def encode(text: str) -> list[int]:
+        if len(text) <= LONGEST:
+            return slow(text) if SPECIAL in text else quick(text)
+        out: list[int] = []
+        for part in cut(text, PART):
+            out += slow(part) if len(part) > LONGEST or SPECIAL in part else quick(part)
+        return out
 
     return encode
 
@@ -86,7 +119,7 @@ PIECES = "doc_id bigint, start bigint, length int, ids_crc32 bigint, doc_tokens
 
 
 def _cutter(paths, length):
-    def cut(batches):
+    def cut_up(batches):
         encode = encoder(paths)
         kind = "<u2" if process_cache()["last id", paths] < 0xFFFF else "<u4"
         for b in batches:
@@ -113,7 +146,7 @@ def _cutter(paths, length):
             if cols[0]:
                 yield _pieces(cols)
 
-    return cut
+    return cut_up
 
 
 def _pieces(cols):

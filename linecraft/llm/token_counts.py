@@ -24,32 +24,20 @@ must fit in a task; documents are independent of each other.
 
 from __future__ import annotations
 
-import re
-
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import tidy
-from .packing import default_tokenizer, encoder
+from .packing import cut, default_tokenizer, encoder
 
 #: Characters of a leaf (about), and the multiple at which it is cut again.
 LEAF, TOO_LONG = 512, 4
 
-_CUT = re.compile(r"\S(?=\s)")
-
 
 def leaves_of(text: str, size: int = LEAF) -> list[str]:
     """Runs of whole pre-tokens; a run without a cut stays whole."""
-    out, at = [], 0
-    while len(text) - at > size:
-        m = _CUT.search(text, at + size - 1)
-        if m is None:
-            break
-        out.append(text[at : m.end()])
-        at = m.end()
-    out.append(text[at:])
-    return out
+    return cut(text, size)
 
 
 class CountTree:
@@ -181,9 +169,11 @@ def edited_counts(docs: DataFrame, edits: DataFrame, tokenizer: tuple[str, str]
 
 
 def sample_edits(docs: DataFrame, per_document: int = 4) -> DataFrame:
-    """Stand-in edit log over the documents' ids: places and lengths by hash."""
+    """Stand-in edit log, so many edits for each distinct doc_id that is not
+    null: places (within the longest of its texts) and lengths by hash."""
     n = F.length(F.coalesce("text", F.lit("")))
-    rows = docs.select("doc_id", n.alias("n"), F.explode(F.sequence(F.lit(1), F.lit(per_document))).alias("seq"))
+    known = docs.where("doc_id is not null").groupBy("doc_id").agg(F.max(n).alias("n"))
+    rows = known.select("doc_id", "n", F.explode(F.sequence(F.lit(1), F.lit(per_document))).alias("seq"))
     h = lambda salt: F.xxhash64("doc_id", "seq", F.lit(salt))
     words = F.array(*map(F.lit, ("", " and", "'s", "  ", "\n", "x1", " don't stop", "é")))
     return rows.select(

@@ -143,9 +143,10 @@ def test_edited_counts(spark):
 def test_query_of_counts(spark):
     df, rows = awkward(spark, [(i, prose(i, 60)) for i in range(20)])
     log = {}
-    for e in token_counts.sample_edits(df.dropDuplicates(["doc_id"])).collect():
+    for e in token_counts.sample_edits(df).collect():
         log.setdefault(e["doc_id"], []).append((e["seq"], e["start"], e["removed"], e["inserted"]))
-    got = token_counts.edited_counts(df, token_counts.sample_edits(df.dropDuplicates(["doc_id"])))
+    assert {len(x) for x in log.values()} == {4} and None not in log
+    got = token_counts.digest(df)
     want = [(d, len(ids_of(applied(t, log.get(d, []) if d is not None else []))) - 1) for d, t in rows]
     same(got.select("doc_id", "tokens_after").collect(), want)
 
@@ -157,3 +158,41 @@ def test_cuts_never_change_counts():
             parts = token_counts.leaves_of(text, size)
             assert "".join(parts) == text
             assert sum(len(encode(p)) for p in parts) == len(encode(text))
+
+
+def test_repeated_rows_of_one_document(spark):
+    df = spark.createDataFrame([(1, "some words here " * 5)] * 10_000, "doc_id bigint, text string")
+    got = token_counts.digest(df).select("n_edits").distinct().collect()
+    assert [r[0] for r in got] == [4]
+
+
+def test_counts_of_an_empty_table(spark):
+    assert token_counts.digest(empty(spark, "doc_id bigint, text string")).collect() == []
+
+
+LONG = 5_000_000
+RUNS = ["x" + " " * LONG + "y", "\n" * LONG, "a\t" + "\t" * LONG + "<|endoftext|>", "q" * (LONG // 10), "a  b\n" * 50_000 + " " * 70_000 + "z"]
+
+
+@pytest.mark.parametrize("text", RUNS, ids=["blanks", "newlines", "tabs", "letters", "mixed"])
+def test_long_runs_are_encoded_alike(text):
+    want = tokenizer().encode(text, add_special_tokens=False).ids
+    assert packing.encoder(packing.default_tokenizer())(text) == want
+
+
+def test_long_runs_in_the_queries(spark):
+    rows = [(1, "x" + " " * 2_000_000 + "y"), (2, "\n" * 1_200_000), (3, "short")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = {i: len(ids_of(t)) for i, t in rows}
+    got = packing.digest(df).groupBy("doc_id").agg({"length": "sum"}).collect()
+    assert {r[0]: r[1] for r in got} == want
+    assert {r["doc_id"]: r["tokens_before"] + 1 for r in token_counts.digest(df).collect()} == want
+
+
+def test_parts_are_cut_only_where_pre_tokens_end():
+    encode = packing.encoder(packing.default_tokenizer())
+    for text in ("a!\x1c b \x1d\x85 c", "\u00a0 a\u2003 b", "it's 'll \t 'x  ", "\x1f \x1f a"):
+        for size in (1, 2, 3):
+            parts = packing.cut(text, size)
+            assert "".join(parts) == text
+            assert [x for p in parts for x in encode(p)] == encode(text)
