@@ -19,7 +19,9 @@ shards in blocks.
 
 Pivots come from a bounded sample (``SAMPLE`` rows, those with the smallest
 hashes); every vector is indexed. Rows whose vector or vec_id is null, or whose
-vector holds null, non-finite or (times 256) over 2^31, take no part. Shorter
+vector holds null or non-finite components, take no part; a component that is no
+long times 256 raises, and so does a score among the results that is no long.
+Scores that may pass 53 or 63 bits are made with wider arithmetic. Shorter
 vectors are filled up with zeros. Rows that share the query's vec_id are its
 own and no candidates; equal query rows count once. Ties go to the smaller
 vec_id. Repeated candidates each count. Extra columns are not read.
@@ -65,8 +67,7 @@ class Tree:
         self.most = float(norms.max()) if len(norms) else 0.0
         self.points = np.hstack([vectors, np.sqrt(np.maximum(self.most - norms, 0))[:, None]])
         self.pivots = self.points[route] if len(route) else self.points[:0]
-        big = float(np.abs(vectors).max(initial=0))
-        self.limit = 2.0**53 / max(1.0, big * max(1, vectors.shape[1]))
+        self.reach = float(np.abs(vectors.astype(float)).max(initial=0)) * max(1, vectors.shape[1])
 
     @staticmethod
     def build(ids: np.ndarray, vectors: np.ndarray) -> Tree:
@@ -121,7 +122,8 @@ class Tree:
         result need not go below."""
         q = np.append(query, 0).astype(float)
         square = float(q @ q) + self.most
-        exact = float(np.abs(query).max(initial=0)) < self.limit
+        # no sum of products is larger than this
+        largest = float(np.abs(q).max(initial=0)) * self.reach
         slack = SLACK * (np.sqrt(square) + 1) * 4
         best: list[tuple[int, int]] = []
 
@@ -145,7 +147,12 @@ class Tree:
                 if len(rows) == 0:
                     continue
                 part = self.vectors[rows]
-                score = (part @ query.astype(float)).astype(np.int64) if exact else part.astype(np.int64) @ query
+                if largest < 2.0**53:
+                    score = (part @ query.astype(float)).astype(np.int64)
+                elif largest < 2.0**62:
+                    score = part.astype(np.int64) @ query
+                else:
+                    score = part.astype(object) @ query.astype(object)
                 if len(rows) > top:
                     pick = np.lexsort((self.ids[rows], -score))[:top]
                     rows, score = rows[pick], score[pick]
@@ -201,10 +208,12 @@ def _parts(points: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
 def whole_numbers(vectors: DataFrame) -> DataFrame:
     """``vec_id, v``: floor(256 x) of each component, rows that take part only."""
     scaled = F.transform("embedding", lambda x: x.cast("double") * 256)
-    fine = F.forall("scaled", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) <= 2.0**31), F.lit(False)))
+    fine = F.forall("scaled", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), scaled.alias("scaled"))
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("scaled").isNotNull() & fine)
-    return rows.select("vec_id", F.transform("scaled", lambda x: F.floor(x)).alias("v"))
+    wide = F.raise_error(F.lit("256 times a component is no long"))
+    whole = F.transform("scaled", lambda x: F.when(F.abs(x) < 2.0**62, F.floor(x)).otherwise(wide.cast("bigint")))
+    return rows.select("vec_id", whole.alias("v"))
 
 
 def _matrix(column, width: int) -> np.ndarray:
@@ -269,12 +278,15 @@ def _router(pivots: np.ndarray, radius: np.ndarray):
     """The pivots whose vectors may reach a query's bound: q.x is at most
     q.p + |q| r for x within r of p."""
 
+    norms = np.sqrt((pivots**2).sum(1))
+    radius = np.where(np.isfinite(radius), radius, 0.0)  # no vectors there; no shard either
+
     def route(batches):
         for b in batches:
             v = _matrix(b["v"], pivots.shape[1]).astype(float)
             size = np.sqrt((v**2).sum(1))
             bound = v @ pivots.T + size[:, None] * radius[None]
-            bound += SLACK * (np.abs(bound) + 1)
+            bound += SLACK * (size[:, None] * (norms + np.abs(radius))[None] + 1)
             least = np.array([-np.inf if x is None else float(x) for x in b["least"].to_pylist()])
             able = [np.flatnonzero(r) for r in bound >= least[:, None]] if b.num_rows else []
             yield b.append_column("pivots", pa.array(able, pa.list_(pa.int32())))

@@ -72,3 +72,29 @@ def test_tree_prunes_and_is_exact():
             far = np.sqrt(((tree.points[rows] - tree.pivots[page]) ** 2).sum(1))
             assert np.allclose(far, tree.to_leaf[rows])
             assert far.max() <= tree.radius[page] + 1e-6
+
+
+@pytest.mark.parametrize("large", [1e6, 1e9, 3e11])
+def test_large_components_among_small_ones(spark, large):
+    g = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in g.normal(size=6)]) for i in range(400)]
+    rows += [(1000 + 10 * i, [float(x) for x in g.normal(size=6) * large]) for i in range(12)]
+    # 2^31 in each: the row with itself would pass a long, with others not
+    rows += [(2000 + i, [large, -large, 0.5, large / 3, 0.0, 1.0]) for i in range(3)]
+    want = brute(rows)
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    if any(abs(s) >= 2**63 for *_, s in want):
+        with pytest.raises(Exception, match="(?i)overflow|too large|too big"):
+            mtree.digest(df).collect()
+    else:
+        same(mtree.digest(df).collect(), want)
+
+
+def test_no_score_wraps(spark):
+    v = [float(2**31)] * 3
+    df = spark.createDataFrame([(0, v), (1, v), (2, [1.0, 0.0, 0.0])], "vec_id bigint, embedding array<double>")
+    with pytest.raises(Exception, match="(?i)overflow|too large|too big"):
+        mtree.digest(df).collect()
+    far = spark.createDataFrame([(0, [1e300]), (1, [1.0])], "vec_id bigint, embedding array<double>")
+    with pytest.raises(Exception, match="no long"):
+        mtree.digest(far).collect()
