@@ -304,20 +304,54 @@ def digest(docs: DataFrame) -> DataFrame:
     )
 
 
+#: Code points of the chunks from which kept text is cut.
+CHUNK = 1024
+
+
+def _bound(name: str, value: str, body: str) -> str:
+    """SQL of ``body`` with ``name`` standing for a value computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _furthest_before(spans: str) -> str:
+    """SQL for the largest ``stop`` of the spans before each span and, last, of
+    all: running maxima by blocks of about the root of the spans' number, so that
+    no long array is copied for every span."""
+    size = "cast(ceil(sqrt(size(stops))) as int)"
+    grow = "(acc, x) -> struct(greatest(acc.high, x) as high, concat(acc.got, array(acc.high)) as got)"
+    start = "struct({} as high, cast(array() as array<bigint>) as got)"
+    blocks = "transform(sequence(0, (size(stops) - 1) div width), k -> slice(stops, k * width + 1, width))"
+    heads = f"aggregate(transform(blocks, b -> array_max(b)), {start.format('0L')}, {grow}).got"
+    runs = f"flatten(zip_with(blocks, {heads}, (b, h) -> aggregate(b, {start.format('h')}, {grow}).got))"
+    body = f"concat({runs}, array(array_max(stops)))"
+    return _bound("stops", f"transform({spans}, s -> s.stop)", _bound("width", size, _bound("blocks", blocks, body)))
+
+
+def _kept(begin: str, stop: str) -> str:
+    """SQL for the text between two places, cut from ``chunks``."""
+    first, last = f"cast({begin} div {CHUNK} as int)", f"cast({stop} div {CHUNK} as int)"
+    offset, rest = f"cast({begin} % {CHUNK} as int)", f"cast({stop} % {CHUNK} as int)"
+    return (
+        f"case when {begin} >= {stop} then '' "
+        f"when {first} = {last} then substring(chunks[{first}], {offset} + 1, {rest} - {offset}) "
+        f"else concat(substring(chunks[{first}], {offset} + 1), array_join(slice(chunks, {first} + 2, {last} - {first} - 1), ''), "
+        f"case when {rest} = 0 then '' else substring(chunks[{last}], 1, {rest}) end) end"
+    )
+
+
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every secret span replaced by ``mark``; overlapping spans
-    become one mark. Texts without spans stay as they are, null included."""
+    become one mark. Texts without spans stay as they are, null included. Kept
+    text is cut from chunks, so the work grows with the text and its spans, not
+    with their product."""
     cols = docs.columns
     got = scan(docs, into="__spans")
-    init = "struct(0L as done, cast(array() as array<string>) as got)"
-    step = (
-        "(acc, s) -> case when s.stop <= acc.done then acc "
-        "when s.start < acc.done then struct(s.stop as done, acc.got as got) "
-        "else struct(s.stop as done, concat(acc.got, array(concat("
-        f"substring(text, cast(acc.done as int) + 1, cast(s.start - acc.done as int)), {_literal(mark)}))) as got) end"
-    )
-    end = "acc -> concat(array_join(acc.got, ''), substring(text, cast(acc.done as int) + 1))"
-    text = F.expr(
-        f"case when size(__spans) = 0 then text else aggregate(__spans, {init}, {step}, {end}) end"
+    piece = f"case when s.start < h then '' else concat({_kept('h', 's.start')}, {_literal(mark)}) end"
+    body = (
+        f"concat(array_join(zip_with(slice(highs, 1, size(__spans)), __spans, (h, s) -> {piece}), ''), "
+        f"{_kept('highs[size(__spans)]', 'cast(length(text) as bigint)')})"
     )
+    body = _bound("highs", _furthest_before("__spans"), body)
+    body = _bound("chunks", f"regexp_extract_all(text, '(?s).{{1,{CHUNK}}}', 0)", body)
+    text = F.expr(f"case when size(__spans) = 0 then text else {body} end")
     return got.withColumn("text", text).select(*cols)

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import duckdb
@@ -55,7 +56,11 @@ def test_oracle_sql_agrees(spark):
 
 
 def test_redact(spark):
-    df, rows = awkward(spark, enumerate(TEXTS))
+    r = random.Random(4)
+    filler = ["\U0001f600" * 700, "é" * 1024, "x " * 512, prose(1, 300), " ", "", "\n"]
+    long = ["".join(r.choice(TEXTS) + r.choice(filler) for _ in range(60)) for _ in range(6)]
+    long += [("f" * 40 + " ") * 3000, "f" * 1024 + " " + "e" * 2047 + "\n" + "\U0001f600" * 1024 + "token=" + "a" * 3000]
+    df, rows = awkward(spark, enumerate([*TEXTS, *long]))
     got = secrets.redact(df)
     assert got.columns == df.columns
 
