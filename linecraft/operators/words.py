@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import quote
@@ -37,6 +37,15 @@ def count_words(lines: DataFrame, line_col: str = "line") -> DataFrame:
     return word_count(tokenize(lines, line_col))
 
 
+def count_words_and_marks(lines: DataFrame, line_col: str, marks: Column) -> DataFrame:
+    """:func:`count_words` of a scan whose rows also carry ``marks``, an array of
+    strings that are counted beside the words. No mark may look like a word:
+    each holds a space."""
+    marked = lines.select(quote(line_col), marks.alias("__marks"))
+    tokens = F.concat(split_words(quote(line_col)), F.col("__marks"))
+    return word_count(marked.select(F.explode(tokens).alias("word")))
+
+
 def word_count_text(counts: DataFrame) -> DataFrame:
     """``value string``: each pair as ``(word,cnt)``, the text-file form."""
     return counts.select(pair_text("word", "cnt").alias("value"))

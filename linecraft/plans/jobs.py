@@ -13,20 +13,30 @@ of the job, and only to them; ``output_options`` replace them for the writes.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.constants import EMPTY_INPUT_MESSAGE
+from ..functions.text import pair_text
 from ..operators.access_log import RECORD_COLUMNS, tag_access_log
 from ..operators.layout import spread
 from ..operators.lifecycle import application_events
-from ..operators.partition_report import partition_report, report_json
-from ..operators.words import count_words
-from ..sinks.files import check_targets, remove_folder, write_json_lines, write_pairs_text, write_records, write_text
+from ..operators.partition_report import MARK, partition_report, report_json, report_marks, report_of_marks, report_of_unread
+from ..operators.words import count_words, count_words_and_marks
+from ..sinks.files import (
+    EXIST_MODES,
+    beside,
+    check_targets,
+    file_system,
+    publish,
+    remove_folder,
+    write_json_lines,
+    write_pairs_text,
+    write_records,
+    write_text,
+)
 from ..sources.event_log import read_event_log_lines
 from ..sources.text import read_lines
 
@@ -41,17 +51,22 @@ def _write_options(options: Options, output_options: Options) -> Options:
     return options if output_options is None else output_options
 
 
-@contextmanager
-def _shuffle_width(spark: SparkSession, partitions: int | None):
-    """The session's number of shuffle partitions, for one write."""
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    if partitions is not None:
-        spark.conf.set(key, str(partitions))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+def _with_width(spark: SparkSession, partitions: int | None) -> SparkSession:
+    """A session with the settings of ``spark`` and its own number of shuffle
+    partitions, so that no other user of ``spark`` sees it."""
+    if partitions is None:
+        return spark
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return own
+
+
+def _moved(mode: str) -> bool:
+    """Whether outputs of this save mode can be moved into place as whole folders."""
+    return mode in (*EXIST_MODES, "overwrite")
 
 
 def word_count_job(
@@ -71,9 +86,8 @@ def word_count_job(
     """
     to = _write_options(options, output_options)
     check_targets(spark, [output_path], mode, to)
-    lines = spread(read_lines(spark, input_path, options))
-    with _shuffle_width(spark, shuffle_partitions):
-        write_pairs_text(count_words(lines, "value"), output_path, mode=mode, options=to)
+    lines = spread(read_lines(_with_width(spark, shuffle_partitions), input_path, options))
+    write_pairs_text(count_words(lines, "value"), output_path, mode=mode, options=to)
 
 
 def _tagged_input(spark: SparkSession, input_path: str, options: Options, on_error: str) -> tuple[DataFrame, Observation]:
@@ -112,9 +126,11 @@ def log_analysis_job(
     lines are written, so the logs are scanned and parsed once.
 
     With ``rejects_path`` the rejected lines are saved with their reason. The
-    one pass then writes all tagged lines, as :func:`log_tagging_job` does,
-    to a folder beside the output that is removed in the end, and both outputs
-    are copied from its two halves.
+    one pass then writes all records, and the raw lines of rejects only, to a
+    folder beside the output that is removed in the end; both outputs are copied
+    from its two halves, next to their places, and moved there when both are
+    whole (under ``errorifexists`` and ``overwrite``; ``append`` writes them in
+    turn). So a failure leaves neither of them.
     """
     to = _write_options(options, output_options)
     check_targets(spark, [output_path] + ([rejects_path] if rejects_path else []), mode, to)
@@ -122,16 +138,23 @@ def log_analysis_job(
     if rejects_path is None:
         write_records(tagged.where("parsed = 1").select(*RECORD_COLUMNS), output_path, fmt=fmt, mode=mode, options=to)
         return {k: int(v) for k, v in obs.get.items()}
-    both = f"{output_path.rstrip('/')}.tagged-{uuid.uuid4().hex}"
+    write = dict(to or {})
+    both = beside(output_path, "tagged")
+    # a parsed line's text is in its fields; only rejects need the line itself
+    lean = tagged.withColumn("value", F.when(F.col("parsed") == 0, F.col("value")))
+    parts = [beside(output_path, "records"), beside(rejects_path, "rejects")] if _moved(mode) else []
+    records_to, rejects_to = parts or (output_path, rejects_path)
     try:
-        tagged.write.options(**dict(to or {})).partitionBy("parsed").parquet(both)
-        schema = tagged.schema
-        halves = spark.read.options(**dict(to or {})).schema(schema).parquet(both)
-        write_records(halves.where("parsed = 1").select(*RECORD_COLUMNS), output_path, fmt=fmt, mode=mode, options=to)
+        lean.write.options(**write).partitionBy("parsed").parquet(both)
+        halves = spark.read.options(**write).schema(lean.schema).parquet(both)
         rejects = halves.where("parsed = 0").select("value", F.col("reject_reason").alias("reason"))
-        write_records(rejects, rejects_path, fmt=fmt, mode=mode, options=to)
+        write_records(halves.where("parsed = 1").select(*RECORD_COLUMNS), records_to, fmt=fmt, mode=mode, options=to)
+        write_records(rejects, rejects_to, fmt=fmt, mode=mode, options=to)
+        if parts:
+            publish(spark, [(records_to, output_path), (rejects_to, rejects_path)], mode, to)
     finally:
-        remove_folder(spark, both, to)
+        for path in (both, *parts):
+            remove_folder(spark, path, to)
     return {k: int(v) for k, v in obs.get.items()}
 
 
@@ -170,14 +193,67 @@ def word_count_with_report_job(
     output_options: Options = None,
 ) -> None:
     """Word count plus one JSON report per input partition (where it ran and,
-    with ``count_rows``, how many lines). Two jobs over the same scan; the
-    report job reads no column into Python."""
+    with ``count_rows``, how many lines), in one pass over the input.
+
+    The scan's rows carry marks that are counted like words
+    (:func:`linecraft.operators.partition_report.report_marks`); the counts leave
+    in one write, words and marks in folders of their own, and the words' folder
+    is moved to its place. Partitions without any line are run once more for
+    their report, which reads nothing. Neither output appears alone.
+
+    An input with oversized unsplittable files, whose lines are dealt to other
+    tasks, is scanned twice: the report describes the tasks that read the files.
+    So it is under ``append``.
+    """
     to = _write_options(options, output_options)
     check_targets(spark, [output_path, report_path], mode, to)
     lines = read_lines(spark, input_path, options)
-    report = report_json(partition_report(lines, count_rows=count_rows))
-    write_text(report, report_path, col="json", mode=mode, options=to)
-    write_pairs_text(count_words(spread(lines), "value"), output_path, mode=mode, options=to)
+    dealt = spread(lines)
+    if dealt is not lines or not _moved(mode):
+        report = report_json(partition_report(lines, count_rows=count_rows))
+        write_text(report, report_path, col="json", mode=mode, options=to)
+        write_pairs_text(count_words(dealt, "value"), output_path, mode=mode, options=to)
+        return
+    both, told = beside(output_path, "counted"), beside(report_path, "report")
+    write = dict(to or {})
+    try:
+        counts = count_words_and_marks(lines, "value", report_marks(count_rows))
+        is_mark = F.col("word").startswith(MARK)
+        rows = counts.select(
+            F.when(is_mark, F.concat(F.col("cnt").cast("string"), F.lit(MARK), "word")).otherwise(pair_text("word", "cnt")).alias("value"),
+            F.when(is_mark, "marks").otherwise("words").alias("kind"),
+        )
+        rows.write.options(**write).partitionBy("kind").text(both)
+        if not _has(spark, f"{both}/kind=words", to):  # an input without words
+            write_text(rows.where("false").select("value"), f"{both}/kind=words", options=to)
+        report = _report_of_counted(spark, lines, f"{both}/kind=marks", to, count_rows)
+        write_text(report_json(report), told, col="json", options=to)
+        publish(spark, [(f"{both}/kind=words", output_path), (told, report_path)], mode, to)
+    finally:
+        for path in (both, told):
+            remove_folder(spark, path, to)
+
+
+def _has(spark: SparkSession, path: str, options: Options) -> bool:
+    p, fs = file_system(spark, path, options)
+    return fs.exists(p)
+
+
+def _report_of_counted(spark: SparkSession, lines: DataFrame, path: str, options: Options, count_rows: bool) -> DataFrame:
+    """The report of all partitions of ``lines`` from the marks counted in them
+    (lines ``<count> <mark>``), and from a run over those without any row."""
+    n = lines._jdf.queryExecution().toRdd().getNumPartitions()
+    if not _has(spark, path, options):
+        return report_of_unread(lines, list(range(n)), count_rows)
+    cut = F.locate(MARK, "value")
+    marks = read_lines(spark, path, options).select(
+        F.substring("value", F.lit(1), cut - 1).cast("bigint").alias("cnt"), F.expr("substring(value, locate(' ', value) + 1)").alias("word")
+    )
+    told = report_of_marks(marks, count_rows)
+    unread = spark.range(n).join(told, F.col("id") == F.col("partition_id"), "left_anti").collect()
+    if not unread:
+        return told
+    return told.unionByName(report_of_unread(lines, sorted(r["id"] for r in unread), count_rows))
 
 
 def application_events_job(
