@@ -73,7 +73,8 @@ def report_marks(count_rows: bool = True) -> Column:
     told = record_json(
         F.spark_partition_id().alias("partition_id"),
         F.expr(_CLOCK).alias("created_ms"),
-        *[F.expr(sql).alias(name) for name, sql in _JVM.items()],
+        # a method that returns nothing gives the text null
+        *[F.nullif(F.expr(sql), F.lit("null")).alias(name) for name, sql in _JVM.items()],
     )
     here = F.when(first, F.array(F.concat(F.lit(MARK), told))).otherwise(F.array().cast("array<string>"))
     if not count_rows:

@@ -19,7 +19,10 @@ from ..operators.layout import widen
 from ..operators.lifecycle import application_events
 from ..operators.partition_report import partition_report, report_json
 from ..operators.words import tokenize, word_count, word_count_text
-from ..sources.text import lines_of, read_table
+from ..session import new_folder
+from ..sinks.files import remove_folder, write_text
+from ..sources.text import lines_of, read_lines, read_table
+from .jobs import word_count_job, word_count_with_report_job
 
 
 # Declared columns of the driver tables that the queries read (no schema
@@ -131,6 +134,60 @@ def app_events(spark: SparkSession, d: str) -> DataFrame:
     return application_events(fixtures.event_log_lines(events))
 
 
+#: Forms of the text files that the file queries write and read, with the
+#: options of the writes.
+FILE_FORMS: dict[str, dict[str, str]] = {"plain": {}, "gzip": {"compression": "gzip"}}
+
+
+def _through_files(spark: SparkSession, d: str, run) -> list[DataFrame]:
+    """For each form: the documents' lines as text files in the shared folder,
+    and what ``run(form, input, folder, options)`` makes of them. The lines' files
+    are removed; the results stay, since the returned frames read them."""
+    found = []
+    for form, options in FILE_FORMS.items():
+        folder = new_folder(spark, f"files-{form}")
+        write_text(scan_lines(spark, d), f"{folder}/lines", col="line", options=options)
+        found.append(run(form, f"{folder}/lines", folder, options))
+        remove_folder(spark, f"{folder}/lines")
+    return found
+
+
+def files_word_count(spark: SparkSession, d: str) -> DataFrame:
+    """The word-count program on text files, plain and gzip: lines written,
+    read, counted, and the ``(word,count)`` files read back."""
+
+    def run(form, lines, folder, options):
+        word_count_job(spark, lines, f"{folder}/counts", output_options=options)
+        return read_lines(spark, f"{folder}/counts").select(F.lit(form).alias("form"), "value")
+
+    first, second = _through_files(spark, d, run)
+    return first.unionByName(second)
+
+
+def files_report(spark: SparkSession, d: str) -> DataFrame:
+    """The word count with partition report on text files: what is the same in
+    every run of the reports' files, and the words counted beside them."""
+
+    def run(form, lines, folder, options):
+        word_count_with_report_job(spark, lines, f"{folder}/counts", f"{folder}/report", output_options=options)
+        messages = read_lines(spark, f"{folder}/report").select("value", F.lit(True).alias("told"))
+        pairs = read_lines(spark, f"{folder}/counts").select("value", F.lit(False).alias("told"))
+        told = F.col("told")
+        keys = F.when(told, F.array_join(F.array_sort(F.json_object_keys("value")), ","))
+        cnt = F.regexp_extract("value", ",([0-9]+)[)]$", 1)
+        return messages.union(pairs).agg(
+            F.lit(form).alias("form"),
+            F.sum(F.when(told, F.get_json_object("value", "$.row_count").cast("bigint"))).alias("row_count"),
+            F.min(keys).alias("first_keys"),
+            F.max(keys).alias("last_keys"),
+            F.count_if(told & F.get_json_object("value", "$.host").isNull()).alias("without_host"),
+            F.sum(F.when(~told, cnt.cast("bigint"))).alias("words"),
+        )
+
+    first, second = _through_files(spark, d, run)
+    return first.unionByName(second)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_lines": scan_lines,
     "tokenize_words": tokenize_words,
@@ -146,6 +203,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "partition_report": partition_report_q,
     "partition_report_json": partition_report_json,
     "app_events": app_events,
+    "files_word_count": files_word_count,
+    "files_report": files_report,
 }
 
 
@@ -241,6 +300,12 @@ ORACLE_SQL: dict[str, str] = {
     "partition_report_json": "select count(*)::bigint as row_count, keys as first_keys, keys as last_keys from events, "
     "(select 'attempt_number,created_at,executor_dirs,host,log_url_stderr,log_url_stdout,partition_id,row_count,user_dir' as keys) "
     "group by keys",
+    "files_word_count": "with w as (" + _SQL_TOKENIZE + "), c as (select '(' || word || ',' || count(*) || ')' as value from w group by word) "
+    "select form, value from c, (values ('plain'), ('gzip')) as f(form)",
+    "files_report": "with l as (" + _SQL_SCAN_LINES + "), w as (" + _SQL_TOKENIZE + ") "
+    "select form, (select count(*) from l)::bigint as row_count, keys as first_keys, keys as last_keys, 0::bigint as without_host, "
+    "(select count(*) from w)::bigint as words from (values ('plain'), ('gzip')) as f(form), "
+    "(select 'attempt_number,created_at,executor_dirs,host,log_url_stderr,log_url_stdout,partition_id,row_count,user_dir' as keys) as k",
     "app_events": "with l as (" + _SQL_EVENT_LOG_LINES + "),\n"
     r"""e as (select path, json_extract_string(value, '$.Event') as ev,
     json_extract_string(value, '$."App ID"') as aid, cast(json_extract(value, '$.Timestamp') as bigint) as ts

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -19,3 +23,19 @@ def checkpoint_root(spark: SparkSession) -> str:
             "or pass a checkpoint location"
         )
     return d.rstrip("/")
+
+
+@functools.cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="linecraft-files-")
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """The path of a folder that no one else uses, under the shared checkpoint
+    folder. A session of one process (``local[...]``) that names none gets one of
+    its own; a cluster gets the error of :func:`checkpoint_root`."""
+    master = spark.sparkContext.master
+    alone = master == "local" or master.startswith("local[")
+    named = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    root = _own_folder() if alone and not named else checkpoint_root(spark)
+    return f"{root}/{name}-{uuid.uuid4().hex}"

@@ -114,6 +114,8 @@ def publish(spark: SparkSession, moves: list[tuple[str, str]], mode: str, option
         for source, target in moves:
             a, fs = file_system(spark, source, options)
             b, _ = file_system(spark, target, options)
+            if not fs.exists(a):
+                raise FileNotFoundError(f"nothing to move: {source}")
             if fs.exists(b):
                 if mode in EXIST_MODES:
                     raise FileExistsError(f"output exists, nothing was moved there: {target}")
