@@ -6,6 +6,9 @@ own, a place keeps its smallest (rank, fraction), and ranks are dealt level by
 level until no higher one can matter. Equal sets are one *class* from there on
 (the smallest doc_id stands for it), so exact copies cost nothing further.
 
+Links are united between nodes that begin with a class's smallest doc_id, so a
+component's smallest node names it and no join by component is needed.
+
 Classes that share a band of the signature are candidates. Within a band's
 bucket, however large, pairs are not listed. A few rounds compare each class
 with one other class of another component (its bucket's hub) on the full sets;
@@ -325,21 +328,21 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80, bands: int = BANDS
         .groupBy("class")
         .agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
     )
-    classes = stored(classes, "classes")
-    entry = classes.select(F.explode("bands").alias("bucket"), "class")
+    classes = stored(classes.withColumn("node", _node("doc_id", "class")), "classes")
+    # from here to the end classes go by their nodes, which sort by doc_id
+    entry = classes.select(F.explode("bands").alias("bucket"), F.col("node").alias("class"))
     shared = entry.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     members = stored(entry.join(shared, "bucket"), "members")
     # the texts that stand for classes in shared buckets; a doc_id may have
     # several rows, so the class is computed again
-    wanted = classes.join(members.select("class").distinct(), "class", "left_semi").select(
-        "doc_id", F.col("class").alias("want")
-    )
+    asked = members.select(F.col("class").alias("node")).distinct()
+    wanted = classes.join(asked, "node", "left_semi").select("doc_id", F.col("node").alias("want"))
     texts = (
         rows_in.join(wanted, "doc_id")
         .select("want", "text", F.col("want").alias("class"))
         .mapInArrow(tidy(_named(size)), "want binary, text string, class binary")
-        .where("want = class")
-        .select("class", "text")
+        .where(F.expr(f"substring(want, {ID_BYTES + 1})") == F.col("class"))
+        .select(F.col("want").alias("class"), "text")
         .dropDuplicates(["class"])
     )
     texts = stored(texts, "texts")
@@ -370,11 +373,9 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80, bands: int = BANDS
     links = _among_rest(rest, texts, size, percent)
     roots = _united(roots, links)
     release(links, rows, members, texts)
-    # classes to components: the smallest doc_id of the component's classes
-    known = classes.select("class", "doc_id").join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
-    known = known.select("class", "doc_id", F.coalesce("root", "class").alias("root"))
-    low = known.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    final = stored(known.join(low, "root").select("class", "root", "component_id"), "components")
+    # a component's root is its smallest node, which begins with the smallest doc_id
+    known = classes.select("class", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    final = stored(known.select("class", "root", _id_of("root").alias("component_id")), "components")
     release(roots, classes)
     # a class may be hot (a third of all rows): a plain join, which can be split
     out = signed.select("doc_id", "text_key", "n_shingles", "class").join(final, "class", "left")
@@ -383,6 +384,23 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80, bands: int = BANDS
     return out.select("doc_id", "n_shingles", own.alias("component_id"), "text_key", group.alias("group"))
 
 
+#: Bytes of a doc_id before its class in a node.
+ID_BYTES = 8
+
+
+def _node(doc_id: str, name: str):
+    """A class as a node of the links: its smallest doc_id, in bytes that sort as
+    the numbers do, then the class."""
+    unsigned = F.col(doc_id).bitwiseXOR(F.lit(-(1 << 63)))
+    return F.concat(F.unhex(F.lpad(F.hex(unsigned), 2 * ID_BYTES, "0")), F.col(name))
+
+
+def _id_of(node: str):
+    """The doc_id that a node begins with."""
+    unsigned = F.conv(F.hex(F.substring(node, 1, ID_BYTES)), 16, 10).cast("decimal(20, 0)")
+    return (unsigned - F.lit(str(1 << 63)).cast("decimal(20, 0)")).cast("bigint")
+
+
 def _placed(members: DataFrame, roots: DataFrame | None) -> DataFrame:
     """``bucket, class, root``."""
     if roots is None:

@@ -135,3 +135,14 @@ def test_components_of_a_path(spark):
     links = spark.createDataFrame([(bytes([i]), bytes([i + 1])) for i in range(n)], "a binary, b binary")
     got = {bytes(r["node"]): bytes(r["root"]) for r in superminhash.components(links).collect()}
     assert got == {bytes([i]): b"\x00" for i in range(1, n + 1)}
+
+
+def test_nodes_sort_as_their_ids(spark):
+    ids = [0, 1, -1, 255, 256, 2**31, -(2**31), 2**63 - 1, -(2**63), 12345678901]
+    df = spark.createDataFrame([(i, b"c") for i in ids], "doc_id bigint, class binary")
+    got = df.select("doc_id", superminhash._node("doc_id", "class").alias("node")).select(
+        "doc_id", "node", superminhash._id_of("node").alias("back")
+    )
+    rows = got.collect()
+    assert all(r["back"] == r["doc_id"] and len(r["node"]) == 9 for r in rows)
+    assert [r["doc_id"] for r in sorted(rows, key=lambda r: bytes(r["node"]))] == sorted(ids)
