@@ -16,7 +16,10 @@ Drawings (``svg``) give each ``text`` on its own lines, and the HTML in them.
 Text is laid out as it is built: white space collapses outside ``pre``, blocks
 begin lines, paragraphs, headings, lists and tables stand apart by one empty
 line, list items get ``- `` or their number and are indented, and the cells of
-a table are padded to the width of their column.
+a table are padded to the width of their column. Time and text stay in
+proportion to the page: indents end at ``MOST_INDENT`` columns, a cell wider
+than ``MOST_CELL`` widens no column, columns are aligned up to ``MOST_ALIGNED``,
+and tables inside ``MOST_TABLES`` others are not aligned.
 
 Null and empty pages give an empty text. Unclosed tags and comments end at the
 page's end, a ``<`` that begins no tag is text. Rows are independent: repeated
@@ -26,7 +29,10 @@ pages each get a row, a null page_id is kept. Extra columns are not read.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import deque
 from html import unescape
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -109,60 +115,120 @@ def _inline(parts: list[str], pre: bool) -> list[str]:
     return [_SPACE.sub(" ", x).strip(" ") for x in text.split("\x00")]
 
 
-def lay_out(box: Box) -> list[str]:
+class Block:
+    """Finished lines: pairs of an indent, to which ``shift`` is added, and the
+    pieces of the text, last piece first. Indents are resolved once, at the end,
+    and the fewer lines are moved when blocks are joined, so nesting copies no
+    line at every level."""
+
+    __slots__ = ("lines", "shift")
+
+    def __init__(self, texts=()):
+        self.lines = deque([0, [x] if x else []] for x in texts)
+        self.shift = 0
+
+    def trimmed(self) -> Block:
+        """Without empty lines at its ends."""
+        while self.lines and not self.lines[0][1]:
+            self.lines.popleft()
+        while self.lines and not self.lines[-1][1]:
+            self.lines.pop()
+        return self
+
+    def joined(self, below: Block) -> Block:
+        """This block's lines and then those of another; both are used up."""
+        few, many = (below, self) if len(below.lines) <= len(self.lines) else (self, below)
+        for line in few.lines:
+            line[0] += few.shift - many.shift
+        if many is self:
+            many.lines.extend(few.lines)
+        else:
+            many.lines.extendleft(reversed(few.lines))
+        return many
+
+    def marked(self, mark: str) -> Block:
+        """Indented by a mark that stands before the first line."""
+        first = self.lines[0]
+        inner = min(first[0] + self.shift, MOST_INDENT)
+        self.shift += len(mark)
+        first[0] = -self.shift
+        first[1] += [" " * inner, mark]
+        return self
+
+    def texts(self) -> list[str]:
+        return [" " * min(i + self.shift, MOST_INDENT) + "".join(reversed(x)) if x else "" for i, x in self.lines]
+
+
+def lay_out(box: Box) -> Block:
     """Lines of a block: runs of inline text and the blocks between them."""
-    lines: list[str] = []
+    out = Block()
     apart = False
     run: list[str] = []
 
-    def put(new: list[str], gap: bool) -> None:
-        nonlocal apart
-        while new and not new[0]:
-            new = new[1:]
-        while new and not new[-1]:
-            new = new[:-1]
-        if new:
-            if lines and (gap or apart):
-                lines.append("")
-            lines.extend(new)
+    def put(new: Block, gap: bool) -> None:
+        nonlocal apart, out
+        if new.trimmed().lines:
+            if out.lines and (gap or apart):
+                out.lines.append([0, []])
+            out = out.joined(new)
             apart = gap
         elif gap:
-            apart = bool(lines)
+            apart = bool(out.lines)
 
     for item in box.items:
         if isinstance(item, str):
             run.append(item)
             continue
         if run:
-            put(_inline(run, box.pre), False)
+            put(Block(_inline(run, box.pre)), False)
             run = []
         put(item[0], item[1])
     if run:
-        put(_inline(run, box.pre), False)
-    return lines
+        put(Block(_inline(run, box.pre)), False)
+    return out
+
 
+#: Columns of indent, of a cell that widens its column, and up to which columns
+#: of a table are aligned; tables around a table whose cells are still aligned.
+MOST_INDENT, MOST_CELL, MOST_ALIGNED, MOST_TABLES = 64, 160, 480, 16
 
-def _table(rows: list[list[tuple[list[str], int]]]) -> list[str]:
-    """Cells padded to their column's width; a cell over several columns
-    widens none."""
+
+def _table(rows: list[list[tuple[Block, int]]], aligned: bool = True) -> Block:
+    """Cells in columns. A cell over several columns, or wider than
+    ``MOST_CELL``, widens none; what follows it on its line comes after two
+    spaces. Rows of one cell, and tables deep inside others, need no columns:
+    their cells stand below each other."""
+    if not aligned or all(len(row) == 1 for row in rows):
+        out = Block()
+        for row in rows:
+            for cell, _ in row:
+                out = out.joined(cell)
+        return out
+    texts = [[(cell.texts(), span) for cell, span in row] for row in rows]
     width: dict[int, int] = {}
-    for row in rows:
+    for row in texts:
         at = 0
         for lines, span in row:
             if span == 1:
-                width[at] = max(width.get(at, 0), max(map(len, lines), default=0))
+                width[at] = max(width.get(at, 0), max((n for n in map(len, lines) if n <= MOST_CELL), default=0))
             at += span
+    columns = sorted(width)
+    before = [0, *accumulate(width[c] for c in columns)]
     out = []
-    for row in rows:
-        height = max((len(lines) for lines, _ in row), default=0)
-        for k in range(height):
-            parts, at = [], 0
-            for lines, span in row:
-                room = sum(width.get(c, 0) for c in range(at, at + span)) + 2 * (span - 1)
-                parts.append((lines[k] if k < len(lines) else "").ljust(room))
-                at += span
-            out.append("  ".join(parts).rstrip())
-    return out
+    for row in texts:
+        # pieces and length of each line so far
+        got = [([], [0]) for _ in range(max((len(lines) for lines, _ in row), default=0))]
+        at = 0
+        for lines, span in row:
+            left = min(before[bisect_left(columns, at)] + 2 * at, MOST_ALIGNED)
+            for x, (pieces, size) in zip(lines, got, strict=False):
+                if x:
+                    gap = max(left - size[0], 2 if pieces else 0)
+                    pieces += [" " * gap, x]
+                    size[0] += gap + len(x)
+            at += span
+        out += ["".join(pieces).rstrip() for pieces, _ in got]
+    return Block(out)
 
 
 #: Columns that one cell may span, as in the HTML standard.
@@ -237,37 +303,35 @@ class Builder:
         return name
 
     def _place(self, box: Box, above: Box) -> None:
+        out = lay_out(box)
         if box.kind in CELL:
-            lines = lay_out(box)
             if above.kind == "tr":
-                above.rows.append((lines, box.span))
+                above.rows.append((out, box.span))
             else:
-                above.items.append((lines, False))
+                above.items.append((out, False))
             return
+        # tables around this one
+        aligned = self.count.get("table", 0) < MOST_TABLES
         if box.kind == "tr":
-            lines = lay_out(box)
-            row = [(lines, 1), *box.rows] if lines else box.rows
+            row = [(out, 1), *box.rows] if out.lines else box.rows
             if above.kind == "table":
                 if row:
                     above.rows.append(row)
             else:
-                above.items.append((_table([row]), False))
+                above.items.append((_table([row], aligned), False))
             return
-        lines = lay_out(box)
         if box.kind == "table":
-            grid = _table(box.rows)
-            lines = lines + grid
-        elif box.kind == "li" and lines:
+            out = out.joined(_table(box.rows, aligned))
+        elif box.kind == "li" and out.lines:
             mark = "- "
             if above.number is not None:
                 mark = f"{above.number}. "
                 above.number += 1
-            pad = " " * len(mark)
-            lines = [mark + lines[0], *(pad + x if x else x for x in lines[1:])]
+            out = out.marked(mark)
         elif box.kind in ("blockquote", "dd"):
-            lines = ["  " + x if x else x for x in lines]
+            out.shift += 2
         apart = box.apart and not (box.kind in ("ul", "ol", "menu") and above.kind == "li")
-        above.items.append((lines, apart))
+        above.items.append((out, apart))
 
     def _end_implied(self, ended: frozenset, limits: frozenset) -> None:
         if not any(self.count.get(n) for n in ended):
@@ -310,7 +374,7 @@ class Builder:
             self._push("table", False)
         if name in VOID:
             if name == "hr" and not self.unseen:
-                self.boxes[-1].items.append(([], True))
+                self.boxes[-1].items.append((Block(), True))
             return False
         here = self.foreign[-1]
         unseen, number, span = name in UNSEEN or name in UNSEEN_IN.get(here, ()), None, 1
@@ -345,7 +409,7 @@ class Builder:
             return
         if not self.count.get(name):
             if name == "p" and not self.unseen:
-                self.boxes[-1].items.append(([], True))
+                self.boxes[-1].items.append((Block(), True))
             return
         # an end tag inside a cell does not reach out of its table
         if name not in ("table", "tr", "td", "th", "tbody", "thead", "tfoot", "body", "html"):
@@ -360,7 +424,7 @@ class Builder:
     def finish(self) -> str:
         while self.open:
             self._pop()
-        return "\n".join(lay_out(self.boxes[0]))
+        return "\n".join(lay_out(self.boxes[0]).texts())
 
 
 def _self_closed(attrs: str) -> bool:

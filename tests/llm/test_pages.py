@@ -1,3 +1,6 @@
+import random
+import time
+
 import duckdb
 import pytest
 
@@ -131,3 +134,122 @@ def test_extract_rows(spark):
     df, rows = awkward(spark, [(0, "<p>a"), (1, "b" * 100000)], "page_id", "html")
     assert set(CLASH) < set(df.columns)
     same(html_layout.extract(df).collect(), [(i, html_layout.visible_text(h) if h else "") for i, h in rows])
+
+
+class SlowBuilder(html_layout.Builder):
+    """Lays blocks out as plain lists of lines, copied at every level."""
+
+    @staticmethod
+    def lines_of(box):
+        lines, apart, run = [], False, []
+        for item in [*box.items, None]:
+            if isinstance(item, str):
+                run.append(item)
+                continue
+            for new, gap in ([(html_layout._inline(run, box.pre), False)] if run else []) + ([item] if item else []):
+                text = new if isinstance(new, list) else new.texts()
+                while text and not text[0]:
+                    text = text[1:]
+                while text and not text[-1]:
+                    text = text[:-1]
+                if text:
+                    lines = lines + ([""] if lines and (gap or apart) else []) + text
+                    apart = gap
+                elif gap:
+                    apart = bool(lines)
+            run = []
+        return lines
+
+    @staticmethod
+    def grid(rows):
+        if all(len(r) == 1 for r in rows):
+            return [x for r in rows for x in r[0][0]]
+        width = {}
+        for row in rows:
+            at = 0
+            for lines, span in row:
+                if span == 1:
+                    width[at] = max([width.get(at, 0), *map(len, lines)])
+                at += span
+        out = []
+        for row in rows:
+            for k in range(max((len(x) for x, _ in row), default=0)):
+                line, at = "", 0
+                for lines, span in row:
+                    x = lines[k] if k < len(lines) else ""
+                    if x:
+                        left = sum(width.get(c, 0) + 2 for c in range(at))
+                        line = line.ljust(max(left, len(line) + 2 if line else 0)) + x
+                    at += span
+                out.append(line.rstrip())
+        return out
+
+    def _place(self, box, above):
+        lines = self.lines_of(box)
+        if box.kind in html_layout.CELL and above.kind == "tr":
+            above.rows.append((lines, box.span))
+        elif box.kind in html_layout.CELL:
+            above.items.append((lines, False))
+        elif box.kind == "tr":
+            row = [(lines, 1), *box.rows] if lines else box.rows
+            if above.kind == "table":
+                above.rows += [row] if row else []
+            else:
+                above.items.append((self.grid([row]), False))
+        else:
+            if box.kind == "table":
+                lines = lines + self.grid(box.rows)
+            elif box.kind == "li" and lines:
+                mark = "- " if above.number is None else f"{above.number}. "
+                above.number = above.number and above.number + 1 if above.number is None else above.number + 1
+                lines = [mark + lines[0], *(" " * len(mark) + x if x else x for x in lines[1:])]
+            elif box.kind in ("blockquote", "dd"):
+                lines = ["  " + x if x else x for x in lines]
+            above.items.append((lines, box.apart and not (box.kind in ("ul", "ol", "menu") and above.kind == "li")))
+
+    def finish(self):
+        while self.open:
+            self._pop()
+        return "\n".join(self.lines_of(self.boxes[0]))
+
+
+def test_equals_a_plain_layout_on_random_pages(monkeypatch):
+    r = random.Random(8)
+    tags = ["p", "div", "ul", "ol", "li", "li", "table", "tr", "td", "td", "th", "td colspan=2", "blockquote", "dl", "dt", "dd", "pre", "b", "h1", "br", "hr"]
+    pages = []
+    for _ in range(1500):
+        out = []
+        for _ in range(r.randrange(1, 40)):
+            k = r.random()
+            if k < 0.45:
+                out.append(f"<{r.choice(tags)}>")
+            elif k < 0.7:
+                out.append(f"</{r.choice(tags).split()[0]}>")
+            else:
+                out.append(r.choice(("a", "bb ", " c\n  d", "wide words here", "\n", "é")))
+        pages.append("".join(out))
+    fast = [html_layout.visible_text(x) for x in pages]
+    monkeypatch.setattr(html_layout, "Builder", SlowBuilder)
+    for page, text in zip(pages, fast, strict=True):
+        assert html_layout.visible_text(page) == text, page
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<br>" * 200_000 + "x",
+        "<div>a" * 40_000,
+        "<blockquote>line" * 10_000 + "<p>end" * 10_000,
+        "<ul><li>" * 20_000 + "x" + "<li>y" * 20_000,
+        "<table><tr><td>" + "w" * 50_000 + "<td>x" + "<tr><td>a<td>b" * 20_000,
+        "<table><tr><td>a<td>b<td>" * 5_000,
+        "<table><tr>" + "<td>x" * 10_000 + "<td>" + "y<br>" * 10_000,
+        "<table>" + "<tr><td colspan=1000>a<td>b" * 10_000,
+    ],
+    ids=["breaks", "blocks", "quotes", "lists", "wide cell", "nested tables", "tall cell", "spans"],
+)
+def test_hostile_pages_stay_in_proportion(page):
+    begin = time.process_time()
+    text = html_layout.visible_text(page)
+    assert time.process_time() - begin < 8
+    assert len(text) < 120 * len(page)
