@@ -12,6 +12,11 @@ on one side does not change the pre-tokens of the other, so counts of leaves
 add up to the count of the text. An edit at a cut takes the leaves on both
 sides, so every remaining cut still stands between the same two characters.
 
+:func:`edited_counts` builds the trees of the documents it is given. Where
+counts are wanted again after later edits, :func:`plant` makes a table of leaves
+once and :func:`grow` gives the rows that a batch of edits adds to it: a batch
+encodes and writes only the leaves it touches.
+
 An edit replaces ``removed`` characters from ``start`` on (code points of the
 text after the document's earlier edits) by ``inserted``; places beyond the end
 are moved to the end, negative or null numbers count as 0, null text as empty.
@@ -43,10 +48,15 @@ def leaves_of(text: str, size: int = LEAF) -> list[str]:
 class CountTree:
     """Segment tree over the leaves of one text."""
 
-    def __init__(self, text: str, encode):
+    def __init__(self, text: str, encode, leaves: list[tuple[str, int]] | None = None):
+        """``leaves``: (text, tokens) of the slots of a tree kept earlier, in
+        place of a text; nothing is encoded then."""
         self.encode = encode
         self.encoded = 0
-        self._fill([(t, self._count(t)) for t in leaves_of(text)])
+        #: Slots that edits changed, and whether the slots were dealt anew.
+        self.touched: set[int] = set()
+        self.dealt = False
+        self._fill([(t, self._count(t)) for t in leaves_of(text)] if leaves is None else leaves)
 
     def _count(self, text: str) -> int:
         self.encoded += len(text)
@@ -106,9 +116,11 @@ class CountTree:
             kept = list(zip(self.text, self.tokens[self.n :], strict=True))
             new = [(t, self._count(t)) for t in parts]
             self._fill([x for x in kept[:first] + new + kept[last + 1 :] if x[0]] or [("", 0)])
+            self.dealt = True
             return
         parts = parts[: slots - 1] + ["".join(parts[slots - 1 :])] if len(parts) > slots else parts
         parts += [""] * (slots - len(parts))
+        self.touched.update(range(first, last + 1))
         for k, t in enumerate(parts, first):
             self.text[k] = t
             self.chars[self.n + k] = len(t)
@@ -147,27 +159,128 @@ def _counter(paths):
     return count
 
 
-def edited_counts(docs: DataFrame, edits: DataFrame, tokenizer: tuple[str, str] | None = None) -> DataFrame:
-    """Counts before and after the edits, per row of ``doc_id, text``.
-
-    ``edits`` has ``doc_id, seq, start, removed, inserted``. ``chars_encoded``
-    is what the edits re-encoded.
-    """
+def _logs(edits: DataFrame) -> DataFrame:
+    """``doc_id, edits``: each document's edits in order."""
     one = F.struct(
         F.col("seq").cast("bigint").alias("seq"),
         F.col("start").cast("bigint").alias("start"),
         F.col("removed").cast("bigint").alias("removed"),
         F.col("inserted").cast("string").alias("inserted"),
     )
-    logs = (
-        edits.where("doc_id is not null")
-        .groupBy(F.col("doc_id").cast("bigint").alias("doc_id"))
-        .agg(F.array_sort(F.collect_list(one)).alias("edits"))
-    )
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(logs, "doc_id", "left")
+    rows = edits.where("doc_id is not null").groupBy(F.col("doc_id").cast("bigint").alias("doc_id"))
+    return rows.agg(F.array_sort(F.collect_list(one)).alias("edits"))
+
+
+def edited_counts(docs: DataFrame, edits: DataFrame, tokenizer: tuple[str, str] | None = None) -> DataFrame:
+    """Counts before and after the edits, per row of ``doc_id, text``.
+
+    ``edits`` has ``doc_id, seq, start, removed, inserted``. ``chars_encoded``
+    is what the edits re-encoded.
+    """
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(_logs(edits), "doc_id", "left")
     return rows.select("doc_id", "text", "edits").mapInArrow(tidy(_counter(tokenizer or default_tokenizer())), COUNTS)
 
 
+# --- trees kept between batches ----------------------------------------------
+
+LEAVES = "doc_id bigint, tree bigint, version int, slot int, text string, chars bigint, tokens bigint, encoded bigint"
+_LEAF_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
+
+
+def _leaf_rows(out):
+    cols = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), _LEAF_TYPES, strict=True)]
+    return pa.RecordBatch.from_arrays(cols, [x.split()[0] for x in LEAVES.split(", ")])
+
+
+def _own_leaves(tree: CountTree, doc, name, version: int, slots):
+    """Rows of some slots; the first one tells what was encoded for all."""
+    encoded = tree.encoded
+    for k in slots:
+        text = tree.text[k] if k < tree.n else ""
+        tokens = tree.tokens[tree.n + k] if k < tree.n else 0
+        yield (doc, name, version, k, text, len(text), tokens, encoded)
+        encoded = 0
+
+
+def _planter(paths):
+    def plant(batches):
+        encode, out = encoder(paths), []
+        for b in batches:
+            for doc, name, text in zip(*(b[c].to_pylist() for c in ("doc_id", "tree", "text")), strict=True):
+                tree = CountTree(text or "", encode)
+                # the slots after the last leaf are empty and need no row
+                out += _own_leaves(tree, doc, name, 0, [k for k, t in enumerate(tree.text) if t or k == 0])
+                if len(out) >= 2048:
+                    yield _leaf_rows(out)
+                    out = []
+        if out:
+            yield _leaf_rows(out)
+
+    return plant
+
+
+def _grower(paths, version):
+    def grow(batches):
+        encode, out = encoder(paths), []
+        for b in batches:
+            for doc, name, kept, edits in zip(*(b[c].to_pylist() for c in ("doc_id", "tree", "kept", "edits")), strict=True):
+                slots: list[tuple[str, int]] = [("", 0)] * (max(x["slot"] for x in kept) + 1)
+                for x in kept:
+                    slots[x["slot"]] = (x["text"], x["tokens"])
+                tree = CountTree("", encode, slots)
+                for e in edits:
+                    tree.edit(e["start"] or 0, e["removed"] or 0, e["inserted"] or "")
+                changed = range(max(len(slots), tree.n)) if tree.dealt else sorted(tree.touched)
+                out += _own_leaves(tree, doc, name, version, changed)
+                if len(out) >= 2048:
+                    yield _leaf_rows(out)
+                    out = []
+        if out:
+            yield _leaf_rows(out)
+
+    return grow
+
+
+def plant(docs: DataFrame, tokenizer: tuple[str, str] | None = None) -> DataFrame:
+    """Leaves of the trees of ``docs`` (``doc_id, text``), to be written as a
+    table: each row of ``docs`` gets a tree with a number of its own, and each
+    leaf a row. ``encoded``, summed, is the characters that were encoded.
+
+    The numbers are those of Spark's rows: take them from the written table, not
+    from the frame again."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.monotonically_increasing_id().alias("tree"), "text")
+    return rows.mapInArrow(tidy(_planter(tokenizer or default_tokenizer())), LEAVES)
+
+
+def current(leaves: DataFrame) -> DataFrame:
+    """The latest version of each leaf of a table that batches were added to."""
+    last = F.max_by(F.struct("doc_id", "text", "chars", "tokens"), "version").alias("x")
+    return leaves.groupBy("tree", "slot").agg(last).select("x.doc_id", "tree", "slot", "x.text", "x.chars", "x.tokens")
+
+
+def grow(leaves: DataFrame, edits: DataFrame, version: int, tokenizer: tuple[str, str] | None = None) -> DataFrame:
+    """The leaves that a batch of edits changes, to be added to the table as
+    ``version`` (1, 2, ... by batch): rows like those of :func:`plant`.
+
+    Only trees with edits are read, no leaf is encoded but those that an edit
+    touches, and no other leaf is written. An emptied slot stays as an empty
+    leaf. A document's tree and its edits meet as one row.
+    """
+    logs = _logs(edits)
+    slot = F.struct("slot", "text", "tokens")
+    trees = current(leaves.join(logs.select("doc_id"), "doc_id", "left_semi")).groupBy("tree")
+    rows = trees.agg(F.max("doc_id").alias("doc_id"), F.collect_list(slot).alias("kept")).join(logs, "doc_id")
+    return rows.select("doc_id", "tree", "kept", "edits").mapInArrow(tidy(_grower(tokenizer or default_tokenizer(), version)), LEAVES)
+
+
+def totals(leaves: DataFrame) -> DataFrame:
+    """``doc_id, tree, chars, tokens`` of each tree, summed over its leaves; the
+    texts are not read."""
+    last = F.max_by(F.struct("doc_id", "chars", "tokens"), "version").alias("x")
+    rows = leaves.groupBy("tree", "slot").agg(last)
+    return rows.groupBy("x.doc_id", "tree").agg(F.sum("x.chars").alias("chars"), F.sum("x.tokens").alias("tokens"))
+
+
 def sample_edits(docs: DataFrame, per_document: int = 4) -> DataFrame:
     """Stand-in edit log, so many edits for each distinct doc_id that is not
     null: places (within the longest of its texts) and lengths by hash."""

@@ -196,3 +196,43 @@ def test_parts_are_cut_only_where_pre_tokens_end():
             parts = packing.cut(text, size)
             assert "".join(parts) == text
             assert [x for p in parts for x in encode(p)] == encode(text)
+
+
+def test_trees_kept_between_batches(spark, tmp_path):
+    docs, rows = awkward(spark, [(i, prose(i, 10 + 300 * i)) for i in range(12)])
+    path = str(tmp_path / "leaves")
+    token_counts.plant(docs).write.parquet(path)
+    leaves = spark.read.parquet(path)
+    assert leaves.agg({"encoded": "sum"}).first()[0] == sum(len(t or "") for _, t in rows)
+    batches = [
+        [(i, 1, 50 * i, 30, " new words") for i in range(12)] + [(5, k, 7 * k, 3, f" w{k}") for k in range(2, 60)] + [(None, 1, 0, 1, "x")],
+        [(11, 1, 2000, 4, "'s"), (11, 2, 0, 0, "Start "), (3, 1, 0, 10**6, None), (99, 1, 0, 0, "none"), (13, 1, 5, 0, "was empty")],
+        [(3, 1, 0, 0, prose(40, 900)), (11, 1, 10, 0, " cut " * 900)],
+    ]
+    texts = list(rows)
+    for version, edits in enumerate(batches, 1):
+        log = spark.createDataFrame([(*e, "z") for e in edits], "doc_id bigint, seq int, start bigint, removed int, inserted string, text string")
+        token_counts.grow(spark.read.parquet(path), log, version).write.mode("append").parquet(path)
+        texts = [(d, applied(t, [e[1:] for e in edits if e[0] == d and d is not None])) for d, t in texts]
+        leaves = spark.read.parquet(path)
+        same(
+            token_counts.totals(leaves).select("doc_id", "chars", "tokens").collect(),
+            [(d, len(t), len(ids_of(t)) - 1) for d, t in texts],
+        )
+        own = leaves.where(f"version = {version}")
+        if version == 2:
+            # a few leaves of the documents with edits, not the documents
+            encoded = {r[0]: r[1] for r in own.groupBy("doc_id").agg({"encoded": "sum"}).collect()}
+            assert set(encoded) == {3, 11, 13} and encoded[11] < 8 * token_counts.LEAF < len(texts[11][1])
+            assert own.where("doc_id = 11").count() < 8 < leaves.where("doc_id = 11 and version = 0").count()
+    back = {}
+    for r in token_counts.current(leaves).collect():
+        back.setdefault((r["doc_id"], r["tree"]), {})[r["slot"]] = r["text"]
+    assert sorted((str(d), "".join(x[k] for k in sorted(x))) for (d, _), x in back.items()) == sorted((str(d), t) for d, t in texts)
+
+
+def test_no_trees_and_no_edits(spark):
+    none = token_counts.plant(empty(spark, "doc_id bigint, text string"))
+    log = empty(spark, "doc_id bigint, seq int, start bigint, removed int, inserted string")
+    assert token_counts.totals(none).collect() == []
+    assert token_counts.grow(none, log, 1).collect() == []
