@@ -15,8 +15,9 @@ with one other class of another component (its bucket's hub) on the full sets;
 confirmed links are united, and most classes of a group share a component soon.
 What is left apart is compared in full: first the classes beside a bucket's
 largest component with all of its members, in blocks; then those classes among
-themselves, as pairs where a bucket has few of them and in blocks where it has
-many. Every pair of classes that shares a bucket thus ends up in one component
+themselves, by a prefix filter: two of them meet if they share one of their
+rarest elements, which linked sets must, as pairs where few do and in blocks
+where many do. Every pair of classes that shares a bucket thus ends up in one component
 or is found not to be linked.
 
 With ``BANDS`` x ``ROWS`` = 40 x 6, two sets at a similarity of exactly 0.8
@@ -35,7 +36,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._common import release, stored, tidy
@@ -450,13 +451,64 @@ def _beside_main(rows: DataFrame, own: DataFrame, texts: DataFrame, size: int, p
     return links
 
 
+_ELEMENTS = "id bigint, n bigint, h bigint"
+
+
+def _elements(size):
+    """All elements of each text's set, with the set's size."""
+
+    def run(batches):
+        for b in batches:
+            ids = b["id"].to_numpy()
+            for i, own, _ in _each(b["text"], size):
+                n = len(own)
+                cols = [np.full(n, ids[i]), np.full(n, n), own.view(np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["id", "n", "h"])
+
+    return run
+
+
+def _by_rare_elements(rows: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """``bucket, class, root`` with one row for each class and each of its rarest
+    elements that it may share with a linked class, for the classes of ``rows``.
+
+    Linked sets have at least ``percent`` in a hundred elements of either in
+    common. With all elements in one order, so many of the first ones of each
+    set that fewer than these are left must hold a common one. Elements are
+    ordered by the number of sets that hold them, so texts that only share a
+    frame, and differ in elements of their own, never meet.
+    """
+    ids = stored(rows.select("class", "root").distinct().withColumn("id", F.monotonically_increasing_id()), "ids")
+    sets = ids.join(texts, "class").select("id", "text").mapInArrow(tidy(_elements(size)), _ELEMENTS)
+    sets = stored(sets, "sets")
+    held = sets.groupBy("h").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
+    own = Window.partitionBy("id")
+    shared = sets.join(held, "h").select(
+        "id",
+        "n",
+        "h",
+        F.count(F.lit(1)).over(own).alias("common"),
+        F.row_number().over(own.orderBy("sets", "h")).alias("place"),
+    )
+    # elements of one set only come first and meet nothing
+    first = F.expr(f"n - (n * {percent} + 99) div 100 + 1 - (n - common)")
+    out = shared.where(F.col("place") <= first).select("id", F.col("h").alias("bucket"))
+    out = stored(out.join(ids, "id").select("bucket", "class", "root"), "rare")
+    release(ids, sets)
+    return out
+
+
 def _among_rest(rows: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links between classes of different components in a bucket, all compared:
-    ``rows`` (``bucket, class, root``) leave out the bucket's largest component.
+    """Links between classes of different components in a bucket: ``rows``
+    (``bucket, class, root``) leave out the bucket's largest component.
 
-    Buckets with the same classes count once. Few classes are listed as pairs;
-    more are cut into blocks, and each two blocks meet in one group.
+    Only classes that share one of their rarest elements can be linked, so they
+    meet by these and no longer by bands. Elements with the same classes count
+    once. Few classes are listed as pairs; more are cut into blocks, and each
+    two blocks meet in one group.
     """
+    rows = _by_rare_elements(rows, texts, size, percent)
+    rare = rows
     h = F.xxhash64("class")
     content = rows.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("x"), F.bit_xor(F.xxhash64("class", F.lit(1))).alias("y")
@@ -484,7 +536,7 @@ def _among_rest(rows: DataFrame, texts: DataFrame, size: int, percent: int) -> D
         met.join(texts, "class").groupBy("bucket", "i", "j").applyInArrow(_group_checker(size, percent), "a binary, b binary")
     )
     out = stored(_checked(pairs, texts, size, percent).unionByName(blocked), "links")
-    release(rows)
+    release(rows, rare)
     return out
 
 

@@ -146,3 +146,35 @@ def test_nodes_sort_as_their_ids(spark):
     rows = got.collect()
     assert all(r["back"] == r["doc_id"] and len(r["node"]) == 9 for r in rows)
     assert [r["doc_id"] for r in sorted(rows, key=lambda r: bytes(r["node"]))] == sorted(ids)
+
+
+def family(n, frame, own, seed):
+    """Texts that share a frame; every tenth is a close copy of the one before."""
+    r = np.random.default_rng(seed)
+    words = lambda k: " ".join(f"w{x}" for x in r.integers(0, 10**9, k))
+    head, out = words(frame), []
+    for i in range(n):
+        out.append(out[-1].rsplit(" ", 1)[0] + " end" if i % 10 == 9 else f"{head} {words(own)}")
+    return out
+
+
+@pytest.mark.parametrize(("frame", "own"), [(60, 30), (60, 12), (0, 12), (3, 0)])
+def test_classes_left_apart_meet_by_rare_elements(spark, frame, own):
+    texts = family(150, frame, own, frame + own) + [prose(i, 4) for i in range(40)]
+    texts = list({frozenset(shingles(t, 2)): t for t in texts}.values())
+    names = [i.to_bytes(4, "big") for i in range(len(texts))]
+    rows = spark.createDataFrame([(1, c, c) for c in names], "bucket bigint, class binary, root binary")
+    held = spark.createDataFrame(list(zip(names, texts, strict=True)), "class binary, text string")
+    sets = [set(shingles(t, 2)) for t in texts]
+    want = {
+        (names[i], names[j])
+        for i in range(len(sets))
+        for j in range(i)
+        if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])
+    }
+    got = {tuple(sorted((bytes(r["a"]), bytes(r["b"])), reverse=True)) for r in superminhash._among_rest(rows, held, 2, 80).collect()}
+    assert got == want
+    if own == 30:
+        # a frame alone brings nobody together
+        rare = superminhash._by_rare_elements(rows, held, 2, 80)
+        assert rare.groupBy("bucket").count().agg({"count": "max"}).first()[0] <= 40
