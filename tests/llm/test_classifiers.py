@@ -161,3 +161,69 @@ def test_steps_hold_as_many_bytes_as_of_usual_texts():
     assert np.concatenate(runs).tolist() == list(range(len(size)))
     assert len(runs[0]) == byte_cnn.BATCH
     assert all(len(r) == 1 or size[r].sum() <= most for r in runs)
+
+
+def test_pooled_score_equals_a_plain_one():
+    w = byte_cnn.start_weights(3)
+    g = np.random.default_rng(8)
+    texts = [g.integers(0, 256, n, np.uint8).astype(np.uint8) for n in (0, 1, 5, 511, 512, 513, 1300, 40000)]
+    got = byte_cnn.score_texts(w, texts)
+    for text, score in zip(texts, got, strict=True):
+        body = text if len(text) else np.zeros(1, np.uint8)
+        padded = np.concatenate([body, np.zeros(byte_cnn.WIDTH - 1, np.uint8)])
+        chunks = []
+        for head in range(0, len(body), byte_cnn.CHUNK):
+            # windows that begin in the chunk, each filter by hand
+            best = np.full(byte_cnn.FILTERS, -np.inf)
+            for i in range(head, min(head + byte_cnn.CHUNK, len(body))):
+                window = w["embed"][padded[i : i + byte_cnn.WIDTH]].ravel()
+                best = np.maximum(best, window @ w["filters"] + w["bias"])
+            chunks.append(np.maximum(best, 0))
+        x = np.concatenate([np.max(chunks, axis=0), np.mean(chunks, axis=0)])
+        want = 1 / (1 + np.exp(-(x @ w["top"] + w["shift"][0])))
+        assert score == pytest.approx(want, abs=1e-4)
+
+
+def test_label_model_equals_a_plain_one(monkeypatch):
+    """Rounds of expectation and maximisation, document by document."""
+    monkeypatch.setattr(weak_toxicity, "ROUNDS", 3)
+    g = np.random.default_rng(2)
+    votes = np.unique(g.random((30, 4)) < 0.3, axis=0)
+    count = g.integers(1, 9, len(votes)).astype(float)
+    seen, label, prior = g.random((12, 4)) < 0.4, np.array([0, 1] * 6), 0.2
+    got = weak_toxicity.fit_label_model(votes, count, seen, label, prior)
+    docs = [v for v, n in zip(votes, count, strict=True) for _ in range(int(n))]
+    rate = [[(sum(s[k] for s, y in zip(seen, label, strict=True) if y == c) + 0.5) / (6 + 1) for k in range(4)] for c in (0, 1)]
+    weight = [1.0] * 4
+
+    def chance(v):
+        odds = [1 - prior, prior]
+        for c in (0, 1):
+            for k in range(4):
+                odds[c] *= (rate[c][k] if v[k] else 1 - rate[c][k]) ** weight[k]
+        return odds[1] / sum(odds)
+
+    for _ in range(3):
+        p = [chance(v) for v in docs]
+        pull = len(docs) / 12
+        soft = [[1 - x for x in p], p]
+        rate = [
+            [
+                (sum(x * v[k] for x, v in zip(soft[c], docs, strict=True)) + pull * sum(s[k] for s, y in zip(seen, label, strict=True) if y == c) + 0.5)
+                / (sum(soft[c]) + pull * 6 + 1)
+                for k in range(4)
+            ]
+            for c in (0, 1)
+        ]
+        near = np.zeros((4, 4))
+        for c in (0, 1):
+            n = sum(soft[c])
+            mean = [sum(x * v[k] for x, v in zip(soft[c], docs, strict=True)) / n for k in range(4)]
+            cov = [[sum(x * (v[i] - mean[i]) * (v[j] - mean[j]) for x, v in zip(soft[c], docs, strict=True)) / n for j in range(4)] for i in range(4)]
+            for i in range(4):
+                for j in range(4):
+                    if i != j:
+                        near[i, j] += max(cov[i][j] / (max(cov[i][i], 1e-12) * max(cov[j][j], 1e-12)) ** 0.5, 0) * n / len(docs)
+        weight = [1 / (1 + near[k].sum()) for k in range(4)]
+    assert np.allclose(got.rate, rate) and np.allclose(got.weight, weight)
+    assert np.allclose(got.posterior(votes), [chance(v) for v in votes])
