@@ -22,7 +22,7 @@ from ..operators.words import tokenize, word_count, word_count_text
 from ..session import new_folder
 from ..sinks.files import remove_folder, write_text
 from ..sources.text import lines_of, read_lines, read_table
-from .jobs import word_count_job, word_count_with_report_job
+from .jobs import EmptyInputError, log_analysis_job, word_count_job, word_count_with_report_job
 
 
 # Declared columns of the driver tables that the queries read (no schema
@@ -188,6 +188,48 @@ def files_report(spark: SparkSession, d: str) -> DataFrame:
     return first.unionByName(second)
 
 
+def _analysed(spark: SparkSession, d: str, where: str = "true") -> tuple[str, dict[str, int]]:
+    """The log-analysis program on the log lines as gzip files in the shared
+    folder: the folder with its ``records`` and ``rejects``, and its counts."""
+    folder = new_folder(spark, "files-log")
+    events = _events(spark, d, "event_id", "ts", "user_id", "event_type")
+    lines = fixtures.access_log_lines(events).where(where)
+    write_text(lines, f"{folder}/lines", col="value", options=FILE_FORMS["gzip"])
+    try:
+        return folder, log_analysis_job(spark, f"{folder}/lines", f"{folder}/records", rejects_path=f"{folder}/rejects")
+    finally:
+        remove_folder(spark, f"{folder}/lines")
+
+
+def files_log_records(spark: SparkSession, d: str) -> DataFrame:
+    """The records that the log-analysis program saved, read back."""
+    folder, _ = _analysed(spark, d)
+    rec = spark.read.parquet(f"{folder}/records")
+    return rec.select(
+        "remote_host", F.unix_seconds("request_time").alias("request_epoch_s"), "method", "endpoint", "protocol",
+        "response_code", "content_size",
+    )
+
+
+def files_log_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """The rejected lines that the log-analysis program saved, read back."""
+    folder, _ = _analysed(spark, d)
+    return spark.read.parquet(f"{folder}/rejects")
+
+
+def files_log_guard(spark: SparkSession, d: str) -> DataFrame:
+    """What the log-analysis program tells of all log lines, and of none: its
+    counts, or the message it stops with."""
+    found = []
+    for case, where in (("all", "true"), ("none", "false")):
+        try:
+            counts, message = _analysed(spark, d, where)[1], None
+        except EmptyInputError as e:
+            counts, message = {}, str(e)
+        found.append((case, counts.get("total"), counts.get("failed"), counts.get("ok"), message))
+    return spark.createDataFrame(found, "case string, total bigint, failed bigint, ok bigint, message string")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_lines": scan_lines,
     "tokenize_words": tokenize_words,
@@ -205,6 +247,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "app_events": app_events,
     "files_word_count": files_word_count,
     "files_report": files_report,
+    "files_log_records": files_log_records,
+    "files_log_rejects": files_log_rejects,
+    "files_log_guard": files_log_guard,
 }
 
 
@@ -306,6 +351,12 @@ ORACLE_SQL: dict[str, str] = {
     "select form, (select count(*) from l)::bigint as row_count, keys as first_keys, keys as last_keys, 0::bigint as without_host, "
     "(select count(*) from w)::bigint as words from (values ('plain'), ('gzip')) as f(form), "
     "(select 'attempt_number,created_at,executor_dirs,host,log_url_stderr,log_url_stdout,partition_id,row_count,user_dir' as keys) as k",
+    "files_log_records": _SQL_TAGGED
+    + "select remote_host, request_epoch_s, method, endpoint, protocol, response_code, content_size from t where parsed = 1",
+    "files_log_rejects": _SQL_TAGGED + "select value, reject_reason as reason from t where parsed = 0",
+    "files_log_guard": _SQL_TAGGED
+    + "select 'all' as case, count(*) as total, count_if(parsed = 0)::bigint as failed, count_if(parsed = 1)::bigint as ok, "
+    "null::varchar as message from t union all select 'none', null, null, null, 'No Data found in RDD'",
     "app_events": "with l as (" + _SQL_EVENT_LOG_LINES + "),\n"
     r"""e as (select path, json_extract_string(value, '$.Event') as ev,
     json_extract_string(value, '$."App ID"') as aid, cast(json_extract(value, '$.Timestamp') as bigint) as ts
