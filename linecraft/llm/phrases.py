@@ -50,7 +50,7 @@ LEAST, MOST_WORDS, TOP = 10, 3, 2000
 INSIDE = 50
 #: Bytes of text handled together; suffixes of a group; distinct suffixes a
 #: task gathers before it sends them on.
-WINDOW, BUDGET, GATHER = 4 << 20, 1 << 20, 1 << 21
+WINDOW, BUDGET, GATHER = 1 << 20, 1 << 20, 1 << 20
 #: Two-word prefixes: bits of their hash, of its ranges, and of the bitmap.
 HASH_BITS, RANGE_BITS, MAP_BITS = 32, 10, 26
 #: Slots that prefixes are dealt to before slots are packed into groups.
