@@ -52,6 +52,8 @@ ROUNDS = 2
 BLOCK, SIDE = 128, 1024
 #: Classes of a bucket that are listed as pairs; more meet in blocks.
 FEW = 8
+#: Parts in which the rows of one component meet its numbers.
+SALTS = 16
 #: Bytes of text whose shingles are made at once.
 SLICE = 1 << 18
 
@@ -359,11 +361,12 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80, bands: int = BANDS
         links = stored(_checked(pairs, texts, size, percent), "links")
         roots = _united(roots, links)
         release(links)
-    # what the rounds left apart: first beside each bucket's largest component
+    # what the rounds left apart: first beside the component that holds
+    # most of a bucket
     own = _placed(texts.select(F.lit(0).alias("bucket"), "class"), roots).select("class", "root")
-    sized = own.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-    rows = _apart(_placed(members, roots)).join(sized, "root")
-    main = rows.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("x")).select("bucket", F.col("x.root").alias("main"))
+    rows = _apart(_placed(members, roots))
+    sized = rows.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+    main = sized.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("x")).select("bucket", F.col("x.root").alias("main"))
     rows = stored(rows.join(main, "bucket").select("bucket", "class", "root", "main"), "apart")
     held = stored(own, "own")
     links = _beside_main(rows, held, texts, size, percent)
@@ -429,7 +432,10 @@ def _beside_main(rows: DataFrame, own: DataFrame, texts: DataFrame, size: int, p
     sides = asks.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / SIDE).alias("sides")).join(size_of, "root")
     blocks = F.ceil(F.col("n") / BLOCK)
     upto = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1))
-    held = own.join(sides, "root").select(
+    # a component may hold a third of all classes: its rows are dealt by salts
+    salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("salt")
+    salted = own.withColumn("salt", F.pmod(F.xxhash64("class", F.lit(2)), F.lit(SALTS)))
+    held = salted.join(sides.select("*", salts), ["root", "salt"]).select(
         "root", "class", F.pmod(F.xxhash64("class"), blocks).alias("block"), upto(F.col("sides")).alias("side")
     )
     asking = asks.join(sides, "root").select(
