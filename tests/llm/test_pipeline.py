@@ -70,5 +70,5 @@ def test_oracles_over_the_given_tables(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(k[2:].split("_")[0]) for k in registered.QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in registered.QUERIES) == list(range(1, 14))
     assert duckdb and byte_cnn
