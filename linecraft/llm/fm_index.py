@@ -9,8 +9,9 @@ the rows that remain walk back to the next sampled position, which locates the
 occurrence. Overlapping occurrences merge into removal spans.
 
 Shards are rows of a table in the shared folder: a lost executor costs its
-tasks only, and no document is shuffled. The benchmark meets the index in
-blocks of at most ``BLOCK_BYTES`` of text, one pass each.
+tasks only, and no document is shuffled. The benchmark becomes blocks of about
+``BLOCK_BYTES`` of word hashes by a job of its own; each pass over the index
+brings ``PASS_BLOCKS`` of them to every shard, however many there are.
 
 An item's phrases are its windows of ``size`` consecutive words; an item of
 fewer words, but not none, is one phrase. Null and empty texts have no words.
@@ -27,7 +28,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._common import release, stored, tidy
@@ -36,7 +37,10 @@ from ._words import Words, alphabet, slices, words_of
 SHARD_WORDS = 1 << 20
 SAMPLE = 16
 WINDOW = 10
-BLOCK_BYTES = 8 << 20
+#: Of a benchmark: windows of a piece, bytes of a block, blocks of a pass.
+PIECE_WORDS = 1 << 13
+BLOCK_BYTES = 1 << 20
+PASS_BLOCKS = 8
 WORD = alphabet(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]")
 #: Bytes of text whose words are taken at once.
 SLICE = 1 << 20
@@ -301,27 +305,68 @@ def build_index(docs: DataFrame) -> DataFrame:
 
 # --- phrases and search ------------------------------------------------------
 
+PIECES = "item string, hashes binary"
 
-def phrases_of(items: list[tuple[str, str]], size: int = WINDOW):
-    """Distinct phrases of (item, text) pairs: word hashes (padded), lengths,
-    and for each phrase the numbers of its items."""
-    w = words_of(pa.array([t for _, t in items], pa.string()), WORD)
-    found: dict[bytes, tuple[np.ndarray, set[int]]] = {}
-    for i in range(len(items)):
-        own = w.hashes[w.first[i] : w.first[i + 1]]
-        if len(own) == 0:
-            continue
-        for j in range(max(1, len(own) - size + 1)):
-            p = own[j : j + size]
-            found.setdefault(p.tobytes(), (p, set()))[1].add(i)
-    table = np.zeros((len(found), size), np.uint64)
-    lengths = np.zeros(len(found), np.int64)
-    owners = []
-    for k, (p, who) in enumerate(found.values()):
-        table[k, : len(p)] = p
-        lengths[k] = len(p)
-        owners.append(sorted(who))
-    return table, lengths, owners
+
+def _piece_batches(size: int):
+    """Word hashes of each item, in pieces of at most ``PIECE_WORDS`` windows;
+    neighbours share ``size - 1`` words, so no window is lost or doubled."""
+
+    def run(batches):
+        for b in batches:
+            names = b["item"].to_pylist()
+            for first, part in slices(b["text"], SLICE):
+                w = words_of(part, WORD)
+                item, hashes = [], []
+                for i in range(len(part)):
+                    own = w.hashes[w.first[i] : w.first[i + 1]]
+                    for p in range(0, max(len(own) - size, 0) + 1 if len(own) else 0, PIECE_WORDS):
+                        item.append(names[first + i])
+                        hashes.append(own[p : p + PIECE_WORDS + size - 1].tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(item, pa.string()), pa.array(hashes, pa.binary())], ["item", "hashes"])
+
+    return run
+
+
+def phrase_blocks(benchmark: DataFrame, size: int = WINDOW) -> tuple[DataFrame, int]:
+    """The items' pieces, each with its ``block``, and a number above all blocks.
+
+    A block holds at most ``BLOCK_BYTES`` of hashes and names besides its last
+    piece: pieces are dealt to buckets by hash, and a bucket of more is cut.
+    """
+    item = F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item")
+    pieces = stored(benchmark.select(item, "text").mapInArrow(tidy(_piece_batches(size)), PIECES).distinct(), "pieces")
+    weight = F.octet_length("hashes") + F.octet_length("item")
+    total = pieces.agg(F.sum(weight.cast("bigint"))).first()[0] or 0
+    buckets = max(1, -(-total // BLOCK_BYTES))
+    key = F.xxhash64("item", "hashes")
+    dealt = pieces.withColumn("bucket", F.pmod(key, F.lit(buckets)))
+    before = Window.partitionBy("bucket").orderBy(key, "item", "hashes").rowsBetween(Window.unboundedPreceding, -1)
+    cut = F.floor(F.coalesce(F.sum(weight.cast("bigint")).over(before), F.lit(0)) / F.lit(BLOCK_BYTES)).cast("bigint")
+    blocks = stored(dealt.select("item", "hashes", (cut * buckets + F.col("bucket")).alias("block")), "phrases")
+    release(pieces)
+    return blocks, (blocks.agg(F.max("block")).first()[0] or 0) + 1
+
+
+def phrases_of(pieces: list[dict], size: int = WINDOW):
+    """Distinct phrases of a block: word hashes (padded), lengths, and the items
+    of phrase ``k``: ``names[owner[first[k]:first[k + 1]]]``."""
+    names = sorted({p["item"] for p in pieces})
+    place = {name: i for i, name in enumerate(names)}
+    lines, who = [np.zeros((0, size + 1), np.uint64)], [np.zeros(0, np.int64)]
+    for p in pieces:
+        own = np.frombuffer(p["hashes"], np.uint64)
+        n = min(size, len(own))
+        line = np.zeros((len(own) - n + 1, size + 1), np.uint64)
+        line[:, :n] = np.lib.stride_tricks.sliding_window_view(own, n)
+        line[:, size] = n
+        lines.append(line)
+        who.append(np.full(len(line), place[p["item"]], np.int64))
+    table, phrase = np.unique(np.concatenate(lines), axis=0, return_inverse=True)
+    pair = np.unique(phrase.ravel() * max(1, len(names)) + np.concatenate(who))
+    phrase, owner = pair // max(1, len(names)), pair % max(1, len(names))
+    first = np.searchsorted(phrase, np.arange(len(table) + 1))
+    return table[:, :size], table[:, size].astype(np.int64), names, first, owner
 
 
 FOUND = (
@@ -340,14 +385,19 @@ def merged(starts: np.ndarray, stops: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(starts[new].tolist(), reach[ends].tolist(), strict=True))
 
 
-def _searcher(items: list[tuple[str, str]], size: int, all_rows: bool):
-    phrases, lengths, owners = phrases_of(items, size)
-    names = [i for i, _ in items]
+def _searcher(size: int):
+    """Rows are pairs of a shard and a block. A document without a hit has a row
+    for block 0 only."""
 
     def search(batches):
+        known: dict[int, tuple] = {}  # the pass's blocks
         for b in batches:
             for row in range(b.num_rows):
                 get = lambda c: b[c][row].as_py()  # noqa: B023, E731
+                block = get("block")
+                if block not in known:
+                    known[block] = phrases_of(get("pieces") or [], size)
+                phrases, lengths, names, first, owner = known[block]
                 shard = Shard.load(get("size"), *(get(c) for c in ("vocabulary", "begin", "tree", "marks", "places")))
                 lo, hi = shard.search(phrases, lengths)
                 hit = np.flatnonzero(hi > lo)
@@ -364,10 +414,10 @@ def _searcher(items: list[tuple[str, str]], size: int, all_rows: bool):
                 cuts = np.append(np.flatnonzero(new), len(slot)).tolist()
                 for x, y in zip(cuts[:-1], cuts[1:], strict=True):
                     spans = merged(start[x:y], start[x:y] + lengths[phrase[x:y]])
-                    who = {names[i] for p in set(phrase[x:y].tolist()) for i in owners[p]}
-                    own[int(slot[x])] = (spans, sorted(who))
+                    who = {i for p in set(phrase[x:y].tolist()) for i in owner[first[p] : first[p + 1]].tolist()}
+                    own[int(slot[x])] = (spans, [names[i] for i in sorted(who)])
                 doc_id, n_words, slots = get("doc_id"), get("n_words"), get("slot")
-                pick = [i for i, s in enumerate(slots) if all_rows or s in own]
+                pick = [i for i, s in enumerate(slots) if block == 0 or s in own]
                 if not pick:
                     continue
                 none = ([], [])
@@ -405,21 +455,25 @@ def find(index: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFram
     """Removal spans (word positions) and the items found, per indexed document.
 
     ``benchmark`` has ``item_id, text``. Every document has a row, with empty
-    lists if nothing was found.
+    lists if nothing was found. Phrases are made by a job over ``benchmark``; the
+    driver learns the number of their blocks. A pass pairs each shard with
+    ``PASS_BLOCKS`` blocks, which are broadcast (their size is bounded) and let go
+    before the next pass; the shards stay in place.
     """
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), F.coalesce("text", F.lit("")).alias("text"))
-    total = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
-    blocks = -(-total // BLOCK_BYTES) or 1
+    pieces, blocks = phrase_blocks(benchmark, size)
     parts = []
-    for k in range(blocks):
-        own = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
-        got = [(r["item"], r["text"]) for r in own.distinct().collect()]
-        parts.append(index.mapInArrow(tidy(_searcher(got, size, k == 0)), FOUND))
-    if blocks == 1:
-        return parts[0]
-    met = parts[0]
-    for p in parts[1:]:
-        met = met.unionByName(p)
+    for low in range(0, blocks, PASS_BLOCKS):
+        high = min(low + PASS_BLOCKS, blocks) - 1
+        own = pieces.where(F.col("block").between(low, high)).groupBy("block").agg(F.collect_list(F.struct("item", "hashes")).alias("pieces"))
+        numbered = index.withColumn("block", F.explode(F.sequence(F.lit(low), F.lit(high)).cast("array<bigint>")))
+        # block 0 may have no phrase, yet gives every document its row
+        pairs = numbered.join(F.broadcast(own), "block", "left" if low == 0 else "inner")
+        met = pairs.mapInArrow(tidy(_searcher(size)), FOUND)
+        if blocks == 1:
+            return met
+        # written one after the other: one pass's blocks are held at a time
+        parts.append(stored(met, "found")._linecraft_path)
+    met = index.sparkSession.read.schema(FOUND).parquet(*parts)
     return (
         met.groupBy("shard", "place")
         .agg(
@@ -428,7 +482,7 @@ def find(index: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFram
             F.flatten(F.collect_list("spans")).alias("spans"),
             F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
         )
-        .mapInArrow(_union_spans, FOUND)
+        .mapInArrow(tidy(_union_spans), FOUND)
     )
 
 

@@ -68,9 +68,34 @@ def test_blocks_and_small_shards(spark, monkeypatch):
     df, rows, bench = tables(spark)
     monkeypatch.setattr(fm_index, "SHARD_WORDS", 150)
     monkeypatch.setattr(fm_index, "BLOCK_BYTES", 120)
+    monkeypatch.setattr(fm_index, "PIECE_WORDS", 7)
+    monkeypatch.setattr(fm_index, "PASS_BLOCKS", 2)
+    blocks, n = fm_index.phrase_blocks(bench)
+    assert n > 3
+    got = blocks.selectExpr("block", "octet_length(hashes) + octet_length(item) as size").collect()
+    last = 8 * (7 + 9) + 2  # a block may end beyond its bound by one piece
+    assert all(sum(r["size"] for r in got if r["block"] == k) <= 120 + last for k in range(n))
     same(fm_index.digest(df, bench).collect(), brute(rows))
 
 
+def test_benchmark_stays_off_the_driver(spark, monkeypatch):
+    """A long item is cut into pieces that share the words of a window; what the
+    driver collects does not grow with the benchmark."""
+    monkeypatch.setattr(fm_index, "PIECE_WORDS", 100)
+    monkeypatch.setattr(fm_index, "BLOCK_BYTES", 4096)
+    from pyspark.sql import DataFrame
+
+    collected = []
+    plain = DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: collected.append(plain(self)) or collected[-1])
+    items = [(i, prose(i, 3000), 0) for i in range(20, 24)] + [(24, prose(24, 109), 0), (25, prose(25, 110), 0)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string, shard int")
+    docs = [(0, "a " + items[0][1] + " b"), (1, " ".join(items[1][1].split()[95:105])), (2, items[4][1]), (3, prose(7, 50))]
+    found = fm_index.digest(spark.createDataFrame(docs, "doc_id bigint, text string"), bench)
+    assert sum(map(len, collected)) <= 2
+    same(plain(found), brute(docs, [i[:2] for i in items]))
+
+
 def test_decontaminate(spark):
     df, rows, bench = tables(spark)
     out = fm_index.decontaminate(df, bench)
