@@ -37,6 +37,8 @@ def alphabet(pattern: str) -> np.ndarray:
     return own
 
 
+#: Bytes that are hashed at once.
+RUN = 4 << 20
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[65:91] += 32
 BYTE_CODES = numbers(256, 1)
@@ -78,38 +80,69 @@ def slices(texts: pa.Array, most: int):
         i = j
 
 
+def _runs(data: np.ndarray, own: np.ndarray, most: int):
+    """Cut bytes into runs of about ``most``, each cut before a byte that is in
+    no word: pairs (begin, end). A word of more bytes stays in one run."""
+    begin = 0
+    while begin < len(data):
+        end = min(begin + most, len(data))
+        while end < len(data):
+            gap = np.flatnonzero(~own[FOLD[data[end : end + 65536]]])
+            if len(gap):
+                end += int(gap[0])
+                break
+            end = min(end + 65536, len(data))
+        yield begin, end
+        begin = end
+
+
 def words_of(texts: pa.Array, own: np.ndarray, stem: int = 0) -> Words:
     """Lower-case A-Z and hash each maximal run of ``own`` bytes; with ``stem``,
-    also its first ``stem`` bytes."""
+    also its first ``stem`` bytes.
+
+    Bytes are taken ``RUN`` at a time, however long a text is: beyond its words
+    (8 bytes each for hash and place) a text of any length needs no more.
+    """
     data, off = buffers(texts)
-    n = len(data)
-    if n == 0:
-        z = np.zeros(0, np.int64)
+    heads = off[:-1]
+    got = []
+    for begin, end in _runs(data, own, RUN):
+        at = heads[np.searchsorted(heads, begin) : np.searchsorted(heads, end)]
+        starts, hashes, stems = _run_words(data[begin:end], at - begin, own, stem)
+        starts += begin
+        got.append((starts, hashes, stems))
+    if not got:
         none = np.zeros(0, np.uint64)
-        return Words(none, np.zeros(len(texts) + 1, np.int64), z, none)
+        return Words(none, np.zeros(len(texts) + 1, np.int64), np.zeros(0, np.int64), none)
+    starts, hashes, stems = got[0] if len(got) == 1 else (np.concatenate(x) for x in zip(*got, strict=True))
+    return Words(hashes, np.searchsorted(starts, off), starts, stems if stem or not len(hashes) else None)
+
+
+def _run_words(data: np.ndarray, heads: np.ndarray, own: np.ndarray, stem: int):
+    """Starts, hashes and stems (none without ``stem``) of the words of a run of
+    bytes; ``heads``: where texts begin in it."""
+    n = len(data)
+    none = np.zeros(0, np.uint64)
     low = FOLD[data]
     inside = own[low]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
-    heads = off[:-1][off[:-1] < n]
     begins[heads] = inside[heads]
     starts = np.flatnonzero(begins)
-    first = np.searchsorted(starts, off)
     if len(starts) == 0:
-        none = np.zeros(0, np.uint64)
-        return Words(none, first, starts, none)
+        return starts, none, none
     place = np.arange(n, dtype=np.int64)
     place[starts[0] :] -= np.repeat(starts, np.diff(np.append(starts, n)))
     place[: starts[0]] = 0
     codes = np.where(inside, BYTE_CODES[low], np.uint64(0))
     with np.errstate(over="ignore"):
         codes *= numbers(int(place.max()) + 1, 2)[place]
-        hashes, stems = mix(np.add.reduceat(codes, starts)), None
+        hashes, stems = mix(np.add.reduceat(codes, starts)), none
         if stem:
             beyond = np.add.reduceat((place >= stem) & inside, starts) > 0
             stems = mix(np.add.reduceat(np.where(place < stem, codes, np.uint64(0)), starts) + np.uint64(stem))
             stems = np.where(beyond, stems, np.uint64(0))
-        return Words(hashes, first, starts, stems)
+        return starts, hashes, stems
 
 
 def shingles_of(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -120,6 +153,9 @@ def shingles_of(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     ``hashes[first[i]:first[i + 1]]``, ascending.
     """
     texts = len(w.first) - 1
+    if texts == 1 and len(w.hashes) > RUN // 8:
+        h = _shingles_of_one(w.hashes, size)
+        return h, np.array([0, len(h)])
     count = np.diff(w.first)
     made = np.where(count >= size, count - size + 1, (count > 0).astype(np.int64))
     total = int(made.sum())
@@ -138,3 +174,23 @@ def shingles_of(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     new[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
     h, owner = h[new], owner[new]
     return h, np.searchsorted(owner, np.arange(texts + 1))
+
+
+def _shingles_of_one(words: np.ndarray, size: int) -> np.ndarray:
+    """Distinct shingles of a text of many words, made and reduced in parts."""
+    found = np.zeros(0, np.uint64)
+    step = RUN // 8
+    parts, held = [], 0
+    for low in range(0, max(len(words) - size, 0) + 1, step):
+        most = min(low + step, max(len(words) - size, 0) + 1)
+        h = np.zeros(most - low, np.uint64)
+        with np.errstate(over="ignore"):
+            for j in range(min(size, len(words))):
+                h = mix(h * _K1 + words[low + j : most + j] + np.uint64(j + 1))
+        parts.append(np.unique(h))
+        held += len(parts[-1])
+        # merged when the parts have grown as large as what is kept
+        if held > max(len(found), 4 * step) or most > len(words) - size:
+            found = np.unique(np.concatenate([found, *parts]))
+            parts, held = [], 0
+    return found
