@@ -10,13 +10,14 @@ training rows' share of toxic ones, and for each voter its rates of firing on
 either label (its accuracy). Expectation-maximisation starts from the rates on
 labelled texts, which also stay in as prior counts. From the expected counts
 follow the voters' correlations given the label; votes that say the same thing
-again weigh less. The model's posterior labels the texts of a bounded sample,
-and a logistic classifier over words and patterns is trained on these labels.
-It alone scores the texts.
-
-Bounds: ``ROWS_PER_CLASS`` labelled rows of each class, those with the smallest
-hashes, and ``TRAIN_BYTES`` bytes a row on average come to the driver, whole
-texts of any length (``byte_cnn.sampled``); combinations
+again weigh less. The model's posterior labels the texts of two bounded samples,
+of labelled rows and of rows without a label, and a logistic classifier over
+words and patterns is trained on these labels. It alone scores the texts.
+
+Bounds: ``ROWS_PER_CLASS`` labelled rows of each class, ``ROWS_UNLABELLED``
+others, those with the smallest hashes, and ``TRAIN_BYTES`` bytes a row on
+average come to the driver, whole texts of any length (``byte_cnn.sampled``);
+others weigh as much as labelled rows if there are as many; combinations
 of votes are at most 2 ** (LEXICONS + patterns).
 
 Null and empty texts have no words and no pattern; they get the score of a text
@@ -38,6 +39,7 @@ from ._words import alphabet, buffers, slices, words_of
 from .byte_cnn import remainder, sampled
 
 ROWS_PER_CLASS = 2500
+ROWS_UNLABELLED = 2500
 TRAIN_BYTES = 32768
 LEXICONS = 10
 #: A lexicon word: this many toxic texts at least, and this often as many of
@@ -265,8 +267,16 @@ def _vote_counter(voters: Voters):
     return run
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS) -> Classifier | float:
-    """``labels`` has ``doc_id, label`` (0, 1; others are left out)."""
+def fit(
+    docs: DataFrame,
+    labels: DataFrame,
+    rows_per_class: int = ROWS_PER_CLASS,
+    others: DataFrame | None = None,
+    rows_unlabelled: int = ROWS_UNLABELLED,
+) -> Classifier | float:
+    """``labels`` has ``doc_id, label`` (0, 1; others are left out). ``others``:
+    the doc_ids that may be learned from without a label (all documents'); those
+    in ``labels`` are left out."""
     named = labels.where("doc_id is not null and label in (0, 1)").select("doc_id", F.col("label").cast("int").alias("label"))
     counts = {r["label"]: r["count"] for r in named.groupBy("label").count().collect()}
     total = sum(counts.values())
@@ -284,19 +294,26 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
     label = np.array(marks)
     if len(set(marks)) < 2:
         return prior
+    labelled = len(chosen)
+    if rows_unlabelled:
+        pool = (docs if others is None else others).select("doc_id").where("doc_id is not null")
+        ids = pool.join(labels.select("doc_id"), "doc_id", "left_anti").distinct().orderBy(*by_hash).limit(2 * rows_unlabelled)
+        chosen += sampled(docs, ids, rows_unlabelled, rows_unlabelled * TRAIN_BYTES)
     texts = pa.array(chosen, pa.large_string())
     text, word = text_words(texts)
-    voters = mine(text, word, label)
+    known = text < labelled
+    voters = mine(text[known], word[known], label)
     counted = docs.select("text").mapInArrow(tidy(_vote_counter(voters)), "votes bigint, n bigint")
     combos = counted.groupBy("votes").agg(F.sum("n").alias("n")).toArrow()
     votes = unpack(combos["votes"].to_numpy(), voters.size)
-    seen = unpack(voters.votes(texts), voters.size)
+    drawn = unpack(np.concatenate([voters.votes(part) for _, part in slices(texts, SLICE)]), voters.size)
     shapes = np.concatenate([patterns_of(part) for _, part in slices(texts, SLICE)])
-    model = fit_label_model(votes, combos["n"].to_numpy().astype(float), seen, label, prior)
-    # the sample has classes of its own sizes; rows weigh as in the whole
+    model = fit_label_model(votes, combos["n"].to_numpy().astype(float), drawn[:labelled], label, prior)
+    # labelled rows have classes of the sample's own sizes and weigh as in the
+    # whole; the others are as they come
     share = np.array([(label == 0).mean(), (label == 1).mean()])
-    weight = (np.array([1 - prior, prior]) / share)[label]
-    return train(text, word, shapes, model.posterior(seen), weight)
+    weight = np.append((np.array([1 - prior, prior]) / share)[label], np.ones(len(chosen) - labelled))
+    return train(text, word, shapes, model.posterior(drawn), weight)
 
 
 def scorer(model):
@@ -315,7 +332,9 @@ def scorer(model):
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The contract's columns of the query ``op9``."""
     learn = labels.select("doc_id", F.col("toxic").alias("label")).where(remainder(F.col("doc_id"), 3) != 1)
-    model = fit(docs, learn)
+    # held-out documents are not learned from at all, not even without a label
+    pool = docs.where(remainder(F.col("doc_id"), 3) != 1).join(labels.select("doc_id"), "doc_id", "left_anti")
+    model = fit(docs, learn, others=pool)
     scored = docs.select("doc_id", "text").mapInArrow(tidy(scorer(model)), "doc_id bigint, score double")
     return scored.select(
         "doc_id",

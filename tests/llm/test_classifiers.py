@@ -227,3 +227,43 @@ def test_label_model_equals_a_plain_one(monkeypatch):
         weight = [1 / (1 + near[k].sum()) for k in range(4)]
     assert np.allclose(got.rate, rate) and np.allclose(got.weight, weight)
     assert np.allclose(got.posterior(votes), [chance(v) for v in votes])
+
+
+def test_rows_without_a_label_teach_new_words(spark):
+    """Few labels, all of one slang; unlabelled texts mix it with a second one,
+    which alone marks the held-out texts. A text with one of two slangs stays
+    below one half, so the test is how well scores separate the labels."""
+    g = np.random.default_rng(4)
+    first, second = ["grobnik", "stulper", "vrakkod", "mizzler"], ["hurflep", "dwonkus", "plibber", "zagmoot"]
+
+    def text(i, *slangs):
+        return " ".join([prose(i, 40), *(w for s in slangs for w in g.choice(s, 3, replace=False))])
+
+    rows = [(i, text(i, first) if i < 12 else text(i)) for i in range(60)]
+    rows += [(i, text(i, first, second) if i % 4 == 0 else text(i)) for i in range(60, 460)]
+    held = [(i, text(i, second) if i % 2 else text(i)) for i in range(1000, 1100)]
+    docs = spark.createDataFrame(rows + held, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i < 12)) for i in range(60)], "doc_id bigint, label int")
+    others = docs.where("doc_id < 1000")
+
+    def separated(n):
+        """Share of pairs of a toxic and a clean text in the right order."""
+        score = weak_toxicity.fit(docs, labels, others=others, rows_unlabelled=n).score(pa.array([t for _, t in held], pa.large_string()))
+        toxic = np.array([i % 2 == 1 for i, _ in held])
+        return (score[toxic][:, None] > score[~toxic][None]).mean()
+
+    assert separated(0) < 0.65
+    assert separated(2500) > 0.99
+
+
+def test_rows_without_a_label_are_bounded(spark, monkeypatch):
+    drawn = []
+    plain = weak_toxicity.sampled
+    monkeypatch.setattr(weak_toxicity, "sampled", lambda *a: drawn.append(plain(*a)) or drawn[-1])
+    docs = spark.createDataFrame([(i, prose(i, 20)) for i in range(60)] + [(None, "x"), (59, None)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2 if i < 8 else None) for i in range(10)], "doc_id bigint, label int")
+    weak_toxicity.fit(docs, labels, rows_unlabelled=7)
+    assert [len(x) for x in drawn] == [4, 4, 7]
+    named = {t: i for i, t in docs.collect()}
+    # a row whose label is unknown is named in labels, and not drawn
+    assert all(named[t] is not None and named[t] > 9 for t in drawn[2] if t)
